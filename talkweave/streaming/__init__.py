@@ -1,0 +1,5 @@
+"""No streaming operators: every job here is a batch job.
+
+The column functions in ``talkweave.functions`` hold no state, so they work on
+a streaming DataFrame as they are.
+"""
