@@ -38,3 +38,8 @@ def hash_bucket(key: Column, buckets: int = 100, seed: str = "") -> Column:
     """
     digest = F.md5(F.concat(F.lit(seed), key.cast("string")))
     return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint"), F.lit(buckets))
+
+
+def token_bucket(token: Column, buckets: Column) -> Column:
+    """The index bucket a token belongs to."""
+    return F.pmod(F.xxhash64(token), buckets).cast("int")

@@ -22,14 +22,15 @@ WHITESPACE = (
 
 # Letters, decimal digits, and the digits outside category Nd
 # (superscripts, subscripts, circled and historic digits).
-ALPHANUMERIC = (
-    r"\p{L}\p{Nd}"
-    r"\x{B2}\x{B3}\x{B9}\x{1369}-\x{1371}\x{19DA}\x{2070}\x{2074}-\x{2079}"
+_LATIN_DIGITS = r"\x{B2}\x{B3}\x{B9}"
+_FURTHER_DIGITS = (
+    r"\x{1369}-\x{1371}\x{19DA}\x{2070}\x{2074}-\x{2079}"
     r"\x{2080}-\x{2089}\x{2460}-\x{2468}\x{2474}-\x{247C}\x{2488}-\x{2490}"
     r"\x{24EA}\x{24F5}-\x{24FD}\x{24FF}\x{2776}-\x{277E}\x{2780}-\x{2788}"
     r"\x{278A}-\x{2792}\x{10A40}-\x{10A43}\x{10E60}-\x{10E68}"
     r"\x{11052}-\x{1105A}\x{1F100}-\x{1F10A}"
 )
+ALPHANUMERIC = rf"\p{{L}}\p{{Nd}}{_LATIN_DIGITS}{_FURTHER_DIGITS}"
 
 # What counts as a link; it runs up to the next white space.
 URL_PATTERN = rf"(?:https?://|www\.)[^{WHITESPACE}]+"
@@ -38,11 +39,12 @@ _MARKS = "".join(PUNCTUATION)
 
 # One pass finds every token: a punctuation mark, or the stretch from the first
 # to the last alphanumeric of a run. The quantifiers are possessive, so the
-# matcher never backtracks, and only characters between two alphanumeric
-# stretches are tested against the long white-space class.
+# matcher never backtracks. Most characters meet the first class alone, so it
+# asks for the long list of rare digits only within their range.
+_WORD_CHARACTER = rf"[\p{{L}}\p{{Nd}}{_LATIN_DIGITS}[\x{{1369}}-\x{{1F10A}}&&[{_FURTHER_DIGITS}]]]"
 _TOKEN_PATTERN = (
     rf"[{_MARKS}]"
-    rf"|[{ALPHANUMERIC}]++(?:[^{WHITESPACE}{_MARKS}{ALPHANUMERIC}]++[{ALPHANUMERIC}]++)*+"
+    rf"|{_WORD_CHARACTER}++(?:[^{WHITESPACE}{_MARKS}{ALPHANUMERIC}]++{_WORD_CHARACTER}++)*+"
 )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from talkweave.functions.columns import token_bucket
 from talkweave.functions.text import term_counts, unigrams
 from talkweave.operators.skew import BROADCAST_ROWS, broadcast_if_small, hot_keys, salted_join
 
@@ -55,10 +56,30 @@ def build_tfidf(documents: DataFrame, key: str = "song_id", text: str = "text")
         .agg(F.count(F.lit(1)).alias("df"))
     )
     frequencies = documents.select(key, F.inline(term_counts(F.col(text))))
-    joined = salted_join(frequencies, counts, "token", hot_keys(counts, "token", "df"), key)
+    # Every token has a count; as a left join, only the counts can be broadcast.
+    hot = hot_keys(counts, "token", "df")
+    joined = salted_join(frequencies, counts, "token", hot, key, "left")
     return joined.select(key, "token", (F.col("tf") * F.log(total / F.col("df"))).alias("score"))
 
 
+def write_index(tfidf: DataFrame, path: str, buckets: int = 1024) -> None:
+    """Store the index in folders by token bucket, so a search reads few of them.
+
+    Rows are cut into ranges of token and song: a token found in much of all
+    songs is written by many tasks, and every file holds a narrow token range.
+    """
+    order = ("bucket", "token", "song_id")
+    bucketed = tfidf.withColumn("bucket", token_bucket(F.col("token"), F.lit(buckets)))
+    bucketed.withColumn("buckets", F.lit(buckets)).repartitionByRange(*order).sortWithinPartitions(
+        *order
+    ).write.mode("overwrite").partitionBy("buckets", "bucket").parquet(path)
+
+
+def read_index(spark: SparkSession, path: str) -> DataFrame:
+    """The stored index, with its bucket columns, which ``match_tokens`` uses."""
+    return spark.read.parquet(path)
+
+
 def match_tokens(
     queries: DataFrame, tfidf: DataFrame, strict_duplicates: bool = True, escape_quotes: bool = False
 ) -> DataFrame:
@@ -78,7 +99,15 @@ def match_tokens(
         F.size(F.col("tokens") if strict_duplicates else F.array_distinct("tokens")).alias("n_tokens"),
         F.explode(F.array_distinct("tokens")).alias("token"),
     )
-    return tfidf.join(broadcast_if_small(wanted), "token")
+    if "bucket" not in tfidf.columns:
+        return tfidf.join(broadcast_if_small(wanted), "token")
+    # The buckets of the tokens prune the folders of a stored index. The filter
+    # drops nothing; Spark prunes by a side only if that side is filtered.
+    buckets = tfidf.select("buckets").limit(1).scalar()
+    wanted = wanted.filter(F.col("token") != "").withColumn(
+        "bucket", token_bucket(F.col("token"), buckets)
+    )
+    return tfidf.join(broadcast_if_small(wanted), ["bucket", "token"]).drop("bucket", "buckets")
 
 
 def rank_songs(

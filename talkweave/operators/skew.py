@@ -33,9 +33,9 @@ def hot_keys(counts: DataFrame, key: str, count: str) -> DataFrame:
 
 
 def salted_join(
-    left: DataFrame, right: DataFrame, key: str, hot: DataFrame, spread_by: str
+    left: DataFrame, right: DataFrame, key: str, hot: DataFrame, spread_by: str, how: str = "inner"
 ) -> DataFrame:
-    """Inner join on ``key``, with the rows of hot left keys cut into slices.
+    """Inner or left join on ``key``, with the rows of hot left keys cut into slices.
 
     A hot key's left rows get one of as many salts as there are shuffle
     partitions, by a hash of ``spread_by``; its right rows are repeated once per
@@ -54,4 +54,4 @@ def salted_join(
             F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
         ),
     )
-    return left.drop("hot_key").join(right.drop("hot_key"), [key, "salt"]).drop("salt")
+    return left.drop("hot_key").join(right.drop("hot_key"), [key, "salt"], how).drop("salt")

@@ -475,7 +475,7 @@ def m11_score_linear(spark: SparkSession, folder: str) -> DataFrame:
 
 def _featured(spark: SparkSession, folder: str) -> tuple:
     """The fitted vocabulary and the labelled comments as feature vectors."""
-    labeled = _labeled(spark, folder)
+    labeled = tables.stage(_labeled(spark, folder).select("Input_id", "n_gram", "pos_label", "neg_label"))
     vocabulary = features.fit_vocabulary(labeled)
     return vocabulary, features.vectorize(vocabulary, labeled)
 

@@ -23,7 +23,9 @@ def comments(spark: SparkSession, folder: str) -> DataFrame:
         F.col("n_name").alias("author_flair_text"),
         F.floor("value").cast("int").alias("score"),
     )
-    return documents.join(about, F.col("doc_id") == F.col("event_id")).select(
+    # A merge join keeps the texts where they are; as the small side of a
+    # broadcast join they would be cleaned by as few tasks as the events have.
+    return documents.hint("merge").join(about, F.col("doc_id") == F.col("event_id")).select(
         F.col("doc_id").cast("string").alias("id"),
         F.col("text").alias("body"),
         "created_utc",
