@@ -148,8 +148,8 @@ def write_csv(df: DataFrame, path: str, one_file_rows: int = 100_000) -> None:
 
 
 def read_rollup(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Read a rollup written by ``write_csv``."""
-    return spark.read.schema(schema).csv(path, header=True)
+    """Read a rollup written by ``write_csv``; titles may hold line ends."""
+    return spark.read.schema(schema).csv(path, header=True, multiLine=True)
 
 
 def sanitize_file(spark: SparkSession, path: str) -> DataFrame:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -18,6 +19,7 @@ def spark():
         **{
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-"),
             "spark.driver.memory": "8g",
             "spark.driver.host": "127.0.0.1",
             "spark.driver.bindAddress": "127.0.0.1",

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from talkweave.plans import charts, planted, sentiment
 from talkweave.sources import views
+from talkweave.sources.tables import read_rollup
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -35,8 +36,9 @@ def test_sentiment_job(spark, tmp_path):
 
     for name in ("top_pos_posts", "top_neg_posts", "days", "states", "sub_score", "com_score"):
         assert len(list(Path(out, f"{name}.csv").glob("part-*"))) == 1
-    top = spark.read.csv(f"{out}/top_pos_posts.csv", header=True)
-    assert top.columns == ["link_id", "title", "pos", "neg"] and top.count() == 10
+    top = read_rollup(spark, f"{out}/top_pos_posts.csv", "link_id string, title string, pos double, neg double")
+    assert top.count() == 10 and top.join(posts, F.concat(F.lit("t3_"), top.link_id) == posts.link_id).count() == 10
+    assert top.filter("title LIKE '%\n%'").count() > 0
 
     regions = spark.read.parquet(f"{FOLDER}/nation.parquet").select(F.col("n_name").alias("name"))
     tables = charts.chart_tables(spark, out, regions)

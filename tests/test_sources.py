@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -74,12 +75,20 @@ def test_spread_leaves_wide_input_alone(spark):
     assert tables.spread(wide, "id") is wide
 
 
-def test_shared_folder_follows_the_session(spark, tmp_path):
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        assert shared_folder(spark).startswith(str(tmp_path))
-        assert shared_folder(spark) != shared_folder(spark)
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+def test_shared_folder_follows_the_session(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
+    assert shared_folder(spark).startswith(root)
+    assert shared_folder(spark) != shared_folder(spark)
     staged = tables.stage(spark.range(5))
-    assert staged.count() == 5
+    assert staged.count() == 5 and root in staged.inputFiles()[0]
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    def session(master):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, default: default), sparkContext=SimpleNamespace(master=master)
+        )
+
+    with pytest.raises(ValueError):
+        shared_folder(session("yarn"))
+    assert shared_folder(session("local[2]"))

@@ -29,7 +29,7 @@ GOLDEN = [
     ("e\u0301 caf\u00e9!", "e caf\u00e9 !", "e_caf\u00e9", ""),
     ("\u0130x \u039f\u03a3", "i\u0307x \u03bf\u03c2", "i\u0307x_\u03bf\u03c2", ""),
     ("A*B_c--D", "a*b_c--d", "", ""),
-    ("see www.a.b\u00a0then Http://no", "see then http : no", "see_then", ""),
+    ("see www.a.b\u00a0then Http://no", "see then http : no", "see_then then_http", "see_then_http"),
 ]
 
 
