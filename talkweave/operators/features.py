@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import CountVectorizerModel
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkweave.functions.text import ngrams
+from talkweave.session import stage
 
 # The most terms a vocabulary may hold. It bounds the fitted model, and with it
 # every vocabulary or coefficient table that is broadcast below.
@@ -19,11 +20,14 @@ def add_ngrams(df: DataFrame, text: str = "body") -> DataFrame:
 
 
 def fit_vocabulary(df: DataFrame, min_df: int = 10) -> CountVectorizerModel:
-    """Fit the terms found in at least ``min_df`` rows of ``n_gram``, by presence."""
-    return CountVectorizer(
-        inputCol="n_gram", outputCol="features", minDF=float(min_df), binary=True,
-        vocabSize=MAX_TERMS,
-    ).fit(df)
+    """Fit the terms found in at least ``min_df`` rows of ``n_gram``, by presence.
+
+    The terms are counted as a DataFrame; the driver receives at most
+    ``MAX_TERMS`` of them, as any fitted vocabulary is held there.
+    """
+    table = vocabulary_table(df, min_df)
+    terms = [row["term"] for row in table.orderBy(F.desc("df"), "term").select("term").collect()]
+    return CountVectorizerModel.from_vocabulary(terms, "n_gram", "features", binary=True)
 
 
 def vectorize(model: CountVectorizerModel, df: DataFrame) -> DataFrame:
@@ -44,20 +48,43 @@ def term_rows(df: DataFrame, *keys: str) -> DataFrame:
     return df.select(*keys, F.explode(F.array_distinct("n_gram")).alias("term"))
 
 
+def most_frequent(counts: DataFrame, count: str, key: str, most: int) -> DataFrame:
+    """The ``most`` rows with the highest counts; ties go to the lower key.
+
+    The counts are written once, and returned as they are if few enough. Else a
+    plain top-k would send ``most`` rows from every task to a single one: how
+    often each count occurs gives the count of the last row wanted, and only
+    rows at or above it are sorted.
+    """
+    counts = stage(counts)
+    if counts.count() <= most:
+        return counts
+    sizes = counts.groupBy(count).agg(F.count(F.lit(1)).alias("keys"))
+    running = sizes.select(count, F.sum("keys").over(Window.orderBy(F.desc(count))).alias("so_far"))
+    cutoff = running.filter(F.col("so_far") >= most).agg(F.max(count)).scalar()
+    return counts.filter(F.col(count) >= cutoff).orderBy(F.desc(count), key).limit(most)
+
+
 def vocabulary_table(df: DataFrame, min_df: int = 10, max_terms: int = MAX_TERMS) -> DataFrame:
-    """The vocabulary as rows ``(term, df)``, most frequent terms first if too many.
+    """The vocabulary as rows ``(term, df)``, at most ``max_terms`` of them.
 
     Tasks count their own terms before the shuffle, so a term found in every
-    document costs one row per task.
+    document costs one row per task. If too many terms are left, those that
+    occur most often are kept, repeats within a row included.
     """
-    return (
+    most = min(max_terms, MAX_TERMS)
+    counts = stage(
         term_rows(df)
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"))
         .filter(F.col("df") >= min_df)
-        .orderBy(F.desc("df"), "term")
-        .limit(min(max_terms, MAX_TERMS))
     )
+    if counts.count() <= most:
+        return counts
+    totals = (
+        df.select(F.explode("n_gram").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("total"))
+    )
+    return most_frequent(counts.join(totals, "term"), "total", "term", most).select("term", "df")
 
 
 def feature_rows(df: DataFrame, vocabulary: DataFrame, key: str = "id") -> DataFrame:

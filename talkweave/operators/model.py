@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
@@ -16,6 +19,9 @@ from talkweave.functions.columns import threshold_flag
 # A comment counts as positive or negative above these chances.
 THRESHOLDS = {"pos": 0.2, "neg": 0.25}
 
+# Fewer labelled rows than this are not worth a task of their own.
+ROWS_PER_TASK = 5000
+
 
 def logistic_regression(kind: str) -> LogisticRegression:
     """The classifier for ``pos`` or ``neg``, with column names of its own.
@@ -49,7 +55,8 @@ def fit_classifier(
 ) -> CrossValidatorModel:
     """Cross-validate over ``reg_params`` and refit the best on all of ``train``.
 
-    The labelled rows are kept for the many passes over them.
+    The labelled rows are kept for the many passes over them, in no more tasks
+    than they fill: every iteration of every fold waits for all tasks.
     """
     estimator = logistic_regression(kind)
     grid = ParamGridBuilder().addGrid(estimator.regParam, list(reg_params)).build()
@@ -61,11 +68,27 @@ def fit_classifier(
         seed=seed,
         parallelism=parallelism,
     )
-    train = train.select("features", f"{kind}_label").persist()
+    kept = train.select("features", f"{kind}_label").persist()
     try:
-        return validator.fit(train)
+        tasks = math.ceil(kept.count() / ROWS_PER_TASK)
+        return validator.fit(kept.coalesce(max(tasks, 1)))
     finally:
-        train.unpersist()
+        kept.unpersist()
+
+
+def fit_classifiers(trains: dict[str, DataFrame], **settings) -> dict[str, CrossValidatorModel]:
+    """Fit the classifiers of all kinds at the same time.
+
+    Training is many short jobs over a small table; one classifier's jobs leave
+    most cores idle.
+    """
+
+    def fit(kind: str) -> CrossValidatorModel:
+        return fit_classifier(trains[kind], kind, **settings)
+
+    session = next(iter(trains.values())).sparkSession
+    with ThreadPool(len(trains)) as pool:
+        return dict(zip(trains, pool.map(inheritable_thread_target(session)(fit), trains)))
 
 
 def save_classifier(model: CrossValidatorModel, path: str) -> None:

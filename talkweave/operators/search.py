@@ -42,20 +42,24 @@ def query_tokens(queries: DataFrame, escape_quotes: bool = False) -> DataFrame:
     )
 
 
-def build_tfidf(documents: DataFrame, key: str = "song_id", text: str = "text") -> DataFrame:
+def build_tfidf(
+    documents: DataFrame, key: str = "song_id", text: str = "text", tokens: DataFrame | None = None
+) -> DataFrame:
     """The index ``(key, token, score)`` with score ``tf * ln(N / df)``.
 
     Words are counted inside each document, so the first shuffle carries one
     count per token and task. Term frequencies then meet document frequencies by
-    token; tokens found in much of all documents are salted.
+    token; tokens found in much of all documents are salted. A table of distinct
+    ``tokens`` limits the index to them, before anything is shuffled.
     """
     total = documents.select(F.count(F.lit(1))).scalar()
-    counts = (
-        documents.select(F.explode(F.array_distinct(unigrams(F.col(text)))).alias("token"))
-        .groupBy("token")
-        .agg(F.count(F.lit(1)).alias("df"))
-    )
+    words = documents.select(F.explode(F.array_distinct(unigrams(F.col(text)))).alias("token"))
     frequencies = documents.select(key, F.inline(term_counts(F.col(text))))
+    if tokens is not None:
+        wanted = broadcast_if_small(tokens)
+        words = words.join(wanted, "token", "left_semi")
+        frequencies = frequencies.join(wanted, "token", "left_semi")
+    counts = words.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     # Every token has a count; as a left join, only the counts can be broadcast.
     hot = hot_keys(counts, "token", "df")
     joined = salted_join(frequencies, counts, "token", hot, key, "left")

@@ -12,6 +12,7 @@ from talkweave.functions.columns import strip_kind, threshold_flag, utc_day
 from talkweave.functions.states import STATES, UNCHARTED_REGIONS
 from talkweave.operators import chart, features, model, prepare, rollup, search
 from talkweave.plans import planted
+from talkweave.session import stage
 from talkweave.sources import tables, views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,14 +63,17 @@ def _labeled(spark: SparkSession, folder: str) -> DataFrame:
     return features.add_ngrams(prepare.add_labels(labeled))
 
 
-def _index(spark: SparkSession, folder: str) -> DataFrame:
-    return search.build_tfidf(views.lyrics(spark, folder))
+def _index(spark: SparkSession, folder: str, asked: DataFrame | None = None) -> DataFrame:
+    """The index over all documents, or its part for the tokens of some queries."""
+    tokens = None if asked is None else search.query_tokens(asked).select("token").distinct()
+    return search.build_tfidf(views.lyrics(spark, folder), tokens=tokens)
 
 
 def _searched(spark: SparkSession, folder: str) -> tuple[DataFrame, ...]:
+    asked = _planted(spark, planted.QUERIES)
     return (
-        _planted(spark, planted.QUERIES),
-        _index(spark, folder),
+        asked,
+        _index(spark, folder, asked),
         views.songs(spark, folder),
         views.artists(spark, folder),
     )
@@ -101,10 +105,8 @@ def _weights(spark: SparkSession, folder: str) -> tuple[DataFrame, dict]:
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("n"), *label_sums)
         .filter("n >= 10")
-        .orderBy(F.desc("n"), "term")
-        .limit(features.MAX_TERMS)
     )
-    weights = counted.select(
+    weights = features.most_frequent(counted, "n", "term", features.MAX_TERMS).select(
         "term",
         *[(0.05 * (_log_odds(f"n_{kind}", "n") - prior[kind])).alias(kind) for kind in ("pos", "neg")],
     )
@@ -178,7 +180,8 @@ def p5_filter_states(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def p6_match_tokens(spark: SparkSession, folder: str) -> DataFrame:
-    matched = search.match_tokens(_planted(spark, planted.QUERIES), _index(spark, folder))
+    asked, index, _, _ = _searched(spark, folder)
+    matched = search.match_tokens(asked, index)
     return _rounded(matched.select("query_id", "song_id", "token", "score"), "score")
 
 
@@ -352,7 +355,7 @@ def q3_search_passages(spark: SparkSession, folder: str) -> DataFrame:
     asked = tables.read_table(spark, folder, "benchmark").select(
         F.col("item_id").alias("query_id"), F.lower("text").alias("query"), F.lit("and").alias("query_type")
     )
-    return _rounded(search.rank_songs(asked, _index(spark, folder), strict_duplicates=False), "score")
+    return _rounded(search.rank_songs(asked, _index(spark, folder, asked), strict_duplicates=False), "score")
 
 
 # --- text and dates -----------------------------------------------------------
@@ -475,7 +478,7 @@ def m11_score_linear(spark: SparkSession, folder: str) -> DataFrame:
 
 def _featured(spark: SparkSession, folder: str) -> tuple:
     """The fitted vocabulary and the labelled comments as feature vectors."""
-    labeled = tables.stage(_labeled(spark, folder).select("Input_id", "n_gram", "pos_label", "neg_label"))
+    labeled = stage(_labeled(spark, folder).select("Input_id", "n_gram", "pos_label", "neg_label"))
     vocabulary = features.fit_vocabulary(labeled)
     return vocabulary, features.vectorize(vocabulary, labeled)
 
@@ -490,26 +493,27 @@ def m6_fit_logistic_regression(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(weights, "term string, weight double")
 
 
+def _trained(spark: SparkSession, folder: str) -> tuple:
+    """The vocabulary, both classifiers, and the halves they have not seen."""
+    vocabulary, labeled = _featured(spark, folder)
+    halves = {kind: prepare.split_by_hash(labeled, "Input_id", 50, kind) for kind in model.THRESHOLDS}
+    fitted = model.fit_classifiers({kind: half[0] for kind, half in halves.items()})
+    return vocabulary, fitted, {kind: half[1] for kind, half in halves.items()}
+
+
 @query
 def m7_cross_validate(spark: SparkSession, folder: str) -> DataFrame:
     """Mean area under the ROC curve over the folds, on the training half."""
-    _, labeled = _featured(spark, folder)
-    rows = []
-    for kind in model.THRESHOLDS:
-        train, _ = prepare.split_by_hash(labeled, "Input_id", 50, kind)
-        rows.append((kind, 1.0, float(model.fit_classifier(train, kind).avgMetrics[0])))
+    _, fitted, _ = _trained(spark, folder)
+    rows = [(kind, 1.0, float(best.avgMetrics[0])) for kind, best in fitted.items()]
     return spark.createDataFrame(rows, "kind string, reg_param double, mean_area double")
 
 
 def _applied(spark: SparkSession, folder: str) -> DataFrame:
     """All comments, scored by both trained classifiers."""
-    vocabulary, labeled = _featured(spark, folder)
-    fitted = []
-    for kind in model.THRESHOLDS:
-        train, _ = prepare.split_by_hash(labeled, "Input_id", 50, kind)
-        fitted.append(model.fit_classifier(train, kind))
+    vocabulary, fitted, _ = _trained(spark, folder)
     corpus = features.vectorize(vocabulary, features.add_ngrams(_kept(spark, folder)))
-    return model.score(corpus, *fitted)
+    return model.score(corpus, fitted["pos"], fitted["neg"])
 
 
 @query
@@ -530,9 +534,6 @@ def m9_score(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def m12_evaluate(spark: SparkSession, folder: str) -> DataFrame:
     """Area under the ROC curve on the half the models have not seen."""
-    _, labeled = _featured(spark, folder)
-    rows = []
-    for kind in model.THRESHOLDS:
-        train, test = prepare.split_by_hash(labeled, "Input_id", 50, kind)
-        rows.append((kind, float(model.evaluate(model.fit_classifier(train, kind), test, kind))))
+    _, fitted, unseen = _trained(spark, folder)
+    rows = [(kind, float(model.evaluate(best, unseen[kind], kind))) for kind, best in fitted.items()]
     return spark.createDataFrame(rows, "kind string, area double")

@@ -28,13 +28,11 @@ def train(spark: SparkSession, comments: DataFrame, labels: DataFrame, out: str)
     vocabulary = features.fit_vocabulary(labeled)
     features.save_vocabulary(vocabulary, f"{out}/vocabulary.model")
     labeled = features.vectorize(vocabulary, labeled)
-    areas = {}
-    for kind in model.THRESHOLDS:
-        seen, unseen = prepare.split_by_hash(labeled, "Input_id", 50, kind)
-        fitted = model.fit_classifier(seen, kind)
-        model.save_classifier(fitted, f"{out}/{kind}.model")
-        areas[kind] = model.evaluate(fitted, unseen, kind)
-    return areas
+    halves = {kind: prepare.split_by_hash(labeled, "Input_id", 50, kind) for kind in model.THRESHOLDS}
+    fitted = model.fit_classifiers({kind: seen for kind, (seen, _) in halves.items()})
+    for kind, best in fitted.items():
+        model.save_classifier(best, f"{out}/{kind}.model")
+    return {kind: model.evaluate(best, halves[kind][1], kind) for kind, best in fitted.items()}
 
 
 def score_corpus(spark: SparkSession, comments: DataFrame, submissions: DataFrame, out: str) -> DataFrame:

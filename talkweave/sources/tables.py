@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from talkweave.functions.text import sanitize
-from talkweave.session import shared_folder
 
 COMMENTS = T.StructType(
     [
@@ -121,16 +120,6 @@ def ingest_comments(
     )
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and go on from the written table.
-
-    Later steps neither compute it again nor depend on the executors that did.
-    """
-    path = shared_folder(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def write_csv(df: DataFrame, path: str, one_file_rows: int = 100_000) -> None:
     """Write CSV with a header; fails if ``path`` exists.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -93,4 +94,22 @@ def test_feature_rows(spark):
     vocabulary = features.vocabulary_table(df, min_df=2)
     assert sorted(map(tuple, vocabulary.collect())) == [("b", 2)]
     assert sorted(map(tuple, features.feature_rows(df, vocabulary).collect())) == [("1", "b"), ("2", "b")]
-    assert features.vocabulary_table(df, min_df=1, max_terms=1).first()["term"] == "b"
+
+
+def test_vocabulary_over_the_limit_equals_the_estimator(spark):
+    texts = [(f"w{i % 7} " * (i % 4 + 1) + "x, " * i + "y",) for i in range(30)]
+    df = features.add_ngrams(spark.createDataFrame(texts, "body string")).persist()
+    for size in (1, 2, 9):
+        fitted = CountVectorizer(inputCol="n_gram", outputCol="f", minDF=2.0, binary=True, vocabSize=size).fit(df)
+        rows = features.vocabulary_table(df, min_df=2, max_terms=size).collect()
+        assert len(rows) == size
+        totals = df.select(F.explode("n_gram").alias("term")).groupBy("term").count()
+        total = {r["term"]: r["count"] for r in totals.collect()}
+        assert sorted(total[r["term"]] for r in rows) == sorted(total[t] for t in fitted.vocabulary)
+
+
+def test_both_classifiers_at_once(trained):
+    *_, fitted, halves = trained
+    both = model.fit_classifiers({kind: half[0] for kind, half in halves.items()}, folds=2)
+    for kind in model.THRESHOLDS:
+        assert both[kind].bestModel.coefficients == fitted[kind].bestModel.coefficients

@@ -7,7 +7,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.errors import AnalysisException
 
-from talkweave.session import shared_folder
+from talkweave.session import shared_folder, stage
 from talkweave.sources import tables
 
 
@@ -79,7 +79,7 @@ def test_shared_folder_follows_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     assert shared_folder(spark).startswith(root)
     assert shared_folder(spark) != shared_folder(spark)
-    staged = tables.stage(spark.range(5))
+    staged = stage(spark.range(5))
     assert staged.count() == 5 and root in staged.inputFiles()[0]
 
 
