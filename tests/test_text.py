@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 import sys
 import unicodedata
@@ -107,3 +108,35 @@ def test_longer_grams_are_fewer(spark):
         F.size(tx.unigrams(c)).alias("a"), F.size(tx.bigrams(c)).alias("b"), F.size(tx.trigrams(c)).alias("c")
     )
     assert counts.filter("NOT (c <= b AND b <= a)").count() == 0
+
+
+def _plain_grams(text: str) -> tuple[str, ...]:
+    """The four strings of ``sanitize``, the slow and simple way."""
+    text = text.replace("[", "").replace("]", "").replace("\n", " ").replace("\t", " ")
+    text = re.sub(r"(https?://|www\.)\S+", "", text)
+    found = []
+    for piece in re.split(r"([,.!?;:])|\s+", text):
+        if piece in tx.PUNCTUATION:
+            found.append(piece)
+        elif piece:
+            solid = [i for i, ch in enumerate(piece) if ch.isalpha() or ch.isdigit()]
+            found += [piece[solid[0] : solid[-1] + 1]] if solid else []
+    parsed = " ".join(found).lower()
+    words = parsed.split()
+    grams = [
+        ["_".join(words[i : i + n]) for i in range(len(words) - n + 1) if not set(words[i : i + n]) & set(tx.PUNCTUATION)]
+        for n in (1, 2, 3)
+    ]
+    return (parsed, *(" ".join(g) for g in grams))
+
+
+def test_random_texts_against_plain_python(spark):
+    pieces = [
+        *"aB\u00e9\u00df\u0130\u03a3\u0301" * 2, *"37\u00b2\u2460\u00bd\u0663", *",.!?;:", *"-*_()'\"&",
+        *" \t\n\r\x1c\x85\u00a0\u2003\u3000", *"   ", *"[]", "http://", "https:", "www.", "\U0001f100", "\U0001f600",
+    ]
+    rng = random.Random(7)
+    texts = ["".join(rng.choices(pieces, k=rng.randrange(40))) for _ in range(4000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string").repartition(8)
+    for row in df.select("i", tx.sanitize(F.col("text")).alias("s")).collect():
+        assert tuple(row["s"]) == _plain_grams(texts[row["i"]]), repr(texts[row["i"]])
