@@ -42,10 +42,10 @@ _MARKS = "".join(PUNCTUATION)
 # matcher never backtracks. Most characters meet the first class alone, so it
 # asks for the long list of rare digits only within their range.
 _WORD_CHARACTER = rf"[\p{{L}}\p{{Nd}}{_LATIN_DIGITS}[\x{{1369}}-\x{{1F10A}}&&[{_FURTHER_DIGITS}]]]"
-_TOKEN_PATTERN = (
-    rf"[{_MARKS}]"
-    rf"|{_WORD_CHARACTER}++(?:[^{WHITESPACE}{_MARKS}{ALPHANUMERIC}]++{_WORD_CHARACTER}++)*+"
+_WORD_PATTERN = (
+    rf"{_WORD_CHARACTER}++(?:[^{WHITESPACE}{_MARKS}{ALPHANUMERIC}]++{_WORD_CHARACTER}++)*+"
 )
+_TOKEN_PATTERN = rf"[{_MARKS}]|{_WORD_PATTERN}"
 
 
 def normalize(text: Column) -> Column:
@@ -70,10 +70,14 @@ def isolate_punct(text: Column) -> Column:
     return F.regexp_replace(text, f"[{_MARKS}]", " $0 ")
 
 
+def _extract(text: Column, pattern: str) -> Column:
+    clean = strip_urls(normalize(F.coalesce(text, F.lit(""))))
+    return F.regexp_extract_all(clean, F.lit(pattern), F.lit(0))
+
+
 def tokens(text: Column) -> Column:
     """Array of tokens in their own case, punctuation marks included."""
-    clean = strip_urls(normalize(F.coalesce(text, F.lit(""))))
-    return F.regexp_extract_all(clean, F.lit(_TOKEN_PATTERN), F.lit(0))
+    return _extract(text, _TOKEN_PATTERN)
 
 
 def parsed_text(text: Column) -> Column:
@@ -110,7 +114,8 @@ def _bigrams_of(words: Column) -> Column:
 
 def unigrams(text: Column) -> Column:
     """Tokens that are not punctuation."""
-    return F.array_compact(_words(parsed_text(text)))
+    words = F.lower(F.array_join(_extract(text, _WORD_PATTERN), " "))
+    return F.array_remove(F.split(words, " "), "")
 
 
 def bigrams(text: Column) -> Column:
