@@ -35,6 +35,18 @@ SELECT doc_id, cast(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+ORACLE["op4_warc"] = """
+WITH page AS (
+  SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages
+), judged AS (
+  SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY html) END AS first FROM page
+)
+SELECT page_id, cast(n AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN page_id < first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < first THEN first END AS refers_to
+FROM judged
+"""
+
 ORACLE["op5_chat_formatting"] = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

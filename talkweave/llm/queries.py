@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkweave.llm import chat, decontaminate, line_dedup, pii, quality
-from talkweave.llm.rows import shown_id
+from talkweave.llm import chat, decontaminate, line_dedup, pii, quality, simhash, warc
+from talkweave.llm.rows import LAST_ID, shown_id
+from talkweave.session import shared_folder
 from talkweave.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +37,27 @@ def op3_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     )
 
 
+@query
+def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page written to archives, and its record read back from them.
+
+    The payloads of responses are read and hashed; revisits are told by headers.
+    """
+    path = shared_folder(spark)
+    warc.write_pages(read_table(spark, folder, "pages"), path)
+    # Each scan is read on its own, as each takes over its own predicate.
+    responses = warc.read_archive(spark, path).filter("warc_type = 'response'").withColumn("digest", F.sha1("payload"))
+    revisits = warc.read_archive(spark, path).filter("warc_type = 'revisit'")
+    revisits = revisits.withColumn("digest", F.substring("payload_digest", 6, 40))
+    return responses.unionByName(revisits).select(
+        warc.page_id(F.col("record_id")).alias("page_id"),
+        F.col("payload_length").alias("payload_bytes"),
+        F.col("digest").alias("payload_digest"),
+        F.col("warc_type").alias("record_type"),
+        warc.page_id(F.col("refers_to")).alias("refers_to"),
+    )
+
+
 @query
 def op5_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     """Every conversation formatted, and what is read back from the output."""
@@ -111,3 +133,14 @@ def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(written(base).cast("binary"), 256).alias("base_sha256"),
         written(F.col("spans")).alias("spans"),
     )
+
+
+@query
+def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """The fingerprint of every document and the least document of its group."""
+    groups = simhash.near_duplicates(read_table(spark, folder, "documents"))
+    return groups.select(
+        shown_id(),
+        F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
+        F.nullif("component_id", F.lit(LAST_ID)).alias("component_id"),
+    )
