@@ -7,6 +7,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
@@ -43,6 +44,32 @@ def in_tasks(
     return df.mapInArrow(function, schema)
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], key: str, least: int = 1 << 16) -> Iterator[pa.Table]:
+    """Put batches sorted by ``key`` together so that no table ends within a group.
+
+    A table has ``least`` rows or more, but for the last one; memory is bounded by
+    that and by the largest group.
+    """
+    held: list[pa.RecordBatch] = []
+    count = 0
+    for batch in batches:
+        held.append(batch)
+        count += len(batch)
+        if count < least:
+            continue
+        table = pa.Table.from_batches(held)
+        keys = table.column(key).to_numpy()
+        changes = np.flatnonzero(keys[1:] != keys[:-1])
+        if len(changes):
+            cut = int(changes[-1]) + 1
+            yield table.slice(0, cut)
+            held = table.slice(cut).to_batches()
+            count -= cut
+        least = max(least, 2 * count)
+    if count:
+        yield pa.Table.from_batches(held)
+
+
 def row_id() -> Column:
     """``doc_id`` as a number, or the largest one where it is missing."""
     return F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST_ID))

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from talkweave.llm import words as W
 from talkweave.llm.components import connected
-from talkweave.llm.rows import in_tasks, keyed
+from talkweave.llm.rows import in_tasks, keyed, whole_groups
 from talkweave.session import stage
 
 SHINGLE = 4
@@ -267,30 +267,12 @@ def bucket_groups(prints: np.ndarray, bucket: np.ndarray, radius: int = RADIUS)
 
 def _links(radius: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-
-        def groups(rows: np.ndarray) -> pa.RecordBatch:
-            prints = rows["fingerprint"].view(np.uint64).copy()
-            label = bucket_groups(prints, rows["bucket"], radius)
+        for table in whole_groups(batches, "bucket"):
+            prints = table.column("fingerprint").to_numpy().view(np.uint64)
+            label = bucket_groups(prints, table.column("bucket").to_numpy(), radius)
             linked = np.flatnonzero(label != np.arange(len(label)))
             a, b = prints[linked].view(np.int64), prints[label[linked]].view(np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-
-        for batch in batches:
-            rows = np.empty(len(batch), [("bucket", np.int64), ("fingerprint", np.int64)])
-            rows["bucket"] = batch.column("bucket").to_numpy()
-            rows["fingerprint"] = batch.column("fingerprint").to_numpy()
-            changes = np.flatnonzero(rows["bucket"][1:] != rows["bucket"][:-1])
-            cut = changes[-1] + 1 if len(changes) else 0
-            if held and (cut or rows["bucket"][0] != held[-1]["bucket"][-1]):
-                whole = np.concatenate([*held, rows[:cut]])
-                held = []
-                yield groups(whole)
-            elif cut:
-                yield groups(rows[:cut])
-            held.append(rows[cut:])
-        if held:
-            yield groups(np.concatenate(held))
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     return run
 
