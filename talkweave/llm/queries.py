@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkweave.llm import chat, decontaminate, line_dedup, pii, quality, simhash, substring_dedup, warc
+from talkweave.llm import chat, decontaminate, line_dedup, pii, quality, simhash, substring_dedup, suffix_dedup, warc
 from talkweave.llm.rows import LAST_ID, shown_id
 from talkweave.session import shared_folder
 from talkweave.sources.tables import read_table
@@ -151,3 +151,10 @@ def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without the 50-word windows that an earlier document holds."""
     kept = substring_dedup.remove_repeats(read_table(spark, folder, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query
+def op2_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the 200-byte strings that begin anywhere else."""
+    kept = suffix_dedup.remove_repeats(read_table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
