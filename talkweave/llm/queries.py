@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkweave.llm import chat, decontaminate, line_dedup, pii, quality, simhash, substring_dedup, suffix_dedup, warc
+from talkweave.llm import chat, decontaminate, line_dedup, packing, pii, quality, simhash, substring_dedup, suffix_dedup, warc
 from talkweave.llm.rows import LAST_ID, shown_id
 from talkweave.session import shared_folder
 from talkweave.sources.tables import read_table
@@ -158,3 +159,9 @@ def op2_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without the 200-byte strings that begin anywhere else."""
     kept = suffix_dedup.remove_repeats(read_table(spark, folder, "documents"))
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query
+def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """The place of every piece of every document in sequences of 2,048 tokens."""
+    return packing.pack(read_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
