@@ -4,7 +4,7 @@ Lengths are whole numbers up to the capacity, so a histogram of them, of at most
 as many rows as the capacity, says all that a packing depends on, however many
 documents there are. It is planned on the driver:
 
-1. Lengths above ``capacity / LARGE`` are sorted and cut into groups of equal
+1. Lengths above a part of the capacity are sorted and cut into groups of equal
    cardinality, and rounded up to the largest of their group.
 2. For these few sizes, the best mix of configurations (sets of sizes that fit) is
    found by column generation: a linear program whose new columns come from a
@@ -13,6 +13,10 @@ documents there are. It is planned on the driver:
 4. What the program leaves over, and the small lengths, go into the gaps by best
    fit in decreasing length.
 
+Which lengths count as large and how many groups there are decide how much room
+the rounding wastes and how much best fit can fill. The plan is made for each pair
+of ``SCHEMES``, from the histogram alone, and the one of fewest sequences is used.
+
 The plan says, for a run of the documents of one length, which sequences and
 offsets they get. Every document has a number among those of its length, from
 counts by task, and looks itself up. Only longer documents are cut.
@@ -42,10 +46,8 @@ from talkweave.session import stage
 
 CAPACITY = 2048
 END_ID = 0
-#: Lengths above this part of the capacity are grouped.
-LARGE = 8
-#: Numbers of groups that are tried; the plan of fewest sequences is used.
-GROUPS = (24, 64)
+#: The part of the capacity above which a length is large, and the number of groups.
+SCHEMES = ((1 / 8, 24), (1 / 4, 48), (2 / 5, 48), (1 / 2, 48))
 
 PIECE = "key_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -239,14 +241,14 @@ def _substitute(plan: Plan, queues: list[list[tuple[int, int, int]]], column: np
         done += step
 
 
-def make_plan(counts: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS[-1]) -> Plan:
-    """Pack a histogram of lengths (1 to ``capacity``)."""
+def make_plan(counts: dict[int, int], capacity: int, part: float, groups: int) -> Plan:
+    """Pack a histogram of lengths (1 to ``capacity``) by one scheme."""
     plan = Plan(capacity)
     if counts.get(capacity):
         plan.new([(capacity, 0)], counts[capacity])
     descending = sorted((n for n in counts if n < capacity and counts[n]), reverse=True)
-    large = [n for n in descending if n * LARGE > capacity]
-    rest: list[tuple[int, int, int]] = [(n, 0, counts[n]) for n in descending if n * LARGE <= capacity]
+    large = [n for n in descending if n > part * capacity]
+    rest: list[tuple[int, int, int]] = [(n, 0, counts[n]) for n in descending if n <= part * capacity]
     if large:
         queues: list[list[tuple[int, int, int]]] = []
         for group in _grouped(large, counts, groups):
@@ -266,8 +268,8 @@ def make_plan(counts: dict[int, int], capacity: int = CAPACITY, groups: int = GR
 
 
 def best_plan(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
-    """The plan of fewest sequences among the numbers of groups tried."""
-    return min((make_plan(counts, capacity, groups) for groups in GROUPS), key=lambda plan: plan.sequences)
+    """The plan of fewest sequences among those of ``SCHEMES``."""
+    return min((make_plan(counts, capacity, *scheme) for scheme in SCHEMES), key=lambda plan: plan.sequences)
 
 
 def _assign(plan: Plan):
