@@ -24,7 +24,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkweave.llm.rows import keyed, shown_id
+from talkweave.llm.rows import keyed, row_id, shown_id, text_hash
 from talkweave.session import shared_folder, stage
 
 LEAST_POINTS = 10
@@ -151,28 +151,48 @@ def dropped_lines(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     return doomed
 
 
-def drop_repeated_lines(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
-    """Each document's key and ``doc_id``, ``n_lines`` before, ``n_dropped``, and the ``kept`` text."""
-    dropped = (
+def _gone(docs: DataFrame, batches: int) -> DataFrame:
+    """The numbers of the lines to drop, in order, for each document that has any."""
+    return (
         dropped_lines(docs, batches)
         .groupBy("key_id", "key_hash")
-        .agg(F.array_sort(F.collect_set("line")).alias("gone"))
+        .agg(F.array_sort(F.collect_set("line")).alias("__gone"))
     )
-    # The lines between the dropped ones are cut out as slices, each line touched once.
-    return (
-        keyed(docs)
-        .join(dropped, ["key_id", "key_hash"], "left")
-        .withColumn("lines", F.split("text", "\n", -1))
-        .withColumn("gone", F.coalesce("gone", F.array().cast("array<int>")))
-        .withColumn("n_lines", F.size("lines").cast("bigint"))
-        .withColumn("n_dropped", F.size("gone").cast("bigint"))
-        .withColumn(
-            "kept",
-            F.expr(
-                """if(n_dropped = 0, text, array_join(flatten(zip_with(
-                    concat(array(0), transform(gone, x -> x + 1)), concat(gone, array(size(lines))),
-                    (low, high) -> slice(lines, low + 1, high - low))), '\n'))"""
-            ),
-        )
-        .select(shown_id(), "key_id", "key_hash", "n_lines", "n_dropped", "kept")
+
+
+def _with_kept(rows: DataFrame) -> DataFrame:
+    """``__lines`` and ``__kept``: the lines of ``text``, and the text without those numbered in ``__gone``.
+
+    The lines between the dropped ones are cut out as slices, each line touched once.
+    """
+    kept = F.expr(
+        """if(__gone IS NULL, text, array_join(flatten(zip_with(
+            concat(array(0), transform(__gone, x -> x + 1)), concat(__gone, array(size(__lines))),
+            (low, high) -> slice(__lines, low + 1, high - low))), '\n'))"""
     )
+    return rows.withColumn("__lines", F.split("text", "\n", -1)).withColumn("__kept", kept)
+
+
+def drop_repeated_lines(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
+    """Each document's ``doc_id``, ``n_lines`` before, ``n_dropped``, and the ``kept`` text."""
+    rows = _with_kept(keyed(docs).join(_gone(docs, batches), ["key_id", "key_hash"], "left"))
+    return rows.select(
+        shown_id(),
+        F.size("__lines").cast("bigint").alias("n_lines"),
+        F.coalesce(F.size("__gone"), F.lit(0)).cast("bigint").alias("n_dropped"),
+        F.col("__kept").alias("kept"),
+    )
+
+
+def without_lines(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
+    """``docs`` with the lines dropped from ``text``, and ``n_chars``, if there, its new length.
+
+    All other columns, and the texts that lose nothing, stay as they are.
+    """
+    gone = _gone(docs, batches).withColumnsRenamed({"key_id": "__gone_id", "key_hash": "__gone_hash"})
+    joined = docs.join(gone, (row_id() == gone["__gone_id"]) & (text_hash() == gone["__gone_hash"]), "left")
+    columns = {"text": F.col("__kept")}
+    if "n_chars" in docs.columns:
+        length = F.length("__kept").cast(docs.schema["n_chars"].dataType)
+        columns["n_chars"] = F.when(F.col("__gone").isNull(), F.col("n_chars")).otherwise(length)
+    return _with_kept(joined).withColumns(columns).select(*docs.columns)

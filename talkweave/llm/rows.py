@@ -105,3 +105,9 @@ def keep_rows(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
     """
     keys = verdicts.select(F.col("key_id").alias("_key_id"), F.col("key_hash").alias("_key_hash"))
     return docs.join(keys, (row_id() == keys["_key_id"]) & (text_hash() == keys["_key_hash"]), "left_semi")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """Of rows with equal ``doc_id`` and text, one."""
+    keys = {"__one_id": row_id(), "__one_hash": text_hash()}
+    return docs.withColumns(keys).dropDuplicates(list(keys)).drop(*keys)
