@@ -117,7 +117,7 @@ repeats AS (
 ), moments AS (
   SELECT r, sum(k) / sum(n) AS m, sum(k * k / n) / sum(n) - (sum(k) / sum(n)) ** 2 AS v FROM failures GROUP BY r
 ), prior AS (
-  SELECT r, m, CASE WHEN v > 1e-12 THEN greatest(m * (1 - m) / v - 1, 1e-3) ELSE 1e9 END AS s FROM moments
+  SELECT r, m, CASE WHEN v > 1e-12 THEN greatest(m * (1 - m) / v - 1, 2.0) ELSE 1e9 END AS s FROM moments
 ), verdict AS (
   SELECT host, max(bad) FILTER (r = 1) AS b1, max(bad) FILTER (r = 2) AS b2, max(bad) FILTER (r = 3) AS b3
   FROM (SELECT host, r, (k + m * s) / (n + s) > 0.5 AS bad FROM failures JOIN prior USING (r)) GROUP BY host

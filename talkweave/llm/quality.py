@@ -29,6 +29,8 @@ from talkweave.session import stage
 LEAST_WORDS = 20
 REPEAT_WINDOW = 8
 REPEAT_PERCENT = 30
+#: The prior counts for as many documents at least, so that one document never makes a verdict.
+LEAST_STRENGTH = 2.0
 #: A host whose shrunk rate of failure is above this has a verdict against it.
 HOST_RATE = 0.5
 
@@ -142,7 +144,7 @@ def host_rates(measured: DataFrame) -> DataFrame:
         n = whole["n"] or 1
         mean = (whole[f"n_{rule}"] or 0) / n
         variance = (whole[f"s_{rule}"] or 0.0) / n - mean * mean
-        strength = max(mean * (1 - mean) / variance - 1, 1e-3) if variance > 1e-12 else 1e9
+        strength = max(mean * (1 - mean) / variance - 1, LEAST_STRENGTH) if variance > 1e-12 else 1e9
         rate = (F.col(f"n_{rule}") + F.lit(mean * strength)) / (F.col("n_documents") + F.lit(strength))
         out = out.withColumn(f"rate_{rule}", rate).withColumn(f"bad_{rule}", rate > HOST_RATE)
     return out

@@ -172,7 +172,8 @@ def bit_planes(prints: np.ndarray) -> np.ndarray:
     padded = np.zeros(64 * blocks, U)
     padded[: len(prints)] = prints
     bits = np.unpackbits(padded.view(np.uint8), bitorder="little").reshape(blocks, 64, 64)
-    return np.packbits(bits.transpose(0, 2, 1), axis=2, bitorder="little").view(np.uint64)[:, :, 0]
+    vertical = np.packbits(bits.transpose(0, 2, 1), axis=2, bitorder="little")
+    return np.ascontiguousarray(vertical).view(np.uint64)[:, :, 0]
 
 
 def _add(ones: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
