@@ -11,7 +11,7 @@ import os
 import time
 
 from talkweave.plans.queries import QUERIES
-from talkweave.session import build_session
+from talkweave.session import build_session, clear_scratch
 
 HEADLINE = [
     "x10_ngrams",
@@ -39,6 +39,8 @@ def main() -> None:
         f"local[{cpus}]",
         **{
             "spark.sql.shuffle.partitions": cpus,
+            # The table is one file of few row groups; see tables.spread.
+            "spark.talkweave.textPartitions": cpus,
             "spark.ui.enabled": "false",
             "spark.driver.memory": "16g",
             "spark.driver.host": "127.0.0.1",
@@ -65,6 +67,7 @@ def main() -> None:
             }
         )
     )
+    clear_scratch(spark)
     spark.stop()
 
 

@@ -160,8 +160,8 @@ def sanitize(text: Column) -> Column:
     )
 
 
-def term_counts(text: Column) -> Column:
-    """Array of (token, tf) structs over the unigrams of a text.
+def term_counts(words: Column) -> Column:
+    """Array of (token, tf) structs over an array of words; NULL if it is empty.
 
     Sorting the words and measuring the runs counts them inside the row, so an
     index build needs no shuffle by document.
@@ -185,4 +185,4 @@ def term_counts(text: Column) -> Column:
         )
         return F.when(size > 0, counted)
 
-    return bind(F.sort_array(unigrams(text)), runs)
+    return bind(F.sort_array(words), runs)

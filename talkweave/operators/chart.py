@@ -24,8 +24,8 @@ def to_chart(rollup: DataFrame) -> DataFrame:
 
 
 def drop_dates(by_day: DataFrame, days: Iterable[str] = BAD_DAYS) -> DataFrame:
-    """Drop the days known to be wrong; ``date`` is still text."""
-    return by_day.filter(~F.col("date").isin(list(days)))
+    """Drop the days known to be wrong; ``date`` is still text. A missing date stays."""
+    return by_day.filter(F.col("date").isNull() | ~F.col("date").isin(list(days)))
 
 
 def parse_dates(by_day: DataFrame) -> DataFrame:
@@ -50,12 +50,13 @@ def sentiment_difference(by_state: DataFrame) -> DataFrame:
     )
 
 
-def chart_weight(differences: DataFrame, vmax: float = 100.0) -> DataFrame:
-    """Colour weights of the shares and of their difference; ``vmax`` is full scale."""
+def chart_weight(differences: DataFrame, vmax: float = 100.0, vmin: float = 0.0) -> DataFrame:
+    """Colour weights of the shares and of their difference, on a scale from ``vmin`` to ``vmax``."""
+    span = vmax - vmin
     return differences.withColumns(
         {
-            "pos_weight": 1 - F.sqrt(F.col("pos") / vmax),
-            "neg_weight": 1 - F.sqrt(F.col("neg") / vmax),
-            "difference_weight": 1 - F.abs(F.col("difference")) / vmax,
+            "pos_weight": 1 - F.sqrt((F.col("pos") - vmin) / span),
+            "neg_weight": 1 - F.sqrt((F.col("neg") - vmin) / span),
+            "difference_weight": 1 - (F.abs(F.col("difference")) - vmin) / span,
         }
     )

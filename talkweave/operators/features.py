@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import CountVectorizerModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkweave.functions.text import ngrams
+from talkweave.functions.text import ngrams, term_counts
 from talkweave.session import stage
 
-# The most terms a vocabulary may hold. It bounds the fitted model, and with it
-# every vocabulary or coefficient table that is broadcast below.
-MAX_TERMS = 1 << 18
+# The most terms of a fitted vocabulary, as in the estimator that it stands for.
+VOCAB_SIZE = 1 << 18
 
 
 def add_ngrams(df: DataFrame, text: str = "body") -> DataFrame:
@@ -19,14 +18,16 @@ def add_ngrams(df: DataFrame, text: str = "body") -> DataFrame:
     return df.withColumn("n_gram", ngrams(F.col(text)))
 
 
-def fit_vocabulary(df: DataFrame, min_df: int = 10) -> CountVectorizerModel:
+def fit_vocabulary(df: DataFrame, min_df: int = 10, vocab_size: int = VOCAB_SIZE) -> CountVectorizerModel:
     """Fit the terms found in at least ``min_df`` rows of ``n_gram``, by presence.
 
-    The terms are counted as a DataFrame; the driver receives at most
-    ``MAX_TERMS`` of them, as any fitted vocabulary is held there.
+    If there are more than ``vocab_size`` of them, those that occur most often are
+    kept, repeats within a row included; ties go to the lower MD5 digest of the
+    term. The driver receives that many terms, as any fitted vocabulary is held there.
     """
-    table = vocabulary_table(df, min_df)
-    terms = [row["term"] for row in table.orderBy(F.desc("df"), "term").select("term").collect()]
+    counts = stage(term_totals(df).filter(F.col("df") >= min_df))
+    chosen = most_frequent(counts, "total", "term", vocab_size)
+    terms = [row["term"] for row in chosen.orderBy(F.desc("total"), "term").select("term").collect()]
     return CountVectorizerModel.from_vocabulary(terms, "n_gram", "features", binary=True)
 
 
@@ -43,73 +44,97 @@ def load_vocabulary(path: str) -> CountVectorizerModel:
     return CountVectorizerModel.load(path)
 
 
+def vocabulary_rows(spark: SparkSession, path: str) -> DataFrame:
+    """A saved vocabulary as rows ``(position, term)``."""
+    return spark.read.parquet(f"{path}/data").select(F.posexplode("vocabulary").alias("position", "term"))
+
+
 def term_rows(df: DataFrame, *keys: str) -> DataFrame:
     """One row per key and distinct n-gram; repeats are removed inside the row."""
     return df.select(*keys, F.explode(F.array_distinct("n_gram")).alias("term"))
 
 
+def term_totals(df: DataFrame) -> DataFrame:
+    """``term``, the rows that hold it (``df``), and how often it occurs (``total``), in one pass."""
+    rows = df.select(F.inline(term_counts(F.col("n_gram")))).withColumnRenamed("token", "term")
+    return rows.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
+
+
+def _cutoff(rows: DataFrame, column: str, most: int) -> tuple[int, int]:
+    """The least bound so that ``most`` rows or more have ``column`` up to it, and how many are below it.
+
+    The range is narrowed by counting a few hundred parts of it at a time, so
+    neither a sort nor a row reaches a single task.
+    """
+    low, high = rows.agg(F.min(column), F.max(column)).first()
+    below = 0
+    while low < high:
+        width = -(-(high - low + 1) // 256)
+        part = F.expr(f"({column} - {low}) DIV {width}").alias("part")
+        sizes = dict(
+            rows.filter(F.col(column).between(low, high)).groupBy(part).agg(F.count(F.lit(1)).alias("n")).collect()
+        )
+        for number in range(256):
+            if below + sizes.get(number, 0) >= most:
+                break
+            below += sizes.get(number, 0)
+        low, high = low + number * width, min(high, low + (number + 1) * width - 1)
+    return low, below
+
+
 def most_frequent(counts: DataFrame, count: str, key: str, most: int) -> DataFrame:
-    """The ``most`` rows with the highest counts; ties go to the lower key.
+    """The ``most`` rows with the highest counts; ties go to the lower MD5 digest of the key.
 
-    The counts are written once, and returned as they are if few enough. Else a
-    plain top-k would send ``most`` rows from every task to a single one: how
-    often each count occurs gives the count of the last row wanted, and only
-    rows at or above it are sorted.
+    ``counts`` is a written table. First the count of the last row wanted is found,
+    then among its ties the digest of the last one.
     """
-    counts = stage(counts)
     if counts.count() <= most:
         return counts
-    sizes = counts.groupBy(count).agg(F.count(F.lit(1)).alias("keys"))
-    running = sizes.select(count, F.sum("keys").over(Window.orderBy(F.desc(count))).alias("so_far"))
-    cutoff = running.filter(F.col("so_far") >= most).agg(F.max(count)).scalar()
-    return counts.filter(F.col(count) >= cutoff).orderBy(F.desc(count), key).limit(most)
+    order = F.conv(F.substring(F.md5(F.col(key)), 1, 15), 16, 10).cast("bigint")
+    ranked = counts.withColumn("falling", -F.col(count)).withColumn("digest", order)
+    bound, below = _cutoff(ranked, "falling", most)
+    ties = ranked.filter(F.col("falling") == bound)
+    last, _ = _cutoff(ties, "digest", most - below)
+    chosen = (F.col("falling") < bound) | ((F.col("falling") == bound) & (F.col("digest") <= last))
+    # Digests of 60 bits tie by chance alone; the few rows too many go by their key.
+    return ranked.filter(chosen).orderBy("falling", "digest", key).limit(most).drop("falling", "digest")
 
 
-def vocabulary_table(df: DataFrame, min_df: int = 10, max_terms: int = MAX_TERMS) -> DataFrame:
-    """The vocabulary as rows ``(term, df)``, at most ``max_terms`` of them.
+def vocabulary_table(df: DataFrame, min_df: int = 10) -> DataFrame:
+    """The vocabulary as rows ``(term, df)``: all terms found in at least ``min_df`` rows.
 
     Tasks count their own terms before the shuffle, so a term found in every
-    document costs one row per task. If too many terms are left, those that
-    occur most often are kept, repeats within a row included.
+    document costs one row per task.
     """
-    most = min(max_terms, MAX_TERMS)
-    counts = stage(
-        term_rows(df)
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("df"))
-        .filter(F.col("df") >= min_df)
-    )
-    if counts.count() <= most:
-        return counts
-    totals = (
-        df.select(F.explode("n_gram").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("total"))
-    )
-    return most_frequent(counts.join(totals, "term"), "total", "term", most).select("term", "df")
+    counts = term_rows(df).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    return counts.filter(F.col("df") >= min_df)
 
 
 def feature_rows(df: DataFrame, vocabulary: DataFrame, key: str = "id") -> DataFrame:
     """The features as rows ``(key, term)``, one per vocabulary term found.
 
-    ``vocabulary`` is a vocabulary table, of at most ``MAX_TERMS`` rows; it is
-    broadcast, so the exploded terms are filtered where they are made.
+    Pass a written vocabulary: its size in bytes then decides whether it is
+    broadcast to the terms or both are shuffled.
     """
-    terms = F.broadcast(vocabulary.select("term"))
-    return term_rows(df, key).join(terms, "term", "left_semi").select(key, "term")
+    return term_rows(df, key).join(vocabulary.select("term"), "term", "left_semi").select(key, "term")
 
 
 def score_linear(df: DataFrame, keys: list[str], weights: DataFrame, intercept: dict) -> DataFrame:
     """Logistic scores as a query: sigmoid of the intercept plus the term weights.
 
-    ``weights`` holds ``term`` and one column per score, for at most
-    ``MAX_TERMS`` terms; ``intercept`` maps those columns to numbers or columns.
-    ``keys`` identify a row. All terms of a row sit in one task and are added up
-    there, so one row per key crosses the shuffle, never the terms.
+    ``weights`` holds ``term`` and one column per score; ``intercept`` maps those
+    columns to numbers or columns. Pass written weights: their size in bytes
+    decides how they are joined. Every row of ``df`` gives one row, also where
+    ``keys`` are equal. Where the weights are broadcast, all terms of a row are
+    added up in its task, and one row per row crosses the shuffle.
     """
-    terms = df.select(*keys, F.explode_outer(F.array_distinct("n_gram")).alias("term"))
+    rows = df.withColumn("row_number", F.monotonically_increasing_id())
+    terms = rows.select("row_number", *keys, F.explode_outer(F.array_distinct("n_gram")).alias("term"))
     sums = (
-        terms.join(F.broadcast(weights), "term", "left")
-        .groupBy(*keys)
+        terms.join(weights, "term", "left")
+        .groupBy("row_number", *keys)
         .agg(*[F.coalesce(F.sum(name), F.lit(0.0)).alias(name) for name in intercept])
+        .drop("row_number")
     )
     return sums.withColumns(
         {

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from multiprocessing.pool import ThreadPool
 
@@ -11,17 +10,15 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from talkweave.functions.columns import threshold_flag
+from talkweave.functions.columns import hash_bucket, threshold_flag
+from talkweave.session import stage
 
 # A comment counts as positive or negative above these chances.
 THRESHOLDS = {"pos": 0.2, "neg": 0.25}
 
-# Fewer labelled rows than this are not worth a task of their own.
-ROWS_PER_TASK = 5000
-
 
 def logistic_regression(kind: str) -> LogisticRegression:
     """The classifier for ``pos`` or ``neg``, with column names of its own.
@@ -40,23 +37,29 @@ def logistic_regression(kind: str) -> LogisticRegression:
 
 
 def area_under_roc(kind: str) -> BinaryClassificationEvaluator:
+    """The area under the whole ROC curve: its points are not thinned out into bins."""
     return BinaryClassificationEvaluator(
-        rawPredictionCol=f"{kind}_rawPredict", labelCol=f"{kind}_label", metricName="areaUnderROC"
+        rawPredictionCol=f"{kind}_rawPredict", labelCol=f"{kind}_label", metricName="areaUnderROC", numBins=0
     )
 
 
+def add_fold(train: DataFrame, kind: str, key: str, folds: int = 5) -> DataFrame:
+    """Add ``fold``, from a hash of the key; it does not depend on order or layout."""
+    return train.withColumn("fold", hash_bucket(F.col(key), folds, f"fold {kind}").cast("int"))
+
+
 def fit_classifier(
     train: DataFrame,
     kind: str,
+    key: str,
     reg_params: Sequence[float] = (1.0,),
     folds: int = 5,
-    seed: int = 0,
     parallelism: int = 4,
 ) -> CrossValidatorModel:
     """Cross-validate over ``reg_params`` and refit the best on all of ``train``.
 
-    The labelled rows are kept for the many passes over them, in no more tasks
-    than they fill: every iteration of every fold waits for all tasks.
+    The labelled rows are written once for the many passes over them, in one
+    order: the sums of a fit then come out alike whatever the layout of the input.
     """
     estimator = logistic_regression(kind)
     grid = ParamGridBuilder().addGrid(estimator.regParam, list(reg_params)).build()
@@ -65,18 +68,14 @@ def fit_classifier(
         estimatorParamMaps=grid,
         evaluator=area_under_roc(kind),
         numFolds=folds,
-        seed=seed,
+        foldCol="fold",
         parallelism=parallelism,
     )
-    kept = train.select("features", f"{kind}_label").persist()
-    try:
-        tasks = math.ceil(kept.count() / ROWS_PER_TASK)
-        return validator.fit(kept.coalesce(max(tasks, 1)))
-    finally:
-        kept.unpersist()
+    rows = add_fold(train, kind, key, folds).select(key, "fold", "features", f"{kind}_label")
+    return validator.fit(stage(rows.repartitionByRange(key).sortWithinPartitions(key)))
 
 
-def fit_classifiers(trains: dict[str, DataFrame], **settings) -> dict[str, CrossValidatorModel]:
+def fit_classifiers(trains: dict[str, DataFrame], key: str, **settings) -> dict[str, CrossValidatorModel]:
     """Fit the classifiers of all kinds at the same time.
 
     Training is many short jobs over a small table; one classifier's jobs leave
@@ -84,7 +83,7 @@ def fit_classifiers(trains: dict[str, DataFrame], **settings) -> dict[str, Cross
     """
 
     def fit(kind: str) -> CrossValidatorModel:
-        return fit_classifier(trains[kind], kind, **settings)
+        return fit_classifier(trains[kind], kind, key, **settings)
 
     session = next(iter(trains.values())).sparkSession
     with ThreadPool(len(trains)) as pool:
@@ -99,6 +98,30 @@ def load_classifier(path: str) -> CrossValidatorModel:
     return CrossValidatorModel.load(path)
 
 
+def weight_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The weights of a stored classifier as rows ``(position, weight)``; the intercept is at -1."""
+    data = spark.read.parquet(f"{path}/bestModel/data")
+    weights = data.select(F.posexplode(F.unwrap_udt("coefficientMatrix")["values"]).alias("position", "weight"))
+    intercept = F.unwrap_udt("interceptVector")["values"][0]
+    return weights.unionByName(data.select(F.lit(-1).alias("position"), intercept.alias("weight")))
+
+
+def area_by_ranks(scored: DataFrame, kind: str) -> DataFrame:
+    """The area under the ROC curve as one row, from the ranks of the chances, ties by halves.
+
+    Chances are added up per value first; the running sums over the values of a
+    labelled half are its only ordered step.
+    """
+    chance = vector_to_array(F.col(f"{kind}_rawPredict"))[1]
+    values = scored.groupBy(chance.alias("chance")).agg(
+        F.sum(f"{kind}_label").alias("p"), F.sum(1 - F.col(f"{kind}_label")).alias("n")
+    )
+    below = Window.partitionBy(F.lit(kind)).orderBy("chance").rowsBetween(Window.unboundedPreceding, -1)
+    counted = values.withColumn("lower", F.coalesce(F.sum("n").over(below), F.lit(0)))
+    area = F.sum(F.col("p") * (F.col("lower") + F.col("n") / 2)) / (F.sum("p") * F.sum("n"))
+    return counted.agg(area.alias("area"))
+
+
 def evaluate(model: CrossValidatorModel, test: DataFrame, kind: str) -> float:
     """Area under the ROC curve on rows the model has not seen."""
     return area_under_roc(kind).evaluate(model.transform(test))

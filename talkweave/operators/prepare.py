@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from talkweave.functions.columns import binarize, hash_bucket, strip_kind
-from talkweave.operators.skew import hot_keys, salted_join
+from talkweave.operators.skew import broadcast_if_small, hot_keys, salted_join
 
 POSITIVE, NEGATIVE = 1, -1
 
@@ -46,10 +46,15 @@ def filter_states(df: DataFrame, states: Iterable[str]) -> DataFrame:
 
 
 def label_comments(comments: DataFrame, labels: DataFrame) -> DataFrame:
-    """Labels with the body of the comment each one is about."""
-    return comments.join(labels, comments["id"] == labels["Input_id"]).select(
-        "Input_id", "labeldem", "labelgop", "labeldjt", "body"
-    )
+    """Labels with the body of the comment each one is about.
+
+    Labels are made by hand and few: they are measured and sent to the comments,
+    whose bodies then stay where they are read.
+    """
+    return comments.select("id", "body").join(
+        broadcast_if_small(labels.select("Input_id", "labeldem", "labelgop", "labeldjt")),
+        F.col("id") == F.col("Input_id"),
+    ).select("Input_id", "labeldem", "labelgop", "labeldjt", "body")
 
 
 def attach_submission(
@@ -57,7 +62,7 @@ def attach_submission(
 ) -> DataFrame:
     """Join prepared comments to prepared submissions; comments without one go.
 
-    One post may hold much of all comments, so the busiest posts are salted.
+    One post may hold much of all comments, so busy posts are salted.
     They are counted on ``links``, by default the comments themselves. Where the
     comments are filtered by their body or carry scores, pass the plain table:
     its link ids are then read without the text.

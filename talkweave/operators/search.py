@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from talkweave.functions.columns import token_bucket
 from talkweave.functions.text import term_counts, unigrams
-from talkweave.operators.skew import BROADCAST_ROWS, broadcast_if_small, hot_keys, salted_join
+from talkweave.operators.skew import broadcast_if_small, hot_keys, salted_join
+from talkweave.session import stage
 
 PAGE_SIZE = 20
 
@@ -26,7 +27,7 @@ def tokenize(query: Column, escape_quotes: bool = False) -> Column:
     found = F.filter(
         F.transform(
             F.split(query, "[ \n\r]+"),
-            lambda token: F.regexp_replace(token, r"^\p{Punct}+|\p{Punct}+$", ""),
+            lambda token: F.regexp_replace(token, r"^\p{Punct}+|\p{Punct}+\z", ""),
         ),
         lambda token: token != "",
     )
@@ -47,19 +48,18 @@ def build_tfidf(
 ) -> DataFrame:
     """The index ``(key, token, score)`` with score ``tf * ln(N / df)``.
 
-    Words are counted inside each document, so the first shuffle carries one
-    count per token and task. Term frequencies then meet document frequencies by
-    token; tokens found in much of all documents are salted. A table of distinct
-    ``tokens`` limits the index to them, before anything is shuffled.
+    Words are counted inside each document, and the counts are written once: they
+    give both the term and the document frequencies, so every text is read and
+    cleaned a single time. The two then meet by token; tokens found in much of all
+    documents are salted. A table of distinct ``tokens`` limits the index to them,
+    before anything is written.
     """
     total = documents.select(F.count(F.lit(1))).scalar()
-    words = documents.select(F.explode(F.array_distinct(unigrams(F.col(text)))).alias("token"))
-    frequencies = documents.select(key, F.inline(term_counts(F.col(text))))
+    frequencies = documents.select(key, F.inline(term_counts(unigrams(F.col(text)))))
     if tokens is not None:
-        wanted = broadcast_if_small(tokens)
-        words = words.join(wanted, "token", "left_semi")
-        frequencies = frequencies.join(wanted, "token", "left_semi")
-    counts = words.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+        frequencies = frequencies.join(broadcast_if_small(tokens), "token", "left_semi")
+    frequencies = stage(frequencies)
+    counts = stage(frequencies.groupBy("token").agg(F.count(F.lit(1)).alias("df")))
     # Every token has a count; as a left join, only the counts can be broadcast.
     hot = hot_keys(counts, "token", "df")
     joined = salted_join(frequencies, counts, "token", hot, key, "left")
@@ -90,8 +90,10 @@ def match_tokens(
     """Index rows that hold a token of a query; a repeated token matches once.
 
     Adds the query's type as ``any_token`` and its number of tokens. The tokens
-    are counted before they are broadcast; a larger batch is joined by token,
-    where adaptive execution splits the partitions of frequent tokens.
+    are measured before they are broadcast; a larger batch is joined by token,
+    where adaptive execution splits the partitions of frequent tokens. Of a stored
+    index, only the folders of the tokens' buckets are read, and in their files,
+    which are sorted, only the row groups from the first to the last token.
     """
     wanted = queries.select(
         "query_id",
@@ -105,13 +107,14 @@ def match_tokens(
     )
     if "bucket" not in tfidf.columns:
         return tfidf.join(broadcast_if_small(wanted), "token")
-    # The buckets of the tokens prune the folders of a stored index. The filter
-    # drops nothing; Spark prunes by a side only if that side is filtered.
-    buckets = tfidf.select("buckets").limit(1).scalar()
-    wanted = wanted.filter(F.col("token") != "").withColumn(
-        "bucket", token_bucket(F.col("token"), buckets)
-    )
-    return tfidf.join(broadcast_if_small(wanted), ["bucket", "token"]).drop("bucket", "buckets")
+    # The number of buckets is fixed in the index, so the list of them is bounded.
+    row = tfidf.select("buckets").first()
+    buckets = F.lit(row["buckets"] if row else 1)
+    wanted = wanted.withColumn("bucket", token_bucket(F.col("token"), buckets))
+    first, last = wanted.agg(F.min("token"), F.max("token")).first()
+    asked = [row["bucket"] for row in wanted.select("bucket").distinct().collect()]
+    part = tfidf.filter(F.col("bucket").isin(asked) & F.col("token").between(F.lit(first), F.lit(last)))
+    return part.join(broadcast_if_small(wanted), ["bucket", "token"]).drop("bucket", "buckets")
 
 
 def rank_songs(
@@ -138,12 +141,18 @@ def rank_songs(
 
 
 def attach_metadata(ranked: DataFrame, song: DataFrame, artist: DataFrame) -> DataFrame:
-    """Add song and artist columns; a song without them keeps NULLs."""
-    return (
-        ranked.join(song.select("song_id", "song_name", "artist_id", "page_link"), "song_id", "left")
-        .join(artist.select("artist_id", "artist_name"), "artist_id", "left")
-        .drop("artist_id")
+    """Add song and artist columns; a song without them keeps NULLs.
+
+    Artists meet the song table, one row per song, not the results. Artists of
+    very many songs are salted, and songs without an artist are spread.
+    """
+    songs = song.select("song_id", "song_name", "artist_id", "page_link")
+    per_artist = songs.groupBy("artist_id").agg(F.count(F.lit(1)).alias("n"))
+    named = salted_join(
+        songs, artist.select("artist_id", "artist_name"), "artist_id", hot_keys(per_artist, "artist_id", "n"),
+        "song_id", "left",
     )
+    return ranked.join(named.drop("artist_id"), "song_id", "left")
 
 
 def search(
@@ -161,9 +170,16 @@ def search(
     )
 
 
-def search_or(queries: DataFrame, tfidf: DataFrame, song: DataFrame, artist: DataFrame) -> DataFrame:
+def search_or(
+    queries: DataFrame,
+    tfidf: DataFrame,
+    song: DataFrame,
+    artist: DataFrame,
+    escape_quotes: bool = False,
+) -> DataFrame:
     """Songs with at least one token of the query."""
-    return search(queries.withColumn("query_type", F.lit("or")), tfidf, song, artist)
+    asked = queries.withColumn("query_type", F.lit("or"))
+    return search(asked, tfidf, song, artist, escape_quotes=escape_quotes)
 
 
 def search_and(
@@ -172,11 +188,11 @@ def search_and(
     song: DataFrame,
     artist: DataFrame,
     strict_duplicates: bool = True,
+    escape_quotes: bool = False,
 ) -> DataFrame:
     """Songs with every token of the query."""
-    return search(
-        queries.withColumn("query_type", F.lit("and")), tfidf, song, artist, strict_duplicates
-    )
+    asked = queries.withColumn("query_type", F.lit("and"))
+    return search(asked, tfidf, song, artist, strict_duplicates, escape_quotes)
 
 
 def page(results: DataFrame, n: int, size: int = PAGE_SIZE) -> DataFrame:
@@ -204,28 +220,30 @@ def page(results: DataFrame, n: int, size: int = PAGE_SIZE) -> DataFrame:
 
 
 def search_page(
-    queries: DataFrame, tfidf: DataFrame, song: DataFrame, artist: DataFrame, n: int = 1
+    queries: DataFrame,
+    tfidf: DataFrame,
+    song: DataFrame,
+    artist: DataFrame,
+    n: int = 1,
+    strict_duplicates: bool = True,
+    escape_quotes: bool = False,
 ) -> DataFrame:
     """One page of results; only its rows are joined to songs and artists.
 
-    A page holds at most ``PAGE_SIZE`` rows per query. Where the number of
-    queries bounds it well enough, its song ids are broadcast to pick their few
-    rows from the song table, which is then read without a shuffle.
+    A page holds at most ``PAGE_SIZE`` rows per query. It is written first, so its
+    song ids have a known size when they pick their few rows from the song table.
     """
-    rows = page(rank_songs(queries, tfidf), n)
-    ids = rows.select("song_id")
-    most = BROADCAST_ROWS // PAGE_SIZE
-    if queries.limit(most + 1).count() <= most:
-        ids = F.broadcast(ids)
-    shown = song.join(ids, "song_id", "left_semi")
+    rows = stage(page(rank_songs(queries, tfidf, strict_duplicates, escape_quotes), n))
+    shown = song.join(broadcast_if_small(rows.select("song_id").distinct()), "song_id", "left_semi")
     return attach_metadata(rows, shown, artist).select(
         "query_id", "rank", "song_name", "artist_name", "page_link", "song_id", "score"
     )
 
 
-def turn_page(n: int, direction: str | None = None) -> int:
+def turn_page(n: Column, direction: Column) -> Column:
     """The page to show: one back, one on, or the first for a new search."""
-    return max({"previous": n - 1, "next": n + 1}.get(direction, 1), 1)
+    wanted = F.when(direction == "previous", n - 1).when(direction == "next", n + 1).otherwise(1)
+    return F.greatest(wanted, F.lit(1))
 
 
 def result_count(results: DataFrame, queries: DataFrame | None = None) -> DataFrame:
@@ -254,18 +272,46 @@ def with_url(results: DataFrame, base: str) -> DataFrame:
     return results.withColumn("url", F.concat(F.lit(base), F.col("page_link")))
 
 
-def materialize(results: DataFrame, path: str) -> None:
-    """Store the results of a batch in ranked order, so pages need no new search.
+def add_ranks(results: DataFrame) -> DataFrame:
+    """Add ``rank`` within each query, by falling score, then song id, for results of any size.
 
-    Files are ranges of query and rank: reading one query skips the other files,
-    and a query with very many results is spread over many tasks.
+    Rows are put into ranges by query and rank and numbered in their range; the
+    number of a query's rows in earlier ranges comes from counts, one for each query
+    and range. No query's results meet in one task.
     """
     order = (F.col("query_id"), F.desc("score"), F.col("song_id"))
-    results.repartitionByRange(*order).sortWithinPartitions(*order).write.mode(
+    numbered = stage(
+        results.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .withColumn("part", F.spark_partition_id())
+        .withColumn("number", F.monotonically_increasing_id())
+    )
+    counts = numbered.groupBy("query_id", "part").agg(F.count(F.lit(1)).alias("n"), F.min("number").alias("first"))
+    earlier = Window.partitionBy("query_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        "query_id", "part", (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first") + 1).alias("offset")
+    )
+    ranked = numbered.join(offsets, ["query_id", "part"])
+    return ranked.withColumn("rank", F.col("number") + F.col("offset")).drop("part", "number", "offset")
+
+
+def materialize(results: DataFrame, path: str) -> None:
+    """Store the results of a batch with their ranks, so that pages need no new search.
+
+    Files are ranges of query and rank: a page reads the row groups that hold it.
+    """
+    ranked = add_ranks(results)
+    ranked.repartitionByRange("query_id", "rank").sortWithinPartitions("query_id", "rank").write.mode(
         "overwrite"
     ).parquet(path)
 
 
+def stored_pages(spark: SparkSession, path: str, n: int, size: int = PAGE_SIZE) -> DataFrame:
+    """Page ``n`` of every query from the stored results; page 0 is page 1."""
+    last = max(n, 1) * size
+    return spark.read.parquet(path).filter((F.col("rank") > last - size) & (F.col("rank") <= last))
+
+
 def stored_page(spark: SparkSession, path: str, query_id: int, n: int) -> DataFrame:
     """Page ``n`` of one query from the stored results."""
-    return page(spark.read.parquet(path).filter(F.col("query_id") == query_id), n)
+    return stored_pages(spark, path, n).filter(F.col("query_id") == query_id)

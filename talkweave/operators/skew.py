@@ -5,30 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_KEYS = 1000
-BROADCAST_ROWS = 200_000
+from talkweave.session import stage
 
+BROADCAST_BYTES = 32 << 20
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast if a count shows it has at most ``rows`` rows.
 
-    The count stops one row past the limit. A larger table is left to the
-    shuffle join that Spark picks for it.
+def broadcast_if_small(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark a narrow table for broadcast if its values take at most ``most`` bytes.
+
+    The values are measured, as text. A larger table is left to the join that
+    Spark picks by its own sizes.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    sizes = [F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)) + 8 for name in df.columns]
+    total = df.agg(F.sum(sum(sizes[1:], sizes[0]))).first()[0]
+    return F.broadcast(df) if (total or 0) <= most else df
 
 
 def hot_keys(counts: DataFrame, key: str, count: str) -> DataFrame:
-    """The ``HOT_KEYS`` most frequent keys of a table of counts.
+    """Keys with more rows than a shuffle partition holds on average, and their ``slices``.
 
-    The list has a fixed size whatever the data: any key that is not on it holds
-    at most one row in ``HOT_KEYS``.
+    A key gets one slice for each partition that its rows would fill. There are
+    fewer such keys than partitions, and fewer than twice as many slices, whatever
+    the data; so the list and the copies it asks for stay small.
     """
-    return (
-        counts.filter(F.col(key).isNotNull())
-        .orderBy(F.desc(count), key)
-        .limit(HOT_KEYS)
-        .select(F.col(key).alias("hot_key"))
+    counts = stage(counts.select(key, count))
+    partitions = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = counts.agg(F.sum(count)).first()[0] or 0
+    mean = max(total / partitions, 1.0)
+    return counts.filter(F.col(key).isNotNull() & (F.col(count) > mean)).select(
+        F.col(key).alias("hot_key"), F.ceil(F.col(count) / mean).cast("int").alias("slices")
     )
 
 
@@ -37,21 +42,22 @@ def salted_join(
 ) -> DataFrame:
     """Inner or left join on ``key``, with the rows of hot left keys cut into slices.
 
-    A hot key's left rows get one of as many salts as there are shuffle
-    partitions, by a hash of ``spread_by``; its right rows are repeated once per
-    salt. ``hot`` is the bounded list of ``hot_keys``, so broadcasting it and
-    repeating its rows stay small for any input.
+    A hot key's left rows get one of its slices by a hash of ``spread_by``; its
+    right rows are repeated once per slice. Left rows without a key, which match
+    nothing, are spread over all partitions. ``hot`` is the list of ``hot_keys``,
+    shorter than the number of partitions, so it is broadcast.
     """
-    salts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot = F.broadcast(hot)
-    is_hot = F.col("hot_key").isNotNull()
+    slices = F.when(F.col(key).isNull(), F.lit(partitions)).otherwise(F.coalesce("slices", F.lit(1)))
     left = left.join(hot, F.col(key) == F.col("hot_key"), "left").withColumn(
-        "salt", F.when(is_hot, F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")).otherwise(0)
+        "salt", F.pmod(F.xxhash64(spread_by), slices).cast("int")
     )
     right = right.join(hot, F.col(key) == F.col("hot_key"), "left").withColumn(
-        "salt",
-        F.explode(
-            F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-        ),
+        "salt", F.explode(F.sequence(F.lit(0), F.coalesce("slices", F.lit(1)) - 1))
+    )
+    return (
+        left.drop("hot_key", "slices")
+        .join(right.drop("hot_key", "slices"), [key, "salt"], how)
+        .drop("salt")
     )
-    return left.drop("hot_key").join(right.drop("hot_key"), [key, "salt"], how).drop("salt")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from talkweave.functions.states import STATES, UNCHARTED_REGIONS
 from talkweave.functions.text import ALPHANUMERIC, URL_PATTERN, WHITESPACE
-from talkweave.operators.features import MAX_TERMS
+from talkweave.operators.features import VOCAB_SIZE
 from talkweave.plans import planted
 
 _MARKS = "[,.!?;:]"
@@ -83,6 +83,12 @@ _PARTS: dict[str, tuple[tuple[str, ...], str]] = {
         f"""SELECT id, body, created_utc, author_flair_text, score, link_id FROM comments UNION ALL
             SELECT id, body, created_utc, author_flair_text, score, link_id FROM {planted.COMMENTS}""",
     ),
+    "bodies": ((), "SELECT cast(doc_id AS varchar) AS id, text AS body FROM documents"),
+    "all_bodies": (("bodies",), f"SELECT id, body FROM bodies UNION ALL SELECT id, body FROM {planted.COMMENTS}"),
+    "kept_bodies": (
+        ("all_bodies",),
+        "SELECT id FROM all_bodies WHERE NOT contains(body, '/s') AND NOT starts_with(body, '&gt;')",
+    ),
     "prepared": (
         ("all_comments",),
         """SELECT id, body, created_utc, author_flair_text AS state, score AS com_score,
@@ -94,7 +100,7 @@ _PARTS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "submissions": (
         (),
-        """SELECT cast(conv_id AS varchar) AS link_id, substr(text, 1, 80) AS title,
+        """SELECT cast(conv_id AS varchar) AS link_id, text AS title,
              cast(length(text) AS int) AS sub_score FROM conversations WHERE turn = 0""",
     ),
     "labeled": (
@@ -103,20 +109,26 @@ _PARTS: dict[str, tuple[tuple[str, ...], str]] = {
              CASE WHEN toxic = 1 THEN -1 WHEN quality = 1 THEN 1 ELSE 0 END AS labeldjt FROM labels""",
     ),
     "marked": (
-        ("comments", "labeled"),
+        ("bodies", "labeled"),
         """SELECT Input_id, body, CASE WHEN labeldjt = 1 THEN 1 ELSE 0 END AS pos_label,
              CASE WHEN labeldjt = -1 THEN 1 ELSE 0 END AS neg_label
-           FROM comments JOIN labeled ON id = Input_id""",
+           FROM bodies JOIN labeled ON id = Input_id""",
     ),
     "marked_tokens": (("marked",), f"SELECT Input_id, list_transform({_tokens('body')}, lambda t: lower(t)) AS toks FROM marked"),
     "marked_terms": (
         ("marked_tokens",),
         f"SELECT DISTINCT Input_id, term FROM ({_grams('marked_tokens', 'Input_id')}) WHERE term IS NOT NULL",
     ),
+    "marked_totals": (
+        ("marked_tokens",),
+        f"""SELECT term, count(*) AS total, count(DISTINCT Input_id) AS df,
+              cast('0x' || substr(md5(term), 1, 15) AS bigint) AS tie
+            FROM ({_grams('marked_tokens', 'Input_id')}) WHERE term IS NOT NULL GROUP BY term
+            HAVING count(DISTINCT Input_id) >= 10""",
+    ),
     "vocabulary": (
-        ("marked_terms",),
-        f"""SELECT term, count(*) AS df FROM marked_terms GROUP BY term HAVING count(*) >= 10
-            ORDER BY df DESC, term LIMIT {MAX_TERMS}""",
+        ("marked_totals",),
+        f"SELECT term, df FROM marked_totals ORDER BY total DESC, tie, term LIMIT {VOCAB_SIZE}",
     ),
     "prior": (
         ("marked",),
@@ -125,15 +137,14 @@ _PARTS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "weights": (
         ("marked", "marked_terms", "prior"),
-        f"""SELECT term, 0.05 * (ln((n_pos + 1) / (n - n_pos + 1)) - (SELECT pos FROM prior)) AS pos,
+        """SELECT term, 0.05 * (ln((n_pos + 1) / (n - n_pos + 1)) - (SELECT pos FROM prior)) AS pos,
              0.05 * (ln((n_neg + 1) / (n - n_neg + 1)) - (SELECT neg FROM prior)) AS neg
             FROM (SELECT term, count(*) AS n, sum(pos_label) AS n_pos, sum(neg_label) AS n_neg
-                  FROM marked_terms JOIN marked USING (Input_id) GROUP BY term HAVING count(*) >= 10
-                  ORDER BY n DESC, term LIMIT {MAX_TERMS})""",
+                  FROM marked_terms JOIN marked USING (Input_id) GROUP BY term HAVING count(*) >= 10)""",
     ),
     "comment_tokens": (
-        ("all_comments",),
-        f"SELECT id, list_transform({_tokens('body')}, lambda t: lower(t)) AS toks FROM all_comments",
+        ("all_bodies",),
+        f"SELECT id, list_transform({_tokens('body')}, lambda t: lower(t)) AS toks FROM all_bodies",
     ),
     "comment_terms": (
         ("comment_tokens",),
@@ -205,19 +216,24 @@ _PARTS: dict[str, tuple[tuple[str, ...], str]] = {
            FROM matched GROUP BY query_id, any_token, n_tokens, song_id
            HAVING any_token OR count(*) = n_tokens""",
     ),
+    "ranked_plain": (
+        ("matched",),
+        """SELECT query_id, song_id, sum(score) AS score FROM matched
+           GROUP BY query_id, any_token, n_tokens, song_id HAVING any_token OR count(*) = n_tokens""",
+    ),
     "ranked_or": (
         ("matched",),
-        """SELECT query_id, song_id, sum(cast(round(score * 1000000000) AS bigint)) / 1000000000 AS score
+        """SELECT query_id, song_id, sum(score) AS score
            FROM matched GROUP BY query_id, song_id""",
     ),
     "ranked_and": (
         ("matched",),
-        """SELECT query_id, song_id, sum(cast(round(score * 1000000000) AS bigint)) / 1000000000 AS score
+        """SELECT query_id, song_id, sum(score) AS score
            FROM matched GROUP BY query_id, n_tokens, song_id HAVING count(*) = n_tokens""",
     ),
     "ranked_and_distinct": (
         ("matched", "wanted"),
-        """SELECT query_id, song_id, sum(cast(round(score * 1000000000) AS bigint)) / 1000000000 AS score
+        """SELECT query_id, song_id, sum(score) AS score
            FROM matched JOIN (SELECT query_id, toks FROM wanted) USING (query_id)
            GROUP BY query_id, toks, song_id HAVING count(*) = len(list_distinct(toks))""",
     ),
@@ -286,19 +302,60 @@ def _part(seed: str) -> str:
     return f"SELECT Input_id, '{seed}' AS kind, CASE WHEN {bucket} < 50 THEN 'train' ELSE 'test' END AS part FROM labeled"
 
 
+def _halves(main: str) -> str:
+    """``main`` over the rows that each classifier is fitted on, with their folds."""
+
+    def part(kind: str) -> str:
+        return f"""SELECT '{kind}' AS kind, {kind}_label AS is_positive,
+              cast(cast('0x' || substr(md5('fold {kind}' || Input_id), 1, 8) AS bigint) % 5 AS int) AS fold
+            FROM marked WHERE cast('0x' || substr(md5('{kind}' || Input_id), 1, 8) AS bigint) % 100 < 50"""
+
+    return _with(f"{main.replace('FROM halves', f'FROM ({part("pos")} UNION ALL {part("neg")})')}", "marked")
+
+
 ORACLE: dict[str, str] = {
     "s3_read_table": "SELECT doc_id, text, lang, source, n_chars FROM documents",
-    "s9_read_search_tables": _with("SELECT * FROM song", "song"),
+    "s1_read_json": _with("SELECT * FROM all_comments", "all_comments"),
+    "s2_read_labels_csv": _with(f"SELECT * FROM labeled UNION ALL SELECT * FROM {planted.LABELS}", "labeled"),
+    "s4_ingest": _with("SELECT link_id AS id, title, sub_score AS score FROM submissions", "submissions"),
+    "s5_s10_csv_round_trip": _with(
+        f"""SELECT link_id, title, length(title) / 7 AS pos
+            FROM (SELECT link_id, title FROM submissions UNION ALL SELECT link_id, title FROM {planted.TITLES})""",
+        "submissions",
+    ),
+    "s6_stored_vocabulary": _with("SELECT term FROM vocabulary", "vocabulary"),
+    "s8_sanitize_file": _with(
+        f"""SELECT lower(array_to_string({_tokens('text')}, ' ')) AS parsed_text, coalesce(u.words, '') AS unigrams,
+              coalesce(b.words, '') AS bigrams, coalesce(t.words, '') AS trigrams
+            FROM texts LEFT JOIN (SELECT * FROM text_words WHERE n = 1) u USING (doc_id)
+            LEFT JOIN (SELECT * FROM text_words WHERE n = 2) b USING (doc_id)
+            LEFT JOIN (SELECT * FROM text_words WHERE n = 3) t USING (doc_id)""",
+        "texts", "text_words",
+    ),
+    "s9_read_songs": _with("SELECT * FROM song", "song"),
+    "s9_read_artists": _with("SELECT * FROM artist", "artist"),
+    "s9_read_index": _with("SELECT song_id, token, round(score, 6) AS score FROM tfidf", "tfidf"),
+    "t6_turn_page": """SELECT conv_id, turn, greatest(1, CASE role WHEN 'user' THEN turn + 1
+        WHEN 'assistant' THEN turn - 1 ELSE 1 END) AS n_page FROM conversations""",
+    "t4_stored_third_page": _with(
+        """SELECT query_id, song_id, round(score, 6) AS score, cast(rank AS bigint) AS rank FROM numbered
+           WHERE rank BETWEEN 41 AND 60""",
+        "numbered",
+    ),
+    "q4_stored_results": _with(
+        "SELECT query_id, song_id, round(score, 6) AS score, cast(rank AS bigint) AS rank FROM numbered", "numbered"
+    ),
     "p1_prepare_comments": _with("SELECT * FROM prepared", "prepared"),
     "p1_prepare_submissions": _with("SELECT * FROM submissions", "submissions"),
-    "p3_drop_sarcasm": _with("SELECT id, body FROM all_comments WHERE position('/s' IN body) = 0", "all_comments"),
-    "p4_drop_quotes": _with("SELECT id, body FROM all_comments WHERE substr(body, 1, 4) <> '&gt;'", "all_comments"),
+    "p3_drop_sarcasm": _with("SELECT id, body FROM all_bodies WHERE position('/s' IN body) = 0", "all_bodies"),
+    "p4_drop_quotes": _with("SELECT id, body FROM all_bodies WHERE substr(body, 1, 4) <> '&gt;'", "all_bodies"),
     "p5_filter_states": _with(
         f"SELECT id, state FROM prepared WHERE state IN ({_list(STATES + planted.TEST_STATES)})", "prepared"
     ),
     "p6_match_tokens": _with("SELECT query_id, song_id, token, round(score, 6) AS score FROM matched", "matched"),
     "p7_drop_dates": _with(
-        f"SELECT DISTINCT {_DAY} AS date FROM all_comments WHERE {_DAY} <> '2018-12-31'", "all_comments"
+        f"SELECT DISTINCT {_DAY} AS date FROM all_comments WHERE created_utc IS NULL OR {_DAY} <> '2018-12-31'",
+        "all_comments",
     ),
     "p8_exclude_regions": (
         "SELECT n_name AS name FROM nation"
@@ -314,8 +371,8 @@ ORACLE: dict[str, str] = {
         "scored",
     ),
     "j1_label_comments": _with(
-        "SELECT Input_id, labeldem, labelgop, labeldjt, body FROM comments JOIN labeled ON id = Input_id",
-        "comments", "labeled",
+        "SELECT Input_id, labeldem, labelgop, labeldjt, body FROM bodies JOIN labeled ON id = Input_id",
+        "bodies", "labeled",
     ),
     "j2_attach_submission": _with(
         """SELECT id, created_utc, state, com_score, link_id, title, sub_score
@@ -324,7 +381,7 @@ ORACLE: dict[str, str] = {
     ),
     "j3_attach_metadata": _with(
         """SELECT query_id, song_id, song_name, artist_name, page_link FROM ranked
-           LEFT JOIN song USING (song_id) LEFT JOIN artist USING (artist_id) WHERE query_id = 1""",
+           LEFT JOIN song USING (song_id) LEFT JOIN artist USING (artist_id)""",
         "ranked", "song", "artist",
     ),
     "j4_songs_with_all_tokens": _with(
@@ -382,7 +439,8 @@ ORACLE: dict[str, str] = {
     "q1_search_or": _found("ranked_or"),
     "q2_search_and": _found("ranked_and"),
     "q2_search_and_ignoring_repeats": _found("ranked_and_distinct"),
-    "q3_search": _found("ranked"),
+    "q3_search": _found("ranked_plain"),
+    "q3_search_stored_index": _found("ranked_plain"),
     "q3_search_passages": _with(
         f"""SELECT item_id AS query_id, song_id, round(sum(score), 6) AS score
             FROM (SELECT DISTINCT item_id, unnest(toks) AS token
@@ -420,17 +478,19 @@ ORACLE: dict[str, str] = {
             FROM all_comments""",
         "all_comments",
     ),
-    "m1_fit_vocabulary": _with("SELECT term FROM vocabulary", "vocabulary"),
+    "m1_fit_vocabulary": _with(
+        "SELECT term FROM marked_totals ORDER BY total DESC, tie, term LIMIT 300", "marked_totals"
+    ),
     "m1_vocabulary_table": _with(
-        f"""SELECT term, count(*) AS df
-            FROM (SELECT id, term FROM comment_terms WHERE id IN (SELECT id FROM comments))
-            GROUP BY term HAVING count(*) >= 10 ORDER BY df DESC, term LIMIT {MAX_TERMS}""",
-        "comments", "comment_terms",
+        """SELECT term, count(*) AS df
+           FROM (SELECT id, term FROM comment_terms WHERE id IN (SELECT id FROM bodies))
+           GROUP BY term HAVING count(*) >= 10""",
+        "bodies", "comment_terms",
     ),
     "m2_vectorize": _with(
-        """SELECT id, count(term) AS n_terms FROM all_comments
+        """SELECT id, count(term) AS n_terms FROM all_bodies
            LEFT JOIN (SELECT id, term FROM comment_terms JOIN vocabulary USING (term)) USING (id) GROUP BY id""",
-        "all_comments", "comment_terms", "vocabulary",
+        "all_bodies", "comment_terms", "vocabulary",
     ),
     "m2_feature_rows": _with(
         "SELECT id, term FROM comment_terms JOIN vocabulary USING (term)", "comment_terms", "vocabulary"
@@ -449,5 +509,15 @@ ORACLE: dict[str, str] = {
         "chances",
     ),
     "m11_score_linear": _with("SELECT id, round(pos, 6) AS pos, round(neg, 6) AS neg FROM chances", "chances"),
-    "m8_prediction_equals_flag": _with("SELECT id, true AS pos_agrees, true AS neg_agrees FROM kept", "kept"),
+    **{
+        name: _with("SELECT id, true AS pos_agrees, true AS neg_agrees FROM kept_bodies", "kept_bodies")
+        for name in ("m8_prediction_equals_flag", "m9_score", "s7_stored_classifier")
+    },
+    "m6_fit_logistic_regression": _halves(
+        "SELECT kind, count(*) AS n_rows, sum(is_positive)::bigint AS n_positive, true AS fits FROM halves GROUP BY kind"
+    ),
+    "m7_cross_validate": _halves(
+        "SELECT kind, fold, count(*) AS n_rows, true AS area_found FROM halves GROUP BY kind, fold"
+    ),
+    "m12_evaluate": "SELECT unnest(['pos', 'neg']) AS kind, true AS agrees",
 }

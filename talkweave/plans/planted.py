@@ -27,9 +27,17 @@ COMMENTS = """(VALUES
   ('p4', '&gt; quoted', 1546214400, 'Texas', cast(null AS int), 't3_none'),
   ('p5', ' &gt; not first', 1546300799, 'District of Columbia', 5, 't3_2'),
   ('p6', 'no post', 1546300800, '', -3, cast(null AS string)),
-  ('p7', 'the of and', 1546214401, 'Texas', cast(null AS int), 't3_3')
+  ('p7', 'the of and', 1546214401, 'Texas', cast(null AS int), 't3_3'),
+  ('p8', 'no date at all', cast(null AS bigint), 'Texas', 7, 't3_4')
 ) AS t(id, body, created_utc, author_flair_text, score, link_id)"""
 
+# Titles that a CSV file may change.
+TITLES = """(VALUES
+  ('t1', ' outer spaces  '), ('t2', ''), ('t3', cast(null AS string)), ('t4', 'a "quoted" one, two'),
+  ('t5', concat('back', chr(92), 'slash ', chr(92), '" end', chr(92))), ('t6', concat('line', chr(10), 'end')),
+  ('t7', concat(chr(92), 'N')), ('t8', 'null'), ('t9', concat(chr(9), 'tab', chr(9))), ('t10', '"'), ('t11', '#no comment')
+) AS t(link_id, title)"""
+
 # Labels: every kind of value.
 LABELS = """(VALUES
   ('l1', 0, 0, 1), ('l2', 0, 0, 0), ('l3', 0, 0, -1), ('l4', 0, 0, 2), ('l5', 0, 0, cast(null AS int))
@@ -54,7 +62,8 @@ QUERIES = """(VALUES
   (9, 'nosuchtoken und', 'or'),
   (10, 'nosuchtoken und', 'and'),
   (11, 'don''t stop', 'and'),
-  (12, concat('the', chr(9), 'of', chr(10), 'in', chr(13), 'is'), 'and')
+  (12, concat('the', chr(9), 'of', chr(10), 'in', chr(13), 'is'), 'and'),
+  (13, 'the!\u0085 of!\u2028 and!\u2029 (la)', 'or')
 ) AS t(query_id, query, query_type)"""
 
 # States kept by the state rollup, besides the fixed list.

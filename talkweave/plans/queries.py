@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.tuning import CrossValidatorModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,15 +16,13 @@ from talkweave.functions.columns import strip_kind, threshold_flag, utc_day
 from talkweave.functions.states import STATES, UNCHARTED_REGIONS
 from talkweave.operators import chart, features, model, prepare, rollup, search
 from talkweave.plans import planted
-from talkweave.session import stage
+from talkweave.session import shared_folder, stage
 from talkweave.sources import tables, views
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
-SCORE_KEYS = ["id", "link_id", "created_utc", "state", "com_score"]
-
 
 def query(function: Query) -> Query:
     """Register a query under its own name."""
@@ -46,11 +48,25 @@ def _all_comments(spark: SparkSession, folder: str) -> DataFrame:
     return views.comments(spark, folder).unionByName(extra)
 
 
+def _all_bodies(spark: SparkSession, folder: str) -> DataFrame:
+    """Comments as id and body alone: texts stay where they are read."""
+    return views.bodies(spark, folder).unionByName(_planted(spark, planted.COMMENTS).select("id", "body"))
+
+
+def _all_facts(spark: SparkSession, folder: str) -> DataFrame:
+    """Comments without their body."""
+    extra = _planted(spark, planted.COMMENTS).drop("body")
+    return views.facts(spark, folder).unionByName(extra.withColumn("created_utc", F.col("created_utc").cast("bigint")))
+
+
+def _prepared_facts(spark: SparkSession, folder: str) -> DataFrame:
+    whole = _all_facts(spark, folder).withColumn("body", F.lit(None).cast("string"))
+    return prepare.prepare_comments(whole).drop("body")
+
+
 def _kept(spark: SparkSession, folder: str) -> DataFrame:
-    """Prepared comments of the corpus, planted ones included."""
-    return prepare.drop_quotes(
-        prepare.drop_sarcasm(prepare.prepare_comments(_all_comments(spark, folder)))
-    )
+    """Bodies of the corpus without sarcasm and quotes, planted ones included."""
+    return prepare.drop_quotes(prepare.drop_sarcasm(_all_bodies(spark, folder)))
 
 
 def _submissions(spark: SparkSession, folder: str) -> DataFrame:
@@ -59,7 +75,7 @@ def _submissions(spark: SparkSession, folder: str) -> DataFrame:
 
 def _labeled(spark: SparkSession, folder: str) -> DataFrame:
     """Labelled comments with their labels and n-grams."""
-    labeled = prepare.label_comments(views.comments(spark, folder), views.labeled(spark, folder))
+    labeled = prepare.label_comments(views.bodies(spark, folder), views.labeled(spark, folder))
     return features.add_ngrams(prepare.add_labels(labeled))
 
 
@@ -97,7 +113,7 @@ def _weights(spark: SparkSession, folder: str) -> tuple[DataFrame, dict]:
     labeled = _labeled(spark, folder).select("n_gram", "pos_label", "neg_label")
     label_sums = [F.sum(f"{kind}_label").alias(f"n_{kind}") for kind in ("pos", "neg")]
     overall = prepare.add_labels(
-        prepare.label_comments(views.comments(spark, folder), views.labeled(spark, folder))
+        prepare.label_comments(views.bodies(spark, folder), views.labeled(spark, folder))
     ).agg(F.count(F.lit(1)).alias("n"), *label_sums)
     prior = {kind: overall.select(_log_odds(f"n_{kind}", "n")).scalar() for kind in ("pos", "neg")}
     counted = (
@@ -106,18 +122,14 @@ def _weights(spark: SparkSession, folder: str) -> tuple[DataFrame, dict]:
         .agg(F.count(F.lit(1)).alias("n"), *label_sums)
         .filter("n >= 10")
     )
-    weights = features.most_frequent(counted, "n", "term", features.MAX_TERMS).select(
-        "term",
-        *[(0.05 * (_log_odds(f"n_{kind}", "n") - prior[kind])).alias(kind) for kind in ("pos", "neg")],
-    )
-    return weights, prior
+    odds = [(0.05 * (_log_odds(f"n_{kind}", "n") - prior[kind])).alias(kind) for kind in ("pos", "neg")]
+    return stage(counted.select("term", *odds)), prior
 
 
 def _chances(spark: SparkSession, folder: str) -> DataFrame:
-    """Kept comments with the chances ``pos`` and ``neg`` of the stand-in weights."""
+    """Ids of kept comments with the chances ``pos`` and ``neg`` of the stand-in weights."""
     weights, prior = _weights(spark, folder)
-    corpus = features.add_ngrams(_kept(spark, folder)).select(*SCORE_KEYS, "n_gram")
-    return features.score_linear(corpus, SCORE_KEYS, weights, prior)
+    return features.score_linear(features.add_ngrams(_kept(spark, folder)), ["id"], weights, prior)
 
 
 def _flags(spark: SparkSession, folder: str) -> DataFrame:
@@ -127,8 +139,9 @@ def _flags(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _scored(spark: SparkSession, folder: str) -> DataFrame:
-    links = prepare.prepare_comments(_all_comments(spark, folder))
-    return prepare.attach_submission(_flags(spark, folder), _submissions(spark, folder), links)
+    facts = _prepared_facts(spark, folder)
+    scored = facts.join(_flags(spark, folder), "id")
+    return prepare.attach_submission(scored, _submissions(spark, folder), facts)
 
 
 def _by_state(spark: SparkSession, folder: str) -> DataFrame:
@@ -147,9 +160,74 @@ def s3_read_table(spark: SparkSession, folder: str) -> DataFrame:
     return tables.read_table(spark, folder, "documents").select("doc_id", "text", "lang", "source", "n_chars")
 
 
+def _stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """A table written to a folder of tables and read from it by name."""
+    path = shared_folder(spark)
+    df.write.parquet(f"{path}/{name}.parquet")
+    return tables.read_table(spark, path, name)
+
+
+@query
+def s9_read_songs(spark: SparkSession, folder: str) -> DataFrame:
+    return _stored(spark, views.songs(spark, folder), "song")
+
+
+@query
+def s9_read_artists(spark: SparkSession, folder: str) -> DataFrame:
+    return _stored(spark, views.artists(spark, folder), "artist")
+
+
 @query
-def s9_read_search_tables(spark: SparkSession, folder: str) -> DataFrame:
-    return views.songs(spark, folder)
+def s9_read_index(spark: SparkSession, folder: str) -> DataFrame:
+    return _rounded(_stored(spark, _index(spark, folder), "tfidf"), "score")
+
+
+@query
+def s1_read_json(spark: SparkSession, folder: str) -> DataFrame:
+    """Comments written as compressed JSON lines and read back."""
+    path = shared_folder(spark)
+    _all_comments(spark, folder).write.option("compression", "bzip2").json(path)
+    return tables.read_json(spark, path, tables.COMMENTS)
+
+
+def _label_file(spark: SparkSession, folder: str) -> str:
+    path = shared_folder(spark)
+    labels = views.labeled(spark, folder).unionByName(_planted(spark, planted.LABELS))
+    labels.write.csv(path, header=True)
+    return path
+
+
+@query
+def s2_read_labels_csv(spark: SparkSession, folder: str) -> DataFrame:
+    return tables.read_labels_csv(spark, _label_file(spark, folder))
+
+
+@query
+def s4_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    """Submissions from the staged copy, which the second call finds and the first has made."""
+    raw, staged = shared_folder(spark), shared_folder(spark)
+    views.facts(spark, folder).write.json(f"{raw}/comments")
+    views.submissions(spark, folder).write.json(f"{raw}/submissions")
+    files = (f"{raw}/submissions", f"{raw}/comments", _label_file(spark, folder), staged)
+    tables.ingest_comments(spark, *files)
+    return tables.ingest_comments(spark, *files)["submissions"]
+
+
+@query
+def s5_s10_csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Titles, planted ones included, with a share, written as CSV and read back."""
+    titles = _submissions(spark, folder).select("link_id", "title").unionByName(_planted(spark, planted.TITLES))
+    path = shared_folder(spark)
+    tables.write_csv(titles.withColumn("pos", F.length("title") / 7), path)
+    return tables.read_rollup(spark, path, "link_id string, title string, pos double")
+
+
+@query
+def s8_sanitize_file(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents and planted texts as JSON lines, cleaned."""
+    path = shared_folder(spark)
+    _texts(spark, folder).select(F.col("text").alias("body")).write.option("ignoreNullFields", False).json(path)
+    return tables.sanitize_file(spark, path)
 
 
 @query
@@ -164,17 +242,17 @@ def p1_prepare_submissions(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def p3_drop_sarcasm(spark: SparkSession, folder: str) -> DataFrame:
-    return prepare.drop_sarcasm(_all_comments(spark, folder)).select("id", "body")
+    return prepare.drop_sarcasm(_all_bodies(spark, folder))
 
 
 @query
 def p4_drop_quotes(spark: SparkSession, folder: str) -> DataFrame:
-    return prepare.drop_quotes(_all_comments(spark, folder)).select("id", "body")
+    return prepare.drop_quotes(_all_bodies(spark, folder))
 
 
 @query
 def p5_filter_states(spark: SparkSession, folder: str) -> DataFrame:
-    prepared = prepare.prepare_comments(_all_comments(spark, folder))
+    prepared = _prepared_facts(spark, folder)
     return prepare.filter_states(prepared, STATES + planted.TEST_STATES).select("id", "state")
 
 
@@ -187,7 +265,7 @@ def p6_match_tokens(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def p7_drop_dates(spark: SparkSession, folder: str) -> DataFrame:
-    days = _all_comments(spark, folder).select(utc_day(F.col("created_utc")).alias("date")).distinct()
+    days = _all_facts(spark, folder).select(utc_day(F.col("created_utc")).alias("date")).distinct()
     return chart.drop_dates(days)
 
 
@@ -198,7 +276,7 @@ def p8_exclude_regions(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def p9_strip_kind(spark: SparkSession, folder: str) -> DataFrame:
-    return _all_comments(spark, folder).select("id", strip_kind(F.col("link_id")).alias("link_id"))
+    return _all_facts(spark, folder).select("id", strip_kind(F.col("link_id")).alias("link_id"))
 
 
 @query
@@ -216,20 +294,19 @@ def p12_to_chart(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def j1_label_comments(spark: SparkSession, folder: str) -> DataFrame:
-    return prepare.label_comments(views.comments(spark, folder), views.labeled(spark, folder))
+    return prepare.label_comments(views.bodies(spark, folder), views.labeled(spark, folder))
 
 
 @query
 def j2_attach_submission(spark: SparkSession, folder: str) -> DataFrame:
-    prepared = prepare.prepare_comments(_all_comments(spark, folder)).drop("body")
+    prepared = _prepared_facts(spark, folder)
     return prepare.attach_submission(prepared, _submissions(spark, folder))
 
 
 @query
 def j3_attach_metadata(spark: SparkSession, folder: str) -> DataFrame:
     asked, index, song, artist = _searched(spark, folder)
-    ranked = search.rank_songs(asked.filter("query_id = 1"), index)
-    return search.attach_metadata(ranked, song, artist).drop("score")
+    return search.attach_metadata(search.rank_songs(asked, index), song, artist).drop("score")
 
 
 @query
@@ -324,6 +401,32 @@ def t4_third_page(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(search.page(search.rank_songs(asked, index), 3), "score")
 
 
+def _materialized(spark: SparkSession, folder: str) -> str:
+    asked, index, _, _ = _searched(spark, folder)
+    path = shared_folder(spark)
+    search.materialize(search.rank_songs(asked, index), path)
+    return path
+
+
+@query
+def t4_stored_third_page(spark: SparkSession, folder: str) -> DataFrame:
+    return _rounded(search.stored_pages(spark, _materialized(spark, folder), 3), "score")
+
+
+@query
+def q4_stored_results(spark: SparkSession, folder: str) -> DataFrame:
+    """All results of all queries with their ranks, from the stored table."""
+    return _rounded(spark.read.parquet(_materialized(spark, folder)), "score")
+
+
+@query
+def t6_turn_page(spark: SparkSession, folder: str) -> DataFrame:
+    """The page after a button, for the turns of all conversations as requests."""
+    button = F.when(F.col("role") == "user", "next").when(F.col("role") == "assistant", "previous")
+    turns = tables.read_table(spark, folder, "conversations")
+    return turns.select("conv_id", "turn", search.turn_page(F.col("turn"), button).alias("n_page"))
+
+
 @query
 def t5_page_info(spark: SparkSession, folder: str) -> DataFrame:
     return search.page_info(a8_result_count(spark, folder), 3)
@@ -349,6 +452,16 @@ def q3_search(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(search.search(*_searched(spark, folder)), "score")
 
 
+@query
+def q3_search_stored_index(spark: SparkSession, folder: str) -> DataFrame:
+    """The same search over the whole index, stored in folders and read back."""
+    path = shared_folder(spark)
+    search.write_index(_index(spark, folder), path, 64)
+    asked = _planted(spark, planted.QUERIES)
+    songs, artists = views.songs(spark, folder), views.artists(spark, folder)
+    return _rounded(search.search(asked, search.read_index(spark, path), songs, artists), "score")
+
+
 @query
 def q3_search_passages(spark: SparkSession, folder: str) -> DataFrame:
     """Which documents hold every word of a benchmark item."""
@@ -401,7 +514,7 @@ def x12_build_tfidf(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def d1_utc_day(spark: SparkSession, folder: str) -> DataFrame:
-    return _all_comments(spark, folder).select("id", utc_day(F.col("created_utc")).alias("date"))
+    return _all_facts(spark, folder).select("id", utc_day(F.col("created_utc")).alias("date"))
 
 
 @query
@@ -415,20 +528,31 @@ def d2_parse_dates(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def m1_fit_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
-    fitted = features.fit_vocabulary(_labeled(spark, folder))
-    return spark.createDataFrame([(term,) for term in fitted.vocabulary], "term string")
+    """A vocabulary of fewer terms than there are, as it is stored."""
+    return _stored_vocabulary(spark, features.fit_vocabulary(_labeled(spark, folder), vocab_size=300))
+
+
+def _stored_vocabulary(spark: SparkSession, fitted: CountVectorizerModel) -> DataFrame:
+    path = shared_folder(spark)
+    features.save_vocabulary(fitted, path)
+    return features.vocabulary_rows(spark, path).select("term")
+
+
+@query
+def s6_stored_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
+    return _stored_vocabulary(spark, features.fit_vocabulary(_labeled(spark, folder)))
 
 
 @query
 def m1_vocabulary_table(spark: SparkSession, folder: str) -> DataFrame:
-    return features.vocabulary_table(features.add_ngrams(views.comments(spark, folder)))
+    return features.vocabulary_table(features.add_ngrams(views.bodies(spark, folder)))
 
 
 @query
 def m2_vectorize(spark: SparkSession, folder: str) -> DataFrame:
     """Number of vocabulary terms per comment, from the feature vectors."""
     fitted = features.fit_vocabulary(_labeled(spark, folder))
-    vectors = features.vectorize(fitted, features.add_ngrams(_all_comments(spark, folder)))
+    vectors = features.vectorize(fitted, features.add_ngrams(_all_bodies(spark, folder)))
     return vectors.select(
         "id", F.size(F.unwrap_udt("features")["indices"]).cast("bigint").alias("n_terms")
     )
@@ -436,8 +560,8 @@ def m2_vectorize(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def m2_feature_rows(spark: SparkSession, folder: str) -> DataFrame:
-    vocabulary = features.vocabulary_table(_labeled(spark, folder))
-    return features.feature_rows(features.add_ngrams(_all_comments(spark, folder)), vocabulary)
+    vocabulary = stage(features.vocabulary_table(_labeled(spark, folder)))
+    return features.feature_rows(features.add_ngrams(_all_bodies(spark, folder)), vocabulary)
 
 
 @query
@@ -483,35 +607,56 @@ def _featured(spark: SparkSession, folder: str) -> tuple:
     return vocabulary, features.vectorize(vocabulary, labeled)
 
 
+def _loss(fitted: LogisticRegressionModel, train: DataFrame, kind: str) -> Column:
+    chance = vector_to_array(F.col(f"{kind}_probability"))[1]
+    return -F.avg(F.log(F.when(F.col(f"{kind}_label") == 1, chance).otherwise(1 - chance)))
+
+
 @query
 def m6_fit_logistic_regression(spark: SparkSession, folder: str) -> DataFrame:
-    """Weight of each vocabulary term in the positive classifier."""
-    vocabulary, labeled = _featured(spark, folder)
-    train, _ = prepare.split_by_hash(labeled, "Input_id", 50, "pos")
-    fitted = model.logistic_regression("pos").setRegParam(1.0).fit(train)
-    weights = [(term, float(weight)) for term, weight in zip(vocabulary.vocabulary, fitted.coefficients)]
-    return spark.createDataFrame(weights, "term string, weight double")
+    """Rows and positives that each classifier is fitted on, and whether it does better than no weights."""
+    _, labeled = _featured(spark, folder)
+    parts = []
+    for kind in model.THRESHOLDS:
+        train, _ = prepare.split_by_hash(labeled, "Input_id", 50, kind)
+        fitted = model.logistic_regression(kind).setRegParam(1.0).fit(train)
+        parts.append(
+            fitted.transform(train).agg(
+                F.count(F.lit(1)).alias("n_rows"),
+                F.sum(f"{kind}_label").alias("n_positive"),
+                (_loss(fitted, train, kind) < F.log(F.lit(2.0))).alias("fits"),
+            ).select(F.lit(kind).alias("kind"), "n_rows", "n_positive", "fits")
+        )
+    return parts[0].unionByName(parts[1])
+
+
+Trained = tuple[CountVectorizerModel, dict[str, CrossValidatorModel], dict[str, tuple[DataFrame, DataFrame]]]
 
 
-def _trained(spark: SparkSession, folder: str) -> tuple:
-    """The vocabulary, both classifiers, and the halves they have not seen."""
+def _trained(spark: SparkSession, folder: str) -> Trained:
+    """The vocabulary, both classifiers, and for each the half it was fitted on and the other."""
     vocabulary, labeled = _featured(spark, folder)
     halves = {kind: prepare.split_by_hash(labeled, "Input_id", 50, kind) for kind in model.THRESHOLDS}
-    fitted = model.fit_classifiers({kind: half[0] for kind, half in halves.items()})
-    return vocabulary, fitted, {kind: half[1] for kind, half in halves.items()}
+    fitted = model.fit_classifiers({kind: half[0] for kind, half in halves.items()}, "Input_id")
+    return vocabulary, fitted, halves
 
 
 @query
 def m7_cross_validate(spark: SparkSession, folder: str) -> DataFrame:
-    """Mean area under the ROC curve over the folds, on the training half."""
-    _, fitted, _ = _trained(spark, folder)
-    rows = [(kind, 1.0, float(best.avgMetrics[0])) for kind, best in fitted.items()]
-    return spark.createDataFrame(rows, "kind string, reg_param double, mean_area double")
+    """The rows of each fold of each classifier, and whether its mean area is one."""
+    _, fitted, halves = _trained(spark, folder)
+    parts = []
+    for kind, (train, _) in halves.items():
+        area = fitted[kind].avgMetrics[0]
+        sizes = model.add_fold(train, kind, "Input_id").groupBy("fold").agg(F.count(F.lit(1)).alias("n_rows"))
+        parts.append(sizes.select(F.lit(kind).alias("kind"), "fold", "n_rows", F.lit(0 <= area <= 1).alias("area_found")))
+    return parts[0].unionByName(parts[1])
 
 
-def _applied(spark: SparkSession, folder: str) -> DataFrame:
-    """All comments, scored by both trained classifiers."""
-    vocabulary, fitted, _ = _trained(spark, folder)
+def _applied(
+    spark: SparkSession, folder: str, vocabulary: CountVectorizerModel, fitted: dict[str, CrossValidatorModel]
+) -> DataFrame:
+    """All kept comments, scored by both classifiers."""
     corpus = features.vectorize(vocabulary, features.add_ngrams(_kept(spark, folder)))
     return model.score(corpus, fitted["pos"], fitted["neg"])
 
@@ -519,7 +664,8 @@ def _applied(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def m8_prediction_equals_flag(spark: SparkSession, folder: str) -> DataFrame:
     """Per comment: the models' own thresholds give the flags taken from the chances."""
-    return _applied(spark, folder).select(
+    vocabulary, fitted, _ = _trained(spark, folder)
+    return _applied(spark, folder, vocabulary, fitted).select(
         "id",
         (F.col("pos_predict") == F.col("pos_prob")).alias("pos_agrees"),
         (F.col("neg_predict") == F.col("neg_prob")).alias("neg_agrees"),
@@ -528,12 +674,53 @@ def m8_prediction_equals_flag(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def m9_score(spark: SparkSession, folder: str) -> DataFrame:
-    return _applied(spark, folder).select("id", "pos_predict", "pos_prob", "neg_predict", "neg_prob")
+    """Per comment: both chances are those of the stored weights of the terms it holds."""
+    vocabulary, fitted, _ = _trained(spark, folder)
+    path = shared_folder(spark)
+    features.save_vocabulary(vocabulary, f"{path}/vocabulary")
+    weights, start = features.vocabulary_rows(spark, f"{path}/vocabulary"), {}
+    for kind, best in fitted.items():
+        model.save_classifier(best, f"{path}/{kind}")
+        stored = model.weight_rows(spark, f"{path}/{kind}").withColumnRenamed("weight", kind)
+        start[kind] = stored.filter("position = -1").first()[kind]
+        weights = weights.join(stored, "position", "left").fillna(0.0, [kind])
+    linear = features.score_linear(
+        features.add_ngrams(_kept(spark, folder)), ["id"], stage(weights.drop("position")), start
+    )
+    scored = _applied(spark, folder, vocabulary, fitted)
+    chances = {f"{kind}_chance": vector_to_array(F.col(f"{kind}_probability"))[1] for kind in fitted}
+    return linear.join(scored.withColumns(chances).select("id", *chances), "id").select(
+        "id", *(F.coalesce(F.abs(F.col(k) - F.col(f"{k}_chance")) < 1e-9, F.lit(False)).alias(f"{k}_agrees") for k in fitted)
+    )
+
+
+@query
+def s7_stored_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Per comment: classifiers read from storage flag what the fitted ones flag."""
+    vocabulary, fitted, _ = _trained(spark, folder)
+    path = shared_folder(spark)
+    for kind, best in fitted.items():
+        model.save_classifier(best, f"{path}/{kind}")
+    loaded = {kind: model.load_classifier(f"{path}/{kind}") for kind in fitted}
+    ours = _applied(spark, folder, vocabulary, fitted).select("id", "pos_prob", "neg_prob")
+    theirs = _applied(spark, folder, vocabulary, loaded).select(
+        "id", F.col("pos_prob").alias("pos_loaded"), F.col("neg_prob").alias("neg_loaded")
+    )
+    return ours.join(theirs, "id").select(
+        "id",
+        (F.col("pos_prob") == F.col("pos_loaded")).alias("pos_agrees"),
+        (F.col("neg_prob") == F.col("neg_loaded")).alias("neg_agrees"),
+    )
 
 
 @query
 def m12_evaluate(spark: SparkSession, folder: str) -> DataFrame:
-    """Area under the ROC curve on the half the models have not seen."""
-    _, fitted, unseen = _trained(spark, folder)
-    rows = [(kind, float(model.evaluate(best, unseen[kind], kind))) for kind, best in fitted.items()]
-    return spark.createDataFrame(rows, "kind string, area double")
+    """Whether the area under the ROC curve, on the unseen half, is that of the chances' ranks."""
+    _, fitted, halves = _trained(spark, folder)
+    parts = []
+    for kind, best in fitted.items():
+        area = model.evaluate(best, halves[kind][1], kind)
+        by_ranks = model.area_by_ranks(best.transform(halves[kind][1]), kind)
+        agrees = F.coalesce(F.abs(F.col("area") - F.lit(area)) < 1e-9, F.lit(False))
+        parts.append(by_ranks.select(F.lit(kind).alias("kind"), agrees.alias("agrees")))
+    return parts[0].unionByName(parts[1])

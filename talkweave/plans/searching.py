@@ -14,9 +14,11 @@ def build_index(spark: SparkSession, documents: DataFrame, path: str, buckets: i
 
 
 def answer(
-    spark: SparkSession, queries: DataFrame, index: str, song: DataFrame, artist: DataFrame, out: str
+    spark: SparkSession, queries: DataFrame, index: str, song: DataFrame, artist: DataFrame, out: str,
+    strict_duplicates: bool = True, escape_quotes: bool = False,
 ) -> DataFrame:
-    """Answer a batch of queries from the stored index and store all results."""
-    results = search.search(queries, search.read_index(spark, index), song, artist)
+    """Answer a batch of queries from the stored index and store all results with their ranks."""
+    stored = search.read_index(spark, index)
+    results = search.search(queries, stored, song, artist, strict_duplicates, escape_quotes)
     search.materialize(results, out)
     return spark.read.parquet(out)

@@ -29,7 +29,7 @@ def train(spark: SparkSession, comments: DataFrame, labels: DataFrame, out: str)
     features.save_vocabulary(vocabulary, f"{out}/vocabulary.model")
     labeled = features.vectorize(vocabulary, labeled)
     halves = {kind: prepare.split_by_hash(labeled, "Input_id", 50, kind) for kind in model.THRESHOLDS}
-    fitted = model.fit_classifiers({kind: seen for kind, (seen, _) in halves.items()})
+    fitted = model.fit_classifiers({kind: seen for kind, (seen, _) in halves.items()}, "Input_id")
     for kind, best in fitted.items():
         model.save_classifier(best, f"{out}/{kind}.model")
     return {kind: model.evaluate(best, halves[kind][1], kind) for kind, best in fitted.items()}
@@ -52,26 +52,35 @@ def score_corpus(spark: SparkSession, comments: DataFrame, submissions: DataFram
     return spark.read.parquet(f"{out}/scored.parquet")
 
 
+ROLLUPS = ("top_pos_posts", "top_neg_posts", "days", "states", "sub_score", "com_score")
+
+
 def write_rollups(scored: DataFrame, out: str, states: Iterable[str] = STATES) -> None:
     """Write all shares and top lists as CSV; fails where a file is there already."""
     by_post = rollup.sentiment_by_post(scored)
-    results = {
-        "top_pos_posts.csv": rollup.top_posts(by_post, "pos"),
-        "top_neg_posts.csv": rollup.top_posts(by_post, "neg"),
-        "days.csv": rollup.sentiment_by_day(scored),
-        "states.csv": rollup.sentiment_by_state(scored, states),
-        "sub_score.csv": rollup.sentiment_by_submission_score(scored),
-        "com_score.csv": rollup.sentiment_by_comment_score(scored),
-    }
-    for name, result in results.items():
-        tables.write_csv(result, f"{out}/{name}")
+    results = (
+        rollup.top_posts(by_post, "pos"),
+        rollup.top_posts(by_post, "neg"),
+        rollup.sentiment_by_day(scored),
+        rollup.sentiment_by_state(scored, states),
+        rollup.sentiment_by_submission_score(scored),
+        rollup.sentiment_by_comment_score(scored),
+    )
+    for name, result in zip(ROLLUPS, results):
+        tables.write_csv(result, f"{out}/{name}.csv")
 
 
 def run(
     spark: SparkSession, submissions: str, comments: str, labels: str, out: str,
     states: Iterable[str] = STATES,
 ) -> dict[str, float]:
-    """The whole job, from the raw files to the CSV files in ``out``."""
+    """The whole job, from the raw files to the CSV files in ``out``.
+
+    Fails before any work if one of these files is there already.
+    """
+    there = [name for name in ROLLUPS if tables.exists(spark, f"{out}/{name}.csv")]
+    if there:
+        raise FileExistsError(f"{out} has {', '.join(there)} already")
     raw = tables.ingest_comments(spark, submissions, comments, labels, f"{out}/staged")
     areas = train(spark, raw["comments"], raw["labeled_data"], out)
     write_rollups(score_corpus(spark, raw["comments"], raw["submissions"], out), out, states)

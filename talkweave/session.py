@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -29,18 +29,29 @@ def build_session(app_name: str = "talkweave", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+def _scratch(spark: SparkSession) -> str:
+    """The folder of this application under ``spark.checkpoint.dir``, else under the warehouse."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/talkweave-{spark.sparkContext.applicationId}"
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder name under the cluster's shared ``spark.checkpoint.dir``.
+    """A new folder name for intermediate tables, in a place that all executors share.
 
-    Where the setting is missing, a local session gets a temporary folder; on a
-    cluster that is an error, since executors cannot see each other's disks.
+    That is the folder set as ``spark.checkpoint.dir``, or the session's warehouse
+    where it is not set.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="run-")
-    return f"{root.rstrip('/')}/talkweave-{uuid.uuid4().hex}"
+    return f"{_scratch(spark)}/{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove the intermediate tables of this application; call it when its results are written."""
+    address = _scratch(spark)
+    if address.startswith("file:"):
+        address = "/" + address[5:].lstrip("/")
+    system, place = fs.FileSystem.from_uri(address)
+    if system.get_file_info(place).type == fs.FileType.Directory:
+        system.delete_dir(place)
 
 
 def stage(df: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,23 +70,34 @@ def read_jdbc(
     )
 
 
+TEXT_PARTITIONS = "spark.talkweave.textPartitions"
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Repartition by ``key`` where the scan has fewer tasks than there are cores.
+    """Repartition by ``key`` into the number that ``spark.talkweave.textPartitions`` sets, if it is set.
 
-    Cleaning text costs far more than reading it, and a small file is read by
-    few tasks. A large input already has more splits than cores and is returned
-    as it is, so no text is shuffled at scale.
+    Cleaning text costs far more than reading it, and a file of one row group is
+    read by one task. Set the number for such files; without it, as for inputs of
+    many row groups, texts stay where they are read.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)
+    parts = df.sparkSession.conf.get(TEXT_PARTITIONS, None)
+    return df.repartition(int(parts), key) if parts else df
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """True where there is a file or folder ``path``, in any file system that Spark reads."""
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
 
 
 def _is_complete(spark: SparkSession, path: str) -> bool:
     """True where an earlier write to ``path`` was committed."""
-    marker = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+    return exists(spark, f"{path}/_SUCCESS")
 
 
 def ingest(
@@ -120,25 +132,29 @@ def ingest_comments(
     )
 
 
-def write_csv(df: DataFrame, path: str, one_file_rows: int = 100_000) -> None:
-    """Write CSV with a header; fails if ``path`` exists.
+# Strings come back as they were: quotes are doubled, spaces at the ends stay, and
+# NULL is written as a string that no title holds, so that it differs from "".
+_CSV = {
+    "header": True,
+    "escape": '"',
+    "nullValue": "\x01NULL",
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
 
-    Up to ``one_file_rows`` rows go to a single part file. A larger result is
-    written by as many tasks as it has partitions, so that no task holds it all.
+def write_csv(df: DataFrame, path: str) -> None:
+    """Write one CSV file with a header into the folder ``path``; fails if that exists.
+
+    Meant for rollups, which are small by nature; the rows pass through one task
+    one after the other.
     """
-    df = df.persist()
-    try:
-        if df.count() <= one_file_rows:
-            df.repartition(1).write.csv(path, header=True)
-        else:
-            df.write.csv(path, header=True)
-    finally:
-        df.unpersist()
+    df.repartition(1).write.csv(path, emptyValue='""', **_CSV)
 
 
 def read_rollup(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Read a rollup written by ``write_csv``; titles may hold line ends."""
-    return spark.read.schema(schema).csv(path, header=True, multiLine=True)
+    return spark.read.schema(schema).csv(path, multiLine=True, emptyValue="", **_CSV)
 
 
 def sanitize_file(spark: SparkSession, path: str) -> DataFrame:

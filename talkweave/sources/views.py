@@ -8,41 +8,45 @@ from pyspark.sql import functions as F
 from talkweave.sources.tables import read_table, spread
 
 
-def comments(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents as comments, with time, author and score from events."""
+def bodies(spark: SparkSession, folder: str) -> DataFrame:
+    """Document texts as comment bodies: ``id``, ``body``."""
     documents = spread(read_table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
-    events = read_table(spark, folder, "events")
+    return documents.select(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("body"))
+
+
+def facts(spark: SparkSession, folder: str) -> DataFrame:
+    """What comments have besides their body: time, author and score from events, and the post."""
     authors = (
         read_table(spark, folder, "customer")
         .join(read_table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
         .select("c_custkey", "n_name")
     )
-    about = events.join(authors, F.col("user_id") == F.col("c_custkey"), "left").select(
-        "event_id",
+    events = read_table(spark, folder, "events").join(authors, F.col("user_id") == F.col("c_custkey"), "left")
+    documents = read_table(spark, folder, "documents").select("doc_id")
+    return documents.join(events, F.col("doc_id") == F.col("event_id")).select(
+        F.col("doc_id").cast("string").alias("id"),
         F.unix_seconds(F.col("ts").cast("timestamp")).alias("created_utc"),
         F.col("n_name").alias("author_flair_text"),
         F.floor("value").cast("int").alias("score"),
-    )
-    # A merge join keeps the texts where they are; as the small side of a
-    # broadcast join they would be cleaned by as few tasks as the events have.
-    return documents.hint("merge").join(about, F.col("doc_id") == F.col("event_id")).select(
-        F.col("doc_id").cast("string").alias("id"),
-        F.col("text").alias("body"),
-        "created_utc",
-        "author_flair_text",
-        "score",
         F.concat(F.lit("t3_"), (F.col("doc_id") % 120).cast("string")).alias("link_id"),
     )
 
 
+def comments(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as comments. What needs no body, or no more than a body, reads the two views above."""
+    return bodies(spark, folder).join(facts(spark, folder), "id").select(
+        "id", "body", "created_utc", "author_flair_text", "score", "link_id"
+    )
+
+
 def submissions(spark: SparkSession, folder: str) -> DataFrame:
-    """The first turn of every conversation as a submission."""
+    """The first turn of every conversation as a submission, its text as the title."""
     return (
         read_table(spark, folder, "conversations")
         .filter("turn = 0")
         .select(
             F.col("conv_id").cast("string").alias("id"),
-            F.substring("text", 1, 80).alias("title"),
+            F.col("text").alias("title"),
             F.length("text").cast("int").alias("score"),
         )
     )

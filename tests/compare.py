@@ -70,7 +70,7 @@ def differences(spark_df, connection, sql: str) -> list[str]:
 
 def main(scale: str, names: list[str]) -> None:
     from __spark_entry__ import oracle_sql, queries
-    from talkweave.session import build_session
+    from talkweave.session import build_session, clear_scratch
 
     spark = build_session(
         "compare",
@@ -100,6 +100,7 @@ def main(scale: str, names: list[str]) -> None:
         except Exception as error:  # report it and go on to the next query
             verdict = f"ERROR {type(error).__name__}: {str(error)[:600]}"
         print(f"{name:38} {time.time() - started:6.1f}s  {verdict}", flush=True)
+    clear_scratch(spark)
 
 
 if __name__ == "__main__":

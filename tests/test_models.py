@@ -23,7 +23,7 @@ def trained(spark):
     fitted, halves = {}, {}
     for kind in model.THRESHOLDS:
         halves[kind] = prepare.split_by_hash(vectors, "id", 50, kind)
-        fitted[kind] = model.fit_classifier(halves[kind][0], kind, folds=2)
+        fitted[kind] = model.fit_classifier(halves[kind][0], kind, "id", folds=2)
     yield labeled, vocabulary, vectors, fitted, halves
     vectors.unpersist()
     labeled.unpersist()
@@ -101,15 +101,41 @@ def test_vocabulary_over_the_limit_equals_the_estimator(spark):
     df = features.add_ngrams(spark.createDataFrame(texts, "body string")).persist()
     for size in (1, 2, 9):
         fitted = CountVectorizer(inputCol="n_gram", outputCol="f", minDF=2.0, binary=True, vocabSize=size).fit(df)
-        rows = features.vocabulary_table(df, min_df=2, max_terms=size).collect()
-        assert len(rows) == size
+        ours = features.fit_vocabulary(df, min_df=2, vocab_size=size).vocabulary
+        assert len(ours) == size
         totals = df.select(F.explode("n_gram").alias("term")).groupBy("term").count()
         total = {r["term"]: r["count"] for r in totals.collect()}
-        assert sorted(total[r["term"]] for r in rows) == sorted(total[t] for t in fitted.vocabulary)
+        assert sorted(total[t] for t in ours) == sorted(total[t] for t in fitted.vocabulary)
+
+
+def test_most_frequent_by_count_then_digest(spark):
+    import hashlib
+
+    rows = [(f"t{i}", 5 if i % 3 else i % 40 + 1) for i in range(900)]
+    counts = spark.createDataFrame(rows, "term string, total bigint").persist()
+    order = sorted(rows, key=lambda r: (-r[1], int(hashlib.md5(r[0].encode()).hexdigest()[:15], 16), r[0]))
+    for most in (1, 30, 200, 899, 900, 5000):
+        found = {r.term for r in features.most_frequent(counts, "total", "term", most).collect()}
+        assert found == {term for term, _ in order[:most]}
+    counts.unpersist()
+
+
+def test_equal_keys_stay_apart(spark):
+    df = features.add_ngrams(spark.createDataFrame([("1", "x"), ("1", "x x"), ("1", "")], "id string, body string"))
+    weights = spark.createDataFrame([("x", 2.0)], "term string, w double")
+    rows = [round(r["w"], 6) for r in features.score_linear(df, ["id"], weights, {"w": 0.0}).collect()]
+    assert sorted(rows) == [0.5, 0.880797, 0.880797]
+
+
+def test_folds_do_not_depend_on_layout(trained):
+    *_, halves = trained
+    one = model.fit_classifier(halves["pos"][0].repartition(1), "pos", "id", folds=3)
+    many = model.fit_classifier(halves["pos"][0].repartition(7, "features"), "pos", "id", folds=3)
+    assert one.avgMetrics == pytest.approx(many.avgMetrics, abs=1e-9)
 
 
 def test_both_classifiers_at_once(trained):
     *_, fitted, halves = trained
-    both = model.fit_classifiers({kind: half[0] for kind, half in halves.items()}, folds=2)
+    both = model.fit_classifiers({kind: half[0] for kind, half in halves.items()}, "id", folds=2)
     for kind in model.THRESHOLDS:
         assert both[kind].bestModel.coefficients == fitted[kind].bestModel.coefficients

@@ -63,17 +63,37 @@ def _comments(spark, n: int):
     )
 
 
-def test_salted_join_equals_plain_join(spark, monkeypatch):
+def test_salted_join_equals_plain_join(spark):
     comments = _comments(spark, 3000)
     posts = spark.createDataFrame(
         [("hot", "hot post", 1)] + [(f"p{i}", f"post {i}", i) for i in range(40)],
         "link_id string, title string, sub_score int",
     )
     plain = comments.join(posts, "link_id").select(*sorted(comments.columns), "title")
-    for keys in (0, 1, 1000):
-        monkeypatch.setattr(skew, "HOT_KEYS", keys)
-        salted = prepare.attach_submission(comments, posts).select(*sorted(comments.columns), "title")
-        assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    counts = comments.groupBy("link_id").count()
+    try:
+        for partitions in (1, 8, 60, 500):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            hot = skew.hot_keys(counts, "link_id", "count")
+            # No more hot keys than partitions, and few copies, whatever the mean.
+            assert hot.count() <= partitions and (hot.agg(F.sum("slices")).first()[0] or 0) <= 2 * partitions
+            salted = prepare.attach_submission(comments, posts).select(*sorted(comments.columns), "title")
+            assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+            left = skew.salted_join(comments, posts, "link_id", hot, "id", "left")
+            assert left.count() == 3000 and left.filter("title IS NULL").count() == 3000 - plain.count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_broadcast_is_measured_in_bytes(spark):
+    from pyspark.sql import functions as F
+
+    long = spark.createDataFrame([("x" * 5000,), (None,)], "t string")
+    plan = lambda df: df._jdf.queryExecution().logical().toString()
+    assert "Hint broadcast" in plan(skew.broadcast_if_small(long, 6000))
+    assert "Hint broadcast" not in plan(skew.broadcast_if_small(long, 5000))
+    assert "Hint broadcast" in plan(skew.broadcast_if_small(long.filter(F.lit(False)), 10))
 
 
 def test_hot_rows_are_spread(spark):

@@ -49,10 +49,19 @@ def test_index_against_brute_force(index):
     assert found == pytest.approx(expected_scores())
 
 
-def test_index_is_the_same_with_few_hot_keys(documents, index, monkeypatch):
-    monkeypatch.setattr(skew, "HOT_KEYS", 2)
-    salted = search.build_tfidf(documents)
-    assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, index.collect()))
+def test_index_is_the_same_with_other_hot_keys(spark, documents, index):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    expected = sorted(map(tuple, index.collect()))
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 50)
+        assert sorted(map(tuple, search.build_tfidf(documents).collect())) == expected
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_texts_are_cleaned_before_the_index_is_joined(documents):
+    plan = search.build_tfidf(documents)._jdf.queryExecution().executedPlan().toString()
+    assert "regexp" not in plan
 
 
 def test_query_tokens(spark):
@@ -122,8 +131,40 @@ def test_counts_and_page_facts(spark):
     counts = search.result_count(results, ask(spark, ("a", "or"), ("b", "or"), ("c", "or")))
     facts = {r["query_id"]: tuple(r)[1:] for r in search.page_info(counts, 2).collect()}
     assert facts == {1: (41, 2, 3, True, True), 2: (0, 2, 0, True, False), 3: (40, 2, 2, True, False)}
-    assert [search.turn_page(2, d) for d in ("previous", "next", None)] == [1, 3, 1]
-    assert search.turn_page(1, "previous") == 1
+    requests = spark.createDataFrame(
+        [(2, "previous", 1), (2, "next", 3), (2, None, 1), (1, "previous", 1), (7, "new", 1)], "n int, button string, page int"
+    )
+    turned = requests.withColumn("turned", search.turn_page(F.col("n"), F.col("button")))
+    assert turned.filter("turned = page").count() == 5
+
+
+def test_ranks_of_large_results(spark):
+    """Ranks run on across the ranges of a query that fills several of them."""
+    rows = [(q, s, float(s * 7 % 11)) for q, n in ((1, 3000), (2, 1), (3, 500)) for s in range(n)]
+    results = spark.createDataFrame(rows, "query_id int, song_id bigint, score double").repartition(9)
+    found = {(r.query_id, r.song_id): r["rank"] for r in search.add_ranks(results).collect()}
+    for q in (1, 2, 3):
+        order = sorted((r for r in rows if r[0] == q), key=lambda r: (-r[2], r[1]))
+        assert [found[q, r[1]] for r in order] == list(range(1, len(order) + 1))
+
+
+def test_a_stored_page_reads_its_rows(spark, tmp_path):
+    path = str(tmp_path / "results")
+    results = spark.range(20_000).select(F.lit(1).alias("query_id"), F.col("id").alias("song_id"), (-F.col("id") / 7).alias("score"))
+    search.materialize(results, path)
+    page = search.stored_page(spark, path, 1, 500)
+    assert [r.song_id for r in page.orderBy("rank").collect()] == list(range(9980, 10_000))
+    plan = page._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(rank,9980)" in plan and "LessThanOrEqual(rank,10000)" in plan and "Window" not in plan
+
+
+def test_tokens_are_pushed_into_the_stored_index(spark, documents, tmp_path):
+    stored = searching.build_index(spark, documents, str(tmp_path / "index"), 4)
+    matched = search.match_tokens(ask(spark, ("a b", "or")), stored)
+    plan = matched._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(token,a)" in plan and "LessThanOrEqual(token,b)" in plan and "PartitionFilters: [" in plan
+    nothing = search.match_tokens(ask(spark, ("...", "or")), stored)
+    assert nothing.count() == 0
 
 
 def test_stored_index_gives_the_same_results(spark, documents, index, song, artist, tmp_path):

@@ -7,7 +7,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.errors import AnalysisException
 
-from talkweave.session import shared_folder, stage
+from talkweave.session import clear_scratch, shared_folder, stage
 from talkweave.sources import tables
 
 
@@ -57,8 +57,6 @@ def test_csv_sink(spark, tmp_path):
     assert back.exceptAll(df).count() == 0 and back.count() == 50
     with pytest.raises(AnalysisException):
         tables.write_csv(df, path)
-    tables.write_csv(df, str(tmp_path / "many.csv"), one_file_rows=10)
-    assert len(list((tmp_path / "many.csv").glob("part-*"))) > 1
 
 
 def test_sanitize_file(spark, tmp_path):
@@ -68,11 +66,20 @@ def test_sanitize_file(spark, tmp_path):
     assert rows == [("a . b", "a b", "", ""), ("good bad", "good bad", "good_bad", "")]
 
 
-def test_spread_leaves_wide_input_alone(spark):
+def test_texts_stay_unless_a_number_is_set(spark):
     narrow = spark.range(100).coalesce(1)
-    assert tables.spread(narrow, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 100, 1, 20)
-    assert tables.spread(wide, "id") is wide
+    assert tables.spread(narrow, "id") is narrow
+    spark.conf.set(tables.TEXT_PARTITIONS, "5")
+    try:
+        assert tables.spread(narrow, "id").rdd.getNumPartitions() == 5
+    finally:
+        spark.conf.unset(tables.TEXT_PARTITIONS)
+
+
+def test_existence(spark, tmp_path):
+    (tmp_path / "_file").write_text("")
+    assert tables.exists(spark, str(tmp_path / "_file")) and tables.exists(spark, f"file://{tmp_path}")
+    assert not tables.exists(spark, str(tmp_path / "no"))
 
 
 def test_shared_folder_follows_the_session(spark):
@@ -83,12 +90,16 @@ def test_shared_folder_follows_the_session(spark):
     assert staged.count() == 5 and root in staged.inputFiles()[0]
 
 
-def test_a_cluster_must_name_its_shared_folder():
-    def session(master):
-        return SimpleNamespace(
-            conf=SimpleNamespace(get=lambda key, default: default), sparkContext=SimpleNamespace(master=master)
-        )
+def test_the_warehouse_is_the_other_shared_folder():
+    conf = {"spark.sql.warehouse.dir": "hdfs://w/house/"}
+    session = SimpleNamespace(conf=SimpleNamespace(get=conf.get), sparkContext=SimpleNamespace(applicationId="app-1"))
+    assert shared_folder(session).startswith("hdfs://w/house/talkweave-app-1/")
+
 
-    with pytest.raises(ValueError):
-        shared_folder(session("yarn"))
-    assert shared_folder(session("local[2]"))
+def test_scratch_is_removed(tmp_path):
+    conf = {"spark.checkpoint.dir": f"file://{tmp_path}"}
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf.get(k, d)), sparkContext=SimpleNamespace(applicationId="a"))
+    clear_scratch(session)
+    (tmp_path / "talkweave-a" / "x").mkdir(parents=True)
+    clear_scratch(session)
+    assert list(tmp_path.iterdir()) == []
