@@ -16,7 +16,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from talkweave.llm import words as W
@@ -28,14 +28,24 @@ SEGMENT = "anchor bigint, content bigint, key_id bigint, key_hash bigint, place
 COLUMNS = ["anchor", "content", "key_id", "key_hash", "place", "other"]
 
 
+#: Neighbouring repeats are put together up to about so many windows.
+LONGEST = 1 << 22
+
+
 def pack(start: np.ndarray, size: np.ndarray, at: np.ndarray | int = 0) -> np.ndarray:
-    """Start, number of windows (up to 65,535) and place of the anchor as one number."""
-    return (start.astype(np.int64) << 32) | (size.astype(np.int64) << 16) | at
+    """Start, number of windows (under 2**24) and place of the anchor (under 2**8) as one number."""
+    return (start.astype(np.int64) << 32) | (size.astype(np.int64) << 8) | at
 
 
 def unpack(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The inverse of ``pack``."""
-    return place >> 32, (place >> 16) & 0xFFFF, place & 0xFFFF
+    return place >> 32, (place >> 8) & 0xFFFFFF, place & 0xFF
+
+
+def span_columns(width: int) -> list[Column]:
+    """``start`` and ``size`` of a packed place in tokens, as columns."""
+    size = F.shiftright("place", 8).bitwiseAND(F.lit(0xFFFFFF)) + (width - 1)
+    return [F.shiftright("place", 32).alias("start"), size.alias("size")]
 
 
 def starts(*columns: np.ndarray) -> np.ndarray:
@@ -47,11 +57,27 @@ def starts(*columns: np.ndarray) -> np.ndarray:
     return flag
 
 
+def joined_runs(text: np.ndarray, start: np.ndarray, size: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Put together neighbouring segments of a text with equal ``other``: the first of each run, and its size.
+
+    Segments are in order of text and start.
+    """
+    fresh = starts(text, other, start // LONGEST)
+    fresh[1:] |= start[1:] != start[:-1] + size[:-1]
+    head = np.flatnonzero(fresh)
+    return head, np.add.reduceat(size, head) if len(head) else size
+
+
 def _numbers(table: pa.Table | pa.RecordBatch, name: str) -> np.ndarray:
     column = table.column(name)
     return column.fill_null(0).to_numpy(zero_copy_only=False) if isinstance(column, pa.Array) else column.fill_null(0).to_numpy()
 
 
+def _offered(columns: list[np.ndarray], done: bool) -> pa.RecordBatch:
+    flags = np.full(len(columns[0]), done)
+    return pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(flags)], [*COLUMNS, "done"])
+
+
 def _offer(windows: Windows, hot: np.ndarray, ordered: bool):
     """Segments of each batch, with copies within the batch decided (``done``)."""
 
@@ -71,7 +97,18 @@ def _offer(windows: Windows, hot: np.ndarray, ordered: bool):
                 done = ~fresh
             place = pack(found.start, found.size, found.at)[order]
             columns = [anchor.view(np.int64), content.view(np.int64), ids, hashes[order], place, other]
-            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(done)], [*COLUMNS, "done"])
+            yield _offered([column[~done] for column in columns], False)
+            # Decided copies go on as runs, in order of text and start again.
+            copies = np.sort(order[done])
+            back = np.empty(len(order), np.int64)
+            back[order] = other
+            text, start = found.text[copies], found.start[copies]
+            head, size = joined_runs(text, start, found.size[copies], back[copies])
+            first = copies[head]
+            row = found.text[first]
+            nothing = np.zeros(len(head), np.int64)
+            runs = [nothing, nothing, _numbers(batch, "key_id")[row], _numbers(batch, "key_hash")[row]]
+            yield _offered([*runs, pack(found.start[first], size), back[first]], True)
 
     return run
 

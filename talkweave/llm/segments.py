@@ -8,8 +8,9 @@ all its windows. Hence two windows can be equal only if their segments have the
 same anchor, and all windows of equal segments are equal.
 
 Runs of tokens that are frequent in the corpus (``hot``) rank last, so windows
-around a common line or passage take a rarer anchor, and only windows that are
-common as a whole keep a frequent one.
+around a common line or passage take a rarer anchor. A window in which all of them
+are frequent is a segment of its own, and its content stands for its anchor: many
+different windows of a large group of near copies then never share one.
 """
 
 from __future__ import annotations
@@ -101,12 +102,16 @@ def cut(prefix: np.ndarray, first: np.ndarray, windows: Windows, hot: np.ndarray
     edge = np.ones(count + 1, bool)
     edge[1:-1] = at[1:] != at[:-1]
     edge[1:-1] |= ~whole[1:] | ~whole[:-1]
+    common = (least >> np.uint64(63)).astype(bool)
+    edge[:-1] |= common
+    edge[1:] |= common
     start = np.flatnonzero(edge[:-1] & whole)
     size = np.flatnonzero(edge[1:] & whole) + 1 - start
     place = at[start].astype(np.int64)
     text = np.searchsorted(first, start, "right") - 1
     content = W.range_hashes(prefix, start, start + size - 1 + width, windows.base)
-    return Segments(text, start - first[text], size, place - start, grams[place], content)
+    anchor = np.where(common[start], content, grams[place])
+    return Segments(text, start - first[text], size, place - start, anchor, content)
 
 
 def of_batch(texts: pa.Array, windows: Windows, hot: np.ndarray) -> Segments:

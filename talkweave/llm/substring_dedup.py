@@ -105,12 +105,8 @@ def spans(docs: DataFrame, width: int = WINDOW, gram: int = GRAM) -> DataFrame:
 def factors(docs: DataFrame, width: int = WINDOW) -> DataFrame:
     """The duplicate spans of each document: ``doc_id``, first word, words, and the document they are copied from."""
     found = spans(docs, width)
-    return found.select(
-        shown_id(),
-        F.shiftright("place", 32).alias("first_word"),
-        (F.shiftright("place", 16).bitwiseAND(F.lit(0xFFFF)) + (width - 1)).alias("n_words"),
-        F.col("other").alias("copied_from"),
-    )
+    start, size = P.span_columns(width)
+    return found.select(shown_id(), start.alias("first_word"), size.alias("n_words"), F.col("other").alias("copied_from"))
 
 
 def _remove(width: int):

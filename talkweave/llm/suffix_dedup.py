@@ -26,7 +26,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from talkweave.llm import passages as P
 from talkweave.llm import words as W
@@ -254,8 +253,5 @@ def remove_repeats(docs: DataFrame, width: int = WINDOW, gram: int = GRAM) -> Da
 
 def repeated_spans(docs: DataFrame, width: int = WINDOW) -> DataFrame:
     """``doc_id``, first byte and bytes of runs of repeated windows; runs may overlap."""
-    return spans(docs, width).select(
-        shown_id(),
-        F.shiftright("place", 32).alias("first_byte"),
-        (F.shiftright("place", 16).bitwiseAND(F.lit(0xFFFF)) + (width - 1)).alias("n_bytes"),
-    )
+    start, size = P.span_columns(width)
+    return spans(docs, width).select(shown_id(), start.alias("first_byte"), size.alias("n_bytes"))

@@ -369,3 +369,19 @@ def test_empty_tables(spark, empty):
         simhash.near_duplicates(empty),
     ):
         assert result.collect() == []
+
+
+@pytest.mark.parametrize("hot", [1, 3])
+def test_frequent_anchors_change_nothing(spark, docs, texts, monkeypatch, hot):
+    """With nearly every anchor frequent, windows stand for themselves; results are the same."""
+    from talkweave.llm import segments
+
+    monkeypatch.setattr(segments, "LEAST_HOT", hot)
+    few = [t for t in texts if len(t[1] or "") < 20_000]
+    short = docs.filter(F.coalesce(F.length("text"), F.lit(0)) < 20_000)
+    found = segments.hot_anchors(short, segments.Windows("words", 50, 16))
+    assert len(found) > 0
+    words = substring_dedup.remove_repeats(short)
+    assert _rows(words, "doc_id", "n_words", "n_removed", "kept_sha256") == brute.repeated_words(_plain(few))
+    data = suffix_dedup.remove_repeats(short)
+    assert _rows(data, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.repeated_bytes(_plain(few))
