@@ -142,7 +142,8 @@ def dropped_lines(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     found = repeats[0]
     for part in repeats[1:]:
         found = found.unionByName(part)
-    found = found.groupBy("r1", "r2").agg(F.min("first").alias("first"))
+    # Written, so that the join below has two plain shuffles, of which Spark can split a common line's.
+    found = stage(found.groupBy("r1", "r2").agg(F.min("first").alias("first")))
     doomed = lines.join(
         found, (F.col("h1") == F.col("r1")) & (F.col("h2") == F.col("r2")) & (F.col("key_id") > F.col("first"))
     )
