@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from talkweave.llm import words as W
 from talkweave.llm.rows import in_tasks, row_id, shown_id, text_hash
+from talkweave.operators.skew import hot_keys, salted_join
 from talkweave.session import stage
 
 LEAST_WORDS = 20
@@ -153,12 +154,15 @@ def host_rates(measured: DataFrame) -> DataFrame:
 def judge(docs: DataFrame) -> DataFrame:
     """The measures of each document with the verdicts on its host and ``kept``."""
     measured = stage(measure(docs))
-    verdicts = host_rates(measured).select("host", *(f"bad_{rule}" for rule in SOFT_RULES))
+    # Written, so that Spark knows its size; hosts of very many documents are salted.
+    rates = stage(host_rates(measured))
+    verdicts = rates.select("host", *(f"bad_{rule}" for rule in SOFT_RULES))
+    large = hot_keys(rates, "host", "n_documents")
     blamed = F.lit(False)
     for rule in SOFT_RULES:
         blamed = blamed | (F.col(f"failed_{rule}") & F.coalesce(F.col(f"bad_{rule}"), F.lit(False)))
     return (
-        measured.join(verdicts, "host", "left")
+        salted_join(measured, verdicts, "host", large, "key_id", "left")
         .withColumn("host_failed", blamed)
         .withColumn("kept", ~F.col("base_failed") & ~blamed)
         .select(shown_id(), "*")
