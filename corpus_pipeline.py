@@ -37,7 +37,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of least ``doc_id`` of each group of near-duplicates, once."""
     groups = simhash.near_duplicates(docs)
-    least = groups.filter("key_id = component_id").groupBy("key_id").agg(F.min("key_hash").alias("key_hash"))
+    least = groups.filter("key_id = component_id").groupBy("root", "key_id").agg(F.min("key_hash").alias("key_hash"))
     return one_of_each(keep_rows(docs, least))
 
 

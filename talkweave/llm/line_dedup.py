@@ -24,7 +24,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkweave.llm.rows import keyed, row_id, shown_id, text_hash
+from talkweave.llm.rows import keyed, shown_id, with_row
 from talkweave.session import shared_folder, stage
 
 LEAST_POINTS = 10
@@ -190,10 +190,12 @@ def without_lines(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
 
     All other columns, and the texts that lose nothing, stay as they are.
     """
-    gone = _gone(docs, batches).withColumnsRenamed({"key_id": "__gone_id", "key_hash": "__gone_hash"})
-    joined = docs.join(gone, (row_id() == gone["__gone_id"]) & (text_hash() == gone["__gone_hash"]), "left")
-    columns = {"text": F.col("__kept")}
+    rows = _with_kept(with_row(docs).join(_gone(docs, batches), ["key_id", "key_hash"], "left"))
+    new = {"text": F.col("__kept")}
     if "n_chars" in docs.columns:
-        length = F.length("__kept").cast(docs.schema["n_chars"].dataType)
-        columns["n_chars"] = F.when(F.col("__gone").isNull(), F.col("n_chars")).otherwise(length)
-    return _with_kept(joined).withColumns(columns).select(*docs.columns)
+        new["n_chars"] = F.length("__kept").cast(docs.schema["n_chars"].dataType)
+    lost = F.col("__gone").isNotNull()
+    old = {name: F.col("row").getField(name) for name in docs.columns}
+    return rows.select(
+        *(F.when(lost, new[name]).otherwise(old[name]).alias(name) if name in new else old[name].alias(name) for name in old)
+    )

@@ -107,7 +107,16 @@ def keep_rows(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
     return docs.join(keys, (row_id() == keys["_key_id"]) & (text_hash() == keys["_key_hash"]), "left_semi")
 
 
+def with_row(docs: DataFrame) -> DataFrame:
+    """``key_id``, ``key_hash``, ``text``, and ``row`` with all columns of ``docs``, whatever their names."""
+    return docs.select(
+        row_id().alias("key_id"),
+        text_hash().alias("key_hash"),
+        F.coalesce(F.col("text"), F.lit("")).alias("text"),
+        F.struct("*").alias("row"),
+    )
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
     """Of rows with equal ``doc_id`` and text, one."""
-    keys = {"__one_id": row_id(), "__one_hash": text_hash()}
-    return docs.withColumns(keys).dropDuplicates(list(keys)).drop(*keys)
+    return with_row(docs).drop("text").dropDuplicates(["key_id", "key_hash"]).select("row.*")

@@ -328,7 +328,10 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def components(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """``fingerprint`` and ``component_id``, the least ``key_id`` of its group, for rows (key_id, fingerprint)."""
+    """For rows (key_id, fingerprint): ``fingerprint``, its group, and the group's least ``key_id`` as ``component_id``.
+
+    ``root``, the least fingerprint of a group, names it also where ids repeat.
+    """
     nodes = stage(prints.groupBy("fingerprint").agg(F.min("key_id").alias("node")))
     roots = connected(links(nodes.select("fingerprint"), radius))
     placed = stage(
@@ -337,11 +340,11 @@ def components(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
         )
     )
     least = placed.groupBy("root").agg(F.min("node").alias("component_id"))
-    return placed.join(least, "root").select("fingerprint", "component_id")
+    return placed.join(least, "root").select("fingerprint", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """Each document's key, fingerprint and component: ``key_id``, ``key_hash``, ``fingerprint``, ``component_id``."""
+    """Each document's ``key_id``, ``key_hash``, ``fingerprint``, and its group: ``root`` and ``component_id``."""
     prints = stage(fingerprint_rows(docs, shingle))
     groups = stage(components(prints, radius))
-    return prints.join(groups, "fingerprint").select("key_id", "key_hash", "fingerprint", "component_id")
+    return prints.join(groups, "fingerprint").select("key_id", "key_hash", "fingerprint", "root", "component_id")

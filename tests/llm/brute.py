@@ -113,3 +113,43 @@ def near_groups(docs: list[tuple[int, str | None]], radius: int = 4) -> list[tup
     for i, (doc, _) in enumerate(prints):
         least[root(i)] = min(least.get(root(i), doc), doc)
     return sorted((doc, f"{f:016x}", least[root(i)]) for i, (doc, f) in enumerate(prints))
+
+
+def base_failed(text: str | None) -> bool:
+    words = WORD.findall(text or "")
+    windows = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
+    count: dict[tuple, int] = {}
+    for window in windows:
+        count[window] = count.get(window, 0) + 1
+    repeated = {j for i, window in enumerate(windows) if count[window] > 1 for j in range(i, i + 8)}
+    return len(words) < 20 or 100 * len(repeated) > 30 * len(words)
+
+
+def without_lines(docs: list[tuple[int, str | None]]) -> list[tuple[int, str]]:
+    def key(line: str) -> str:
+        return line.strip(" \t\n\x0b\x0c\r").translate(LOWER)
+
+    least: dict[str, int] = {}
+    for doc, text in docs:
+        for line in (text or "").split("\n"):
+            least[key(line)] = min(least.get(key(line), doc), doc)
+    return [
+        (doc, "\n".join(x for x in (text or "").split("\n") if len(key(x)) < 10 or least[key(x)] == doc))
+        for doc, text in docs
+    ]
+
+
+def normal_words(text: str | None) -> list[str]:
+    return re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (text or "").translate(LOWER))
+
+
+def contaminated(text: str | None, items: list[str | None]) -> bool:
+    words, hit = normal_words(text), set()
+    for item in items:
+        own = normal_words(item)
+        for i in range(max(1, len(own) - 12) if own else 0):
+            window = own[i : i + 13]
+            for j in range(len(words) - len(window) + 1):
+                if words[j : j + len(window)] == window:
+                    hit.update(range(j, j + len(window)))
+    return bool(hit) and 20 * len(hit) >= len(words)
