@@ -24,8 +24,8 @@ from talkweave.llm.rows import in_tasks, keyed, whole_groups
 from talkweave.llm.segments import Windows, hot_anchors, of_batch
 from talkweave.session import stage
 
-SEGMENT = "anchor bigint, content bigint, key_id bigint, key_hash bigint, place bigint, other bigint"
-COLUMNS = ["anchor", "content", "key_id", "key_hash", "place", "other"]
+FACTS = ["anchor", "content", "key_id", "key_hash", "other"]
+SEGMENT = ", ".join(f"{name} bigint" for name in FACTS)
 
 
 #: Neighbouring repeats are put together up to about so many windows.
@@ -73,20 +73,26 @@ def _numbers(table: pa.Table | pa.RecordBatch, name: str) -> np.ndarray:
     return column.fill_null(0).to_numpy(zero_copy_only=False) if isinstance(column, pa.Array) else column.fill_null(0).to_numpy()
 
 
-def _offered(columns: list[np.ndarray], done: bool) -> pa.RecordBatch:
-    flags = np.full(len(columns[0]), done)
-    return pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(flags)], [*COLUMNS, "done"])
+def _offered(columns: list[np.ndarray], edge: np.ndarray, place: np.ndarray, done: bool) -> pa.RecordBatch:
+    """Rows with ``places``: of row ``i``, ``place[edge[i] : edge[i + 1]]``."""
+    lists = pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), pa.array(place))
+    flags = np.full(len(lists), done)
+    return pa.RecordBatch.from_arrays([*map(pa.array, columns), lists, pa.array(flags)], [*FACTS, "places", "done"])
 
 
 def _offer(windows: Windows, hot: np.ndarray, ordered: bool):
-    """Segments of each batch, with copies within the batch decided (``done``)."""
+    """Segments of each batch, with copies within the batch decided (``done``).
+
+    What is not decided goes on as one row for each content and document, with all
+    its places, however often a document repeats itself.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = of_batch(batch.column("text"), windows, hot)
             ids, hashes = _numbers(batch, "key_id")[found.text], _numbers(batch, "key_hash")[found.text]
-            order = np.lexsort((ids, found.content, found.anchor))
-            anchor, content, ids = found.anchor[order], found.content[order], ids[order]
+            order = np.lexsort((hashes, ids, found.content, found.anchor))
+            anchor, content, ids, hashes = found.anchor[order], found.content[order], ids[order], hashes[order]
             fresh = starts(anchor, content)
             group = np.cumsum(fresh) - 1
             if ordered:
@@ -95,9 +101,11 @@ def _offer(windows: Windows, hot: np.ndarray, ordered: bool):
             else:
                 other = (np.bincount(group, minlength=1)[group] > 1).astype(np.int64)
                 done = ~fresh
-            place = pack(found.start, found.size, found.at)[order]
-            columns = [anchor.view(np.int64), content.view(np.int64), ids, hashes[order], place, other]
-            yield _offered([column[~done] for column in columns], False)
+            left = [c[~done] for c in (anchor.view(np.int64), content.view(np.int64), ids, hashes, other)]
+            row = starts(*left[:4])
+            place = pack(found.start, found.size, found.at)[order[~done]]
+            edge = np.append(np.flatnonzero(row), len(row))
+            yield _offered([column[row] for column in left], edge, place, False)
             # Decided copies go on as runs, in order of text and start again.
             copies = np.sort(order[done])
             back = np.empty(len(order), np.int64)
@@ -105,10 +113,10 @@ def _offer(windows: Windows, hot: np.ndarray, ordered: bool):
             text, start = found.text[copies], found.start[copies]
             head, size = joined_runs(text, start, found.size[copies], back[copies])
             first = copies[head]
-            row = found.text[first]
+            owner = found.text[first]
             nothing = np.zeros(len(head), np.int64)
-            runs = [nothing, nothing, _numbers(batch, "key_id")[row], _numbers(batch, "key_hash")[row]]
-            yield _offered([*runs, pack(found.start[first], size), back[first]], True)
+            runs = [nothing, nothing, _numbers(batch, "key_id")[owner], _numbers(batch, "key_hash")[owner], back[first]]
+            yield _offered(runs, np.arange(len(head) + 1), pack(found.start[first], size), True)
 
     return run
 
@@ -118,31 +126,36 @@ def _decide(ordered: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, "anchor"):
-            rows = {name: _numbers(table, name) for name in COLUMNS}
+            rows = {name: _numbers(table, name) for name in FACTS}
+            lists = table.column("places").combine_chunks()
+            owner_row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+            place = lists.flatten().to_numpy()
             done = table.column("done").to_numpy()
-            settled = [{name: column[done] for name, column in rows.items()}]
-            rows = {name: column[~done] for name, column in rows.items()}
-            anchor, content, ids = rows["anchor"], rows["content"], rows["key_id"]
+            open_ = np.flatnonzero(~done)
+            anchor, content, ids = (rows[name][open_] for name in ("anchor", "content", "key_id"))
             fresh = starts(anchor, content)
             new_anchor = starts(anchor)
             group, owner = np.cumsum(fresh) - 1, np.cumsum(new_anchor) - 1
             mixed = (np.bincount(owner, weights=fresh, minlength=1) > 1)[owner]
             if ordered:
-                rows["other"] = ids[fresh][group]
-                repeat = ids > rows["other"]
-                asked = mixed & ~repeat
+                other = ids[fresh][group]
+                again = ids > other
+                wanted = mixed & ~again
             else:
-                count = np.bincount(group, weights=1 + rows["other"], minlength=1)[group]
-                repeat = count > 1
-                rows["other"] = repeat.astype(np.int64)
-                asked = mixed & fresh
-            settled.append({name: column[repeat] for name, column in rows.items()})
-            for part, flag in ((settled[0], False), (settled[1], False), ({n: c[asked] for n, c in rows.items()}, True)):
-                columns = [pa.array(part[name]) for name in COLUMNS]
+                again = np.bincount(group, weights=1 + rows["other"][open_], minlength=1)[group] > 1
+                other = again.astype(np.int64)
+                wanted = mixed & fresh
+            rows["other"] = rows["other"].copy()
+            rows["other"][open_] = other
+            repeat, asked = done.copy(), np.zeros(len(done), bool)
+            repeat[open_], asked[open_] = again, wanted
+            for flag, chosen in ((False, repeat), (True, asked)):
+                some = chosen[owner_row]
+                columns = [pa.array(rows[name][owner_row[some]]) for name in FACTS]
                 if not flag:
                     columns[:2] = [pa.nulls(len(columns[0]), pa.int64())] * 2
                 flags = pa.array(np.full(len(columns[0]), flag))
-                yield pa.RecordBatch.from_arrays([*columns, flags], [*COLUMNS, "asked"])
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(place[some]), flags], [*FACTS, "place", "asked"])
 
     return run
 
@@ -155,11 +168,11 @@ def decide(docs: DataFrame, windows: Windows, ordered: bool) -> DataFrame:
     Of segments to compare, ``other`` is the document, or 1 for a known repeat.
     """
     hot = hot_anchors(docs, windows)
-    offered = in_tasks(keyed(docs), _offer(windows, hot, ordered), f"{SEGMENT}, done boolean")
+    offered = in_tasks(keyed(docs), _offer(windows, hot, ordered), f"{SEGMENT}, places array<bigint>, done boolean")
     count = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    target = F.when(F.col("done"), F.xxhash64("key_id", "key_hash", "place")).otherwise(F.col("anchor"))
+    target = F.when(F.col("done"), F.xxhash64("key_id", "key_hash", "places")).otherwise(F.col("anchor"))
     placed = offered.repartition(count, target).sortWithinPartitions("done", "anchor", "content", "key_id")
-    return stage(in_tasks(placed, _decide(ordered), f"{SEGMENT}, asked boolean"))
+    return stage(in_tasks(placed, _decide(ordered), f"{SEGMENT}, place bigint, asked boolean"))
 
 
 def contexts(docs: DataFrame, asked: DataFrame, windows: Windows, take: Callable) -> DataFrame:
