@@ -127,3 +127,42 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        (f1 AND b1) OR (f2 AND b2) OR (f3 AND b3) AS host_failed
 FROM tested JOIN verdict USING (host)
 """
+
+ORACLE["op1_substring_dedup"] = r"""
+WITH doc AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+  SELECT doc_id, i, md5(array_to_string(w[i : i + 49], ' ')) AS p
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM doc WHERE len(w) >= 50)
+), again AS (SELECT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY p) AS least FROM win) WHERE least < doc_id),
+gone AS (SELECT DISTINCT doc_id, k FROM (SELECT doc_id, unnest(range(i, i + 50)) AS k FROM again)),
+word AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS k FROM doc),
+kept AS (
+  SELECT doc_id, string_agg(x, ' ' ORDER BY k) AS kept, count(*) AS n FROM word ANTI JOIN gone USING (doc_id, k) GROUP BY doc_id
+)
+SELECT doc_id, cast(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM doc LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLE["op2_suffix_array_dedup"] = r"""
+WITH doc AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+win AS (
+  SELECT doc_id, i, md5(substr(h, 2 * i + 1, 400)) AS p
+  FROM (SELECT doc_id, h, unnest(range(0, n - 199)) AS i FROM doc WHERE n >= 200)
+), again AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY p) AS c FROM win) WHERE c > 1),
+island AS (
+  SELECT doc_id, min(i) AS a, max(i) + 200 AS b
+  FROM (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS g
+        FROM (SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 200 THEN 0 ELSE 1 END AS fresh
+              FROM again))
+  GROUP BY doc_id, g
+), cut AS (
+  SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS low, a AS high FROM island
+  UNION ALL SELECT doc_id, max(b), NULL FROM island GROUP BY doc_id
+), kept AS (
+  SELECT doc_id, string_agg(substr(h, 2 * low + 1, 2 * (coalesce(high, n) - low)), '' ORDER BY low) AS kept
+  FROM cut JOIN doc USING (doc_id) GROUP BY doc_id
+), found AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM island GROUP BY doc_id)
+SELECT doc_id, cast(n AS BIGINT) AS n_bytes, cast(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM doc LEFT JOIN found USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
