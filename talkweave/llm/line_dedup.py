@@ -190,7 +190,8 @@ def without_lines(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
 
     All other columns, and the texts that lose nothing, stay as they are.
     """
-    rows = _with_kept(with_row(docs).join(_gone(docs, batches), ["key_id", "key_hash"], "left"))
+    joined = with_row(docs).join(_gone(docs, batches), ["key_id", "key_hash"], "left")
+    rows = _with_kept(joined.withColumn("text", F.coalesce(F.col("row.text"), F.lit(""))))
     new = {"text": F.col("__kept")}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.length("__kept").cast(docs.schema["n_chars"].dataType)

@@ -108,15 +108,10 @@ def keep_rows(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
 
 
 def with_row(docs: DataFrame) -> DataFrame:
-    """``key_id``, ``key_hash``, ``text``, and ``row`` with all columns of ``docs``, whatever their names."""
-    return docs.select(
-        row_id().alias("key_id"),
-        text_hash().alias("key_hash"),
-        F.coalesce(F.col("text"), F.lit("")).alias("text"),
-        F.struct("*").alias("row"),
-    )
+    """``key_id``, ``key_hash``, and ``row`` with all columns of ``docs``, whatever their names."""
+    return docs.select(row_id().alias("key_id"), text_hash().alias("key_hash"), F.struct("*").alias("row"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """Of rows with equal ``doc_id`` and text, one."""
-    return with_row(docs).drop("text").dropDuplicates(["key_id", "key_hash"]).select("row.*")
+    return with_row(docs).dropDuplicates(["key_id", "key_hash"]).select("row.*")
