@@ -26,11 +26,14 @@ from pyspark.sql import functions as F
 
 from talkweave.llm import words as W
 from talkweave.llm.rows import in_tasks, keyed
+from talkweave.session import stage
 
-#: An anchor is hot if it holds more than this share of all segments, so there are at most 1 / share.
-HOT_SHARE = 1e-5
+#: An anchor is hot if it holds more than this share of all segments.
+HOT_SHARE = 1e-4
 LEAST_HOT = 64
 
+NONE = np.zeros(0, np.uint64)
+
 
 @dataclass(frozen=True)
 class Windows:
@@ -125,37 +128,60 @@ def of_batch(texts: pa.Array, windows: Windows, hot: np.ndarray) -> Segments:
     return Segments(*(np.concatenate(column) for column in zip(*parts)))
 
 
-def _frequent(windows: Windows):
+def _near_hot(prefix: np.ndarray, first: np.ndarray, windows: Windows, hot: np.ndarray) -> np.ndarray:
+    """All runs of tokens in the windows of a chunk whose anchor is hot."""
+    part = cut(prefix, first, windows, NONE)
+    chosen = np.flatnonzero(_is_hot(part.anchor, hot))
+    grams = W.sliding_hashes(prefix, windows.gram, windows.base)
+    begin = first[part.text[chosen]] + part.start[chosen]
+    return grams[W.covered(begin, part.size[chosen] + windows.width - windows.gram, len(grams))]
+
+
+def _frequent(windows: Windows, hot: np.ndarray):
+    """Frequent anchors of each batch, or with ``hot`` the frequent runs of tokens around hot anchors."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            anchors = np.sort(of_batch(batch.column("text"), windows, np.zeros(0, np.uint64)).anchor)
-            edge = np.flatnonzero(np.concatenate([[True], anchors[1:] != anchors[:-1], [True]])) if len(anchors) else [0]
+            chunks = W.chunks(batch.column("text"))
+            if len(hot):
+                keys = [_near_hot(*windows.read(chunk), windows, hot) for chunk in chunks]
+            else:
+                keys = [cut(*windows.read(chunk), windows, NONE).anchor for chunk in chunks]
+            ordered = np.sort(np.concatenate([NONE, *keys]))
+            edge = np.append(np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])[: len(ordered)]), len(ordered))
             count = np.diff(edge)
-            often = np.flatnonzero(count > max(1, HOT_SHARE * len(anchors)))
+            often = np.flatnonzero(count > (1 if len(hot) else max(1, HOT_SHARE * len(ordered))))
+            anchors = ordered[edge[:-1][often]].view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([None, *anchors[edge[:-1]][often].view(np.int64).tolist()] if len(anchors) else [None], pa.int64()),
-                    pa.array([len(anchors), *count[often].tolist()], pa.int64()),
-                ],
+                [pa.array([None, *anchors.tolist()], pa.int64()), pa.array([len(ordered), *count[often].tolist()], pa.int64())],
                 ["anchor", "n"],
             )
 
     return run
 
 
-def hot_anchors(docs: DataFrame, windows: Windows) -> np.ndarray:
-    """The hashes of frequent anchors, at most ``1 / HOT_SHARE`` of them, sorted.
+def _counts(docs: DataFrame, windows: Windows, hot: np.ndarray) -> DataFrame:
+    rows = in_tasks(keyed(docs), _frequent(windows, hot), "anchor bigint, n bigint")
+    return stage(rows.groupBy("anchor").agg(F.sum("n").alias("n")))
 
-    An anchor with more than that share of all segments has more than that share
-    of some batch, so batches only report their own frequent ones. The list
-    steers the work and does not change what is found.
-    """
-    counts = in_tasks(keyed(docs), _frequent(windows), "anchor bigint, n bigint").groupBy("anchor").agg(F.sum("n").alias("n"))
-    counts = counts.persist()
-    try:
-        total = counts.filter("anchor IS NULL").first()
-        bound = max(LEAST_HOT, HOT_SHARE * (total["n"] if total else 0))
-        rows = counts.filter((F.col("n") > bound) & F.col("anchor").isNotNull()).collect()
-    finally:
-        counts.unpersist()
+
+def _above(counts: DataFrame, bound: float) -> np.ndarray:
+    rows = counts.filter((F.col("n") > bound) & F.col("anchor").isNotNull()).select("anchor").collect()
     return np.sort(np.array([row["anchor"] for row in rows], np.int64).view(np.uint64))
+
+
+def hot_anchors(docs: DataFrame, windows: Windows) -> np.ndarray:
+    """The hashes of frequent runs of tokens, sorted.
+
+    First come frequent anchors: one with more than ``HOT_SHARE`` of all segments has
+    more than that share of some batch, so batches only report their own frequent
+    ones. Then come the other frequent runs in the windows around these, which
+    would be the next anchors. Each holds more than the bound, so there are at most
+    ``1 / HOT_SHARE`` times the windows of a segment. The list steers the work and
+    does not change what is found.
+    """
+    counts = _counts(docs, windows, NONE)
+    total = counts.filter("anchor IS NULL").first()
+    bound = max(LEAST_HOT, HOT_SHARE * (total["n"] if total else 0))
+    hot = _above(counts, bound)
+    return np.union1d(hot, _above(_counts(docs, windows, hot), bound)) if len(hot) else hot
