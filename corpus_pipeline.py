@@ -15,7 +15,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkweave.llm import decontaminate, line_dedup, packing, quality, simhash
+from talkweave.llm import decontaminate, line_dedup, packing, quality, resemblance
 from talkweave.llm.rows import keep_rows, one_of_each
 from talkweave.session import stage
 from talkweave.sources.tables import read_table
@@ -36,8 +36,8 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of least ``doc_id`` of each group of near-duplicates, once."""
-    groups = simhash.near_duplicates(docs)
-    least = groups.filter("key_id = component_id").groupBy("root", "key_id").agg(F.min("key_hash").alias("key_hash"))
+    groups = resemblance.near_groups(docs)
+    least = groups.groupBy("root").agg(F.min(F.struct("key_id", "key_hash")).alias("one")).select("one.*")
     return one_of_each(keep_rows(docs, least))
 
 

@@ -1,0 +1,215 @@
+"""Near-duplicates by the Jaccard similarity of their sets of five-word shingles.
+
+Two documents are linked when at least ``LEAST`` of the shingles that either has
+are in both; with the links of ``simhash`` they make the groups of the pipeline.
+
+Candidates share one of ``BANDS`` buckets, each the least values of the set in
+``ROWS`` random orders: a pair of similarity 0.8 shares none with probability
+(1 - 0.8^4)^32, less than 10^-7. Every candidate is confirmed on the whole sets.
+For that, the documents that reach each other by shared buckets meet in one unit
+of work, their sets sent once. Where these are too many for a unit, each bucket
+is a unit, and a bucket that is too large itself is cut into parts of which every
+two meet. Within a unit, documents of one group are not compared again, and a
+group returns a spanning star.
+
+Defined cases are those of ``simhash``; an empty set has no links by similarity.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from talkweave.llm import simhash
+from talkweave.llm import words as W
+from talkweave.llm.components import connected
+from talkweave.llm.rows import in_tasks, keyed, whole_groups
+from talkweave.session import stage
+
+SHINGLE = 5
+#: The least similarity, as a fraction of whole numbers.
+LEAST = (4, 5)
+BANDS = 32
+ROWS = 4
+#: Shingles in a unit of work; a document counts as ``DOCUMENT`` more.
+UNIT = 1 << 20
+DOCUMENT = 256
+
+U = np.uint64
+_RANDOM = np.random.default_rng(11)
+SALTS = _RANDOM.integers(0, 1 << 64, BANDS * ROWS, dtype=np.uint64)
+FACTORS = _RANDOM.integers(0, 1 << 64, BANDS * ROWS, dtype=np.uint64) | U(1)
+
+
+def shingle_sets(chunk: W.Chunk) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct shingle hashes of each text of a chunk, in order, and where each text's begin."""
+    hashes, first = simhash.shingle_hashes(chunk, SHINGLE)
+    count = len(first) - 1
+    text = np.repeat(np.arange(count), np.diff(first))
+    hashes = hashes[np.lexsort((hashes, text))]
+    fresh = np.ones(len(hashes), bool)
+    fresh[1:] = (hashes[1:] != hashes[:-1]) | (text[1:] != text[:-1])
+    sizes = np.bincount(text[fresh], minlength=count)
+    return hashes[fresh], np.concatenate([[0], np.cumsum(sizes)])
+
+
+def sketches(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit name for each set, and its buckets, one row for each set that is not empty."""
+    some = np.flatnonzero(np.diff(first))
+    names = np.zeros(len(first) - 1, U)
+    buckets = np.zeros((len(some), BANDS), U)
+    if not len(some):
+        return names, buckets
+    start = first[:-1][some]
+    names[some] = W.mix(np.add.reduceat(W.mix(hashes), start) + np.diff(first)[some].astype(U))
+    for number, (salt, factor) in enumerate(zip(SALTS, FACTORS)):
+        band = number // ROWS
+        least = np.minimum.reduceat((hashes ^ salt) * factor, start)
+        buckets[:, band] = W.mix(buckets[:, band] + least + U(number))
+    return names, buckets
+
+
+def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for chunk in W.chunks(batch.column("text")):
+            hashes, first = shingle_sets(chunk)
+            names, buckets = sketches(hashes, first)
+            sizes = np.diff(first)
+            places = np.concatenate([[0], np.cumsum(np.where(sizes > 0, BANDS, 0))]).astype(np.int32)
+            rows = batch.slice(chunk.low, chunk.high - chunk.low)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    rows.column("key_id"),
+                    rows.column("key_hash"),
+                    pa.array(names.view(np.int64)),
+                    pa.array(sizes.astype(np.int64)),
+                    pa.ListArray.from_arrays(pa.array(places), pa.array(buckets.reshape(-1).view(np.int64))),
+                ],
+                ["key_id", "key_hash", "node", "size", "buckets"],
+            )
+
+
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for chunk in W.chunks(batch.column("text")):
+            hashes, first = shingle_sets(chunk)
+            rows = batch.slice(chunk.low, chunk.high - chunk.low)
+            data = [hashes[low:high].tobytes() for low, high in zip(first[:-1], first[1:])]
+            yield pa.RecordBatch.from_arrays(
+                [rows.column("node"), rows.column("units"), pa.array(data, pa.binary())], ["node", "units", "data"]
+            )
+
+
+def set_groups(sets: list[np.ndarray]) -> np.ndarray:
+    """For sets of distinct numbers, one place of each one's group; all that are linked are in one group."""
+    label = np.arange(len(sets))
+    if len(sets) < 2:
+        return label
+    part, whole = LEAST
+    order = np.argsort([len(s) for s in sets], kind="stable")
+    size = np.array([len(sets[i]) for i in order])
+    values, ids = np.unique(np.concatenate([sets[i] for i in order]), return_inverse=True)
+    first = np.concatenate([[0], np.cumsum(size)])
+    marked = np.zeros(len(values), bool)
+    for i in range(len(order) - 1):
+        # A set more than ``whole / part`` times as large cannot be as similar.
+        high = int(np.searchsorted(part * size, whole * size[i], "right"))
+        others = np.arange(i + 1, high)
+        others = others[label[others] != label[i]]
+        if not len(others) or not size[i]:
+            continue
+        own = ids[first[i] : first[i + 1]]
+        marked[own] = True
+        place = np.cumsum(size[others]) - size[others]
+        common = np.add.reduceat(marked[ids[W.spread_ranges(first[others], size[others])]], place, dtype=np.int64)
+        marked[own] = False
+        near = others[(part + whole) * common >= part * (size[i] + size[others])]
+        if len(near):
+            label[np.isin(label, label[near])] = label[i]
+    out = np.empty(len(order), np.int64)
+    out[order] = order[label]
+    return out
+
+
+def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for table in whole_groups(batches, "unit", 1):
+        units, nodes = table.column("unit").to_numpy(), table.column("node").to_numpy()
+        data = table.column("data")
+        edges = np.concatenate([[0], np.flatnonzero(units[1:] != units[:-1]) + 1, [len(units)]])
+        a, b = [], []
+        for low, high in zip(edges[:-1], edges[1:]):
+            label = set_groups([np.frombuffer(data[i].as_buffer(), U) for i in range(low, high)])
+            linked = np.flatnonzero(label != np.arange(high - low))
+            a.append(nodes[low + linked])
+            b.append(nodes[low + label[linked]])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+
+
+def _units(nodes: DataFrame, most: int) -> DataFrame:
+    """``key_id``, ``key_hash``, ``node`` and the units of work of each document that shares a bucket."""
+    weight = (F.col("size") + DOCUMENT).alias("weight")
+    rows = stage(nodes.select("node", weight, F.explode("buckets").alias("bucket")))
+    shared = rows.groupBy("bucket").agg(
+        F.count("*").alias("members"),
+        F.min("node").alias("least"),
+        F.max("node").alias("most"),
+        F.bit_xor(F.xxhash64("node")).alias("all"),
+        F.sum("weight").alias("total"),
+    )
+    # Buckets of the same documents are one.
+    shared = shared.filter("members > 1").groupBy("members", "least", "most", "all", "total")
+    shared = stage(shared.agg(F.min("bucket").alias("bucket")).select("bucket", "least", "total"))
+    rows = stage(rows.join(shared, "bucket"))
+    roots = connected(rows.select(F.col("node").alias("a"), F.col("least").alias("b")))
+    reach = rows.select("node", "weight").distinct().join(roots.withColumnRenamed("a", "node"), "node", "left")
+    reach = stage(reach.select("node", "weight", F.coalesce("b", "node").alias("root")))
+    sums = stage(reach.groupBy("root").agg(F.sum("weight").alias("reached")))
+    reach = stage(reach.join(sums, "root").select("node", "root", "reached"))
+    parts = F.ceil(F.col("total") * 2 / F.lit(most))
+    own = F.pmod(F.xxhash64("node"), parts)
+    tiles = F.transform(
+        F.sequence(F.lit(0).cast("bigint"), parts - 1),
+        lambda other: F.xxhash64(F.lit("tile"), "bucket", F.least(own, other), F.greatest(own, other)),
+    )
+    by_bucket = F.when(F.col("total") <= most, F.array(F.xxhash64(F.lit("bucket"), "bucket"))).otherwise(tiles)
+    large = rows.join(reach.filter(F.col("reached") > most).select("node"), "node")
+    units = large.select("node", F.explode(by_bucket).alias("unit")).unionByName(
+        reach.filter(F.col("reached") <= most).select("node", F.xxhash64(F.lit("root"), "root").alias("unit"))
+    )
+    units = units.groupBy("node").agg(F.collect_set("unit").alias("units"))
+    return stage(nodes.select("node", "key_id", "key_hash").join(units, "node"))
+
+
+def links(docs: DataFrame, sketched: DataFrame, unit: int = UNIT) -> DataFrame:
+    """Links ``a``, ``b`` that join the sets of all similar documents, directly or by others."""
+    one = F.min(F.struct("key_id", "key_hash", "size", "buckets")).alias("one")
+    nodes = stage(sketched.filter("size > 0").groupBy("node").agg(one).select("node", "one.*"))
+    units = _units(nodes, unit)
+    texts = keyed(docs).join(units, ["key_id", "key_hash"]).select("node", "units", "text")
+    sets = in_tasks(texts, _sets, "node bigint, units array<bigint>, data binary")
+    sets = sets.select(F.explode("units").alias("unit"), "node", "data")
+    count = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = sets.repartition(count, "unit").sortWithinPartitions("unit", "node")
+    return in_tasks(placed, _links, "a bigint, b bigint")
+
+
+def near_groups(docs: DataFrame, unit: int = UNIT) -> DataFrame:
+    """``key_id`` and ``key_hash`` of each document, and ``root``, which names its group.
+
+    A group is what similarity and the fingerprints of ``simhash`` link.
+    """
+    schema = "key_id bigint, key_hash bigint, node bigint, size bigint, buckets array<bigint>"
+    sketched = stage(in_tasks(keyed(docs), _sketch, schema))
+    similar = connected(links(docs, sketched, unit))
+    prints = simhash.near_duplicates(docs).select("key_id", "key_hash", F.col("root").alias("print")).distinct()
+    rows = sketched.select("key_id", "key_hash", "node").distinct().join(prints, ["key_id", "key_hash"])
+    rows = rows.join(similar.withColumnRenamed("a", "node"), "node", "left")
+    rows = stage(rows.select("key_id", "key_hash", "print", F.coalesce("b", "node").alias("set")))
+    least = rows.groupBy("set").agg(F.min("print").alias("least"))
+    across = rows.join(least, "set").select(F.col("print").alias("a"), F.col("least").alias("b"))
+    roots = connected(across).withColumnRenamed("a", "print")
+    return rows.join(roots, "print", "left").select("key_id", "key_hash", F.coalesce("b", "print").alias("root"))

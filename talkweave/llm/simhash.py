@@ -134,8 +134,8 @@ def majority(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprints(chunk: W.Chunk, shingle: int = SHINGLE) -> np.ndarray:
-    """The fingerprint of each text of a chunk."""
+def shingle_hashes(chunk: W.Chunk, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of each shingle of a chunk's texts, and where each text's begin."""
     data = W.LOWER_ARRAY[chunk.data]
     words = W.split(data, chunk.offsets)
     line, place, _ = W.joined(data, words)
@@ -145,7 +145,12 @@ def fingerprints(chunk: W.Chunk, shingle: int = SHINGLE) -> np.ndarray:
     tail = head + np.repeat(np.minimum(n_words, shingle), n_shingles) - 1
     length = place[tail] + (words.end - words.start)[tail] - place[head] if len(head) else head
     hashes = xxh64(line, place[head] if len(head) else head, length)
-    return majority(hashes, np.concatenate([[0], np.cumsum(n_shingles)]))
+    return hashes, np.concatenate([[0], np.cumsum(n_shingles)])
+
+
+def fingerprints(chunk: W.Chunk, shingle: int = SHINGLE) -> np.ndarray:
+    """The fingerprint of each text of a chunk."""
+    return majority(*shingle_hashes(chunk, shingle))
 
 
 def _fingerprint(shingle: int):
