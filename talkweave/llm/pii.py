@@ -3,7 +3,7 @@
 The four base kinds (email, ip, card, phone) are found leftmost and without
 overlap within a kind, and checked: parts of an address, digits of a number, the
 Luhn sum of a card. Further kinds are proposed by wider patterns: account numbers
-confirmed by their remainder modulo 97, and secrets such as access keys, which
+confirmed by their remainder modulo 97 at each word end where they may stop, and secrets such as access keys, which
 need a word like ``password`` in front. Words near a span raise or lower
 its score; base spans stay whatever their score, the others need ``LEAST_SCORE``.
 
@@ -32,7 +32,16 @@ DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9](?<![0-9][0-9])[0-9]*+(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-ACCOUNT = re.compile(r"[A-Z](?<![A-Za-z0-9].)[A-Z][0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+# The shortest number only; ``_accounts`` tries every longer one.
+ACCOUNT = re.compile(r"[A-Z](?<![A-Za-z0-9].)[A-Z][0-9]{2}(?:\x20?[A-Z0-9]){11}")
+ACCOUNT_MOST = 34
+#: How many characters the numbers of a country have; those of others may end at any word's end.
+ACCOUNT_LENGTH = {
+    "AT": 20, "BE": 16, "BG": 22, "CH": 21, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "EE": 20, "ES": 24, "FI": 18,
+    "FR": 27, "GB": 22, "GR": 27, "HR": 21, "HU": 28, "IE": 22, "IS": 26, "IT": 27, "LI": 21, "LT": 20, "LU": 20,
+    "LV": 21, "MC": 27, "MT": 31, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "RO": 24, "SE": 24, "SI": 19, "SK": 24,
+    "SM": 27, "TR": 26,
+}
 ACCESS_KEY = re.compile(r"A[KS]IA(?<![A-Za-z0-9]....)[A-Z0-9]{16}(?![A-Za-z0-9])")
 SECRET = re.compile(r"[=:]\x20?[\"']?([A-Za-z0-9_./+-]{12,200})")
 SECRET_NAMES = ("password", "passwd", "secret", "token", "api_key", "apikey")
@@ -112,9 +121,28 @@ def _phones(text: str) -> Iterator[tuple[int, int]]:
 
 
 def _accounts(text: str) -> Iterator[tuple[int, int]]:
-    for found in ACCOUNT.finditer(text):
-        if mod_97(found[0].replace(" ", "")):
-            yield found.span()
+    """Numbers that end at a word's end and are confirmed: of the country's length if that is known, else the longest."""
+    at = 0
+    while found := ACCOUNT.search(text, at):
+        start, end = found.span()
+        account = found[0].replace(" ", "")
+        length = ACCOUNT_LENGTH.get(account[:2])
+        confirmed = 0
+        while True:
+            following = text[end : end + 1]
+            whole = not (following.isascii() and following.isalnum())
+            if whole and length in (None, len(account)) and mod_97(account):
+                confirmed = end
+            step = end + (following == " ")
+            character = text[step : step + 1]
+            if len(account) == ACCOUNT_MOST or not (character.isascii() and (character.isdigit() or character.isupper())):
+                break
+            account += character
+            end = step + 1
+        if confirmed:
+            yield start, confirmed
+        # Another number may begin at a later word of one that is not confirmed.
+        at = confirmed or start + 1
 
 
 def _secrets(text: str) -> Iterator[tuple[int, int]]:

@@ -305,6 +305,28 @@ def test_confirmed_kinds_and_scores():
     assert pii.redact("to a@b.cd now", pii.find("to a@b.cd now")) == "to [email] now"
 
 
+@pytest.mark.parametrize(
+    "text, account",
+    [
+        ("IBAN GB82 WEST 1234 5698 7654 32 BIC DEUTDEFF", "GB82 WEST 1234 5698 7654 32"),
+        ("GB82WEST12345698765432 TODAY", "GB82WEST12345698765432"),
+        ("DE89 3704 0044 0532 0130 00 100 EUR", "DE89 3704 0044 0532 0130 00"),
+        ("REF AB12 CDEF 3456 DE89 3704 0044 0532 0130 00", "DE89 3704 0044 0532 0130 00"),
+        ("GB82WEST12345698765432 DE89370400440532013000", "GB82WEST12345698765432"),
+        ("GB82WEST12345698765432x", None),
+        ("GB83WEST12345698765432 TODAY", None),
+    ],
+)
+def test_accounts_before_other_capitals_and_digits(text, account):
+    found = [text[s.start : s.end] for s in pii.find(text) if s.kind == "account"]
+    assert found[:1] == ([account] if account else [])
+
+
+def test_adjacent_accounts_are_both_found():
+    text = "GB82WEST12345698765432 DE89370400440532013000"
+    assert [text[s.start : s.end] for s in pii.find(text) if s.kind == "account"] == text.split(" ")
+
+
 def test_packing(docs, texts):
     tokenizer = Tokenizer.from_file(TOKENIZER)
     got = packing.pack(docs, TOKENIZER).collect()
