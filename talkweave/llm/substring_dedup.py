@@ -1,16 +1,16 @@
-"""Substring dedup by relative Lempel-Ziv parsing.
+"""Substring dedup by window hashes looked up in earlier documents.
 
 Every document is factored against reference blocks made of the documents of
 smaller ``doc_id``. A block holds the windows of one anchor, with the first document
 and place of each, so a document only meets blocks that can hold a factor of a
 window or more, and meets every such block.
 
-A factor is the longest run of words copied from one place of the reference.
-Whole segments that are copies are factors at once. At the boundaries of these,
-where a segment shares its anchor with a block but not all its words, the words
-are parsed greedily: from each place not yet covered, the block's window there is
-looked up and followed as far as it agrees, and the next factor begins where it ends,
-checked with the windows that cross the boundary. Factors of ``WINDOW`` words or
+A factor is a run of words copied from one place of the reference. Whole segments
+that are copies are factors at once. At the boundaries of these, where a segment
+shares its anchor with a block but not all its words, every window is looked up by
+its hash, and neighbours whose references also move on by one are one factor. No
+factor is extended greedily; the words covered are the same, as a word is removed
+when any copied window covers it. Factors of ``WINDOW`` words or
 more are duplicate spans.
 
 Defined cases: a missing or empty text, or one of fewer words than a window, has
