@@ -29,22 +29,22 @@ SEGMENT = ", ".join(f"{name} bigint" for name in FACTS)
 
 
 #: Neighbouring repeats are put together up to about so many windows.
-LONGEST = 1 << 22
+LONGEST = 1 << 18
 
 
 def pack(start: np.ndarray, size: np.ndarray, at: np.ndarray | int = 0) -> np.ndarray:
-    """Start, number of windows (under 2**24) and place of the anchor (under 2**8) as one number."""
-    return (start.astype(np.int64) << 32) | (size.astype(np.int64) << 8) | at
+    """Start, number of windows (under 2**20) and place of the anchor (under ``WIDEST``) as one number."""
+    return (start.astype(np.int64) << 32) | (size.astype(np.int64) << 12) | at
 
 
 def unpack(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The inverse of ``pack``."""
-    return place >> 32, (place >> 8) & 0xFFFFFF, place & 0xFF
+    return place >> 32, (place >> 12) & 0xFFFFF, place & 0xFFF
 
 
 def span_columns(width: int) -> list[Column]:
     """``start`` and ``size`` of a packed place in tokens, as columns."""
-    size = F.shiftright("place", 8).bitwiseAND(F.lit(0xFFFFFF)) + (width - 1)
+    size = F.shiftright("place", 12).bitwiseAND(F.lit(0xFFFFF)) + (width - 1)
     return [F.shiftright("place", 32).alias("start"), size.alias("size")]
 
 

@@ -76,7 +76,7 @@ def measures(chunk: W.Chunk) -> list[np.ndarray]:
     words = W.split(data, offsets)
     n_words = np.diff(words.first)
     points = ~W.IS_SPACE[data] & ((data & 0xC0) != 0x80)
-    byte_sums = W.prefixes(W.BYTE_VALUE[data], W.BYTE_BASE)
+    line = data.tobytes()
     owner = np.repeat(np.arange(texts), n_words)
 
     newline = np.flatnonzero(data == 10)
@@ -86,12 +86,12 @@ def measures(chunk: W.Chunk) -> list[np.ndarray]:
     n_lines = np.diff(in_text) + 1
     line_owner = np.repeat(np.arange(texts), n_lines)
     worded = np.searchsorted(words.start, line_end) > np.searchsorted(words.start, line_start)
-    line_keys = W.range_hashes(byte_sums, line_start[worded], line_end[worded], W.BYTE_BASE)
+    line_keys = W.xxh64(line, line_start[worded], (line_end - line_start)[worded])
     _, one_of_each = np.unique(_same_text(line_keys, line_owner[worded]), return_index=True)
     distinct = np.bincount(line_owner[worded][one_of_each], minlength=texts)
     n_dup_lines = np.bincount(line_owner[worded], minlength=texts) - distinct
 
-    hashes = W.range_hashes(byte_sums, words.start, words.end, W.BYTE_BASE)
+    hashes = W.word_hashes(data, words)
     windows = W.sliding_hashes(W.prefixes(hashes, W.WORD_BASE), REPEAT_WINDOW, W.WORD_BASE)
     begins = np.flatnonzero(owner[: len(windows)] == owner[REPEAT_WINDOW - 1 :])
     twice = begins[_repeated(_same_text(windows[begins], owner[begins]))]

@@ -15,6 +15,7 @@ different windows of a large group of near copies then never share one.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from typing import NamedTuple
@@ -32,6 +33,9 @@ from talkweave.session import stage
 HOT_SHARE = 1e-4
 LEAST_HOT = 64
 
+#: The place of an anchor in its window is less than this.
+WIDEST = 1 << 12
+
 NONE = np.zeros(0, np.uint64)
 
 
@@ -48,16 +52,37 @@ class Windows:
         """The base of the token hashes."""
         return W.WORD_BASE if self.tokens == "words" else W.BYTE_BASE
 
-    def read(self, chunk: W.Chunk) -> tuple[np.ndarray, np.ndarray]:
-        """Prefix hashes over the tokens of a chunk, and the first token of each text."""
+    def __post_init__(self) -> None:
+        if not 0 <= self.gram <= self.width or self.width - self.gram >= WIDEST:
+            raise ValueError(f"a window of {self.width} tokens needs an anchor of {self.width - WIDEST + 1} to {self.width}")
+
+    def read(self, chunk: W.Chunk) -> Tokens:
+        """The tokens of a chunk."""
         if self.tokens == "words":
             words = W.split(chunk.data, chunk.offsets)
-            return W.prefixes(W.word_hashes(chunk.data, words), self.base), words.first
-        return W.prefixes(W.BYTE_VALUE[chunk.data], self.base), chunk.offsets
+            prefix = W.prefixes(W.word_hashes(chunk.data, words), self.base)
+            line, place, _ = W.joined(chunk.data, words)
+            return Tokens(prefix, words.first, line, place, place + words.end - words.start)
+        place = np.arange(len(chunk.data) + 1)
+        return Tokens(W.prefixes(W.BYTE_VALUE[chunk.data], self.base), chunk.offsets, chunk.data.tobytes(), place[:-1], place[1:])
+
+
+class Tokens(NamedTuple):
+    """Tokens of a chunk: prefix hashes, the first token of each text, and the bytes of each token."""
+
+    prefix: np.ndarray
+    first: np.ndarray
+    line: bytes
+    begin: np.ndarray
+    end: np.ndarray
 
 
 class Segments(NamedTuple):
-    """Segments of a chunk: text, first token in it, windows, place of the anchor, and hashes."""
+    """Segments of a chunk: text, first token in it, windows, place of the anchor, and hashes.
+
+    ``content`` and, where windows stand for themselves, ``anchor`` are parts of one
+    128-bit digest of the segment's bytes.
+    """
 
     text: np.ndarray
     start: np.ndarray
@@ -77,8 +102,15 @@ def _is_hot(grams: np.ndarray, hot: np.ndarray) -> np.ndarray:
     return flag
 
 
-def cut(prefix: np.ndarray, first: np.ndarray, windows: Windows, hot: np.ndarray) -> Segments:
-    """The segments of the texts of a chunk, in order."""
+def digests(line: bytes, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """BLAKE2b of byte ranges, as two numbers each."""
+    ranges = zip(begin.tolist(), end.tolist())
+    return np.frombuffer(b"".join([hashlib.blake2b(line[a:b], digest_size=16).digest() for a, b in ranges]), "<u8").reshape(-1, 2)
+
+
+def cut(tokens: Tokens, windows: Windows, hot: np.ndarray, contents: bool = True) -> Segments:
+    """The segments of the texts of a chunk, in order; without ``contents``, anchors only."""
+    prefix, first = tokens.prefix, tokens.first
     width, gram = windows.width, windows.gram
     count = len(prefix) - width
     if count <= 0:
@@ -96,11 +128,11 @@ def cut(prefix: np.ndarray, first: np.ndarray, windows: Windows, hot: np.ndarray
     least = np.minimum(least[:count], least[span - size : span - size + count])
     at = least.astype(np.uint32)
 
-    tokens = np.diff(first)
-    long_enough = np.flatnonzero(tokens >= width)
+    held = np.diff(first)
+    long_enough = np.flatnonzero(held >= width)
     steps = np.zeros(count + 1, np.int8)
     steps[first[long_enough]] += 1
-    steps[first[long_enough] + tokens[long_enough] - width + 1] -= 1
+    steps[first[long_enough] + held[long_enough] - width + 1] -= 1
     whole = np.cumsum(steps[:-1], dtype=np.int8).astype(bool)
     edge = np.ones(count + 1, bool)
     edge[1:-1] = at[1:] != at[:-1]
@@ -112,8 +144,11 @@ def cut(prefix: np.ndarray, first: np.ndarray, windows: Windows, hot: np.ndarray
     size = np.flatnonzero(edge[1:] & whole) + 1 - start
     place = at[start].astype(np.int64)
     text = np.searchsorted(first, start, "right") - 1
-    content = W.range_hashes(prefix, start, start + size - 1 + width, windows.base)
-    anchor = np.where(common[start], content, grams[place])
+    if contents:
+        digest = digests(tokens.line, tokens.begin[start], tokens.end[start + size + width - 2])
+        anchor, content = np.where(common[start], digest[:, 1], grams[place]), digest[:, 0]
+    else:
+        anchor, content = grams[place], np.zeros(len(start), np.uint64)
     return Segments(text, start - first[text], size, place - start, anchor, content)
 
 
@@ -121,16 +156,18 @@ def of_batch(texts: pa.Array, windows: Windows, hot: np.ndarray) -> Segments:
     """The segments of all texts of a batch; ``text`` is the row."""
     parts = []
     for chunk in W.chunks(texts):
-        part = cut(*windows.read(chunk), windows, hot)
+        part = cut(windows.read(chunk), windows, hot)
         parts.append(part._replace(text=part.text + chunk.low))
     if not parts:
-        return cut(np.zeros(1, np.uint64), np.zeros(1, np.int64), windows, hot)
+        none = np.zeros(1, np.int64)
+        return cut(Tokens(none.astype(np.uint64), none, b"", none[1:], none[1:]), windows, hot)
     return Segments(*(np.concatenate(column) for column in zip(*parts)))
 
 
-def _near_hot(prefix: np.ndarray, first: np.ndarray, windows: Windows, hot: np.ndarray) -> np.ndarray:
+def _near_hot(tokens: Tokens, windows: Windows, hot: np.ndarray) -> np.ndarray:
     """All runs of tokens in the windows of a chunk whose anchor is hot."""
-    part = cut(prefix, first, windows, NONE)
+    prefix, first = tokens.prefix, tokens.first
+    part = cut(tokens, windows, NONE, contents=False)
     chosen = np.flatnonzero(_is_hot(part.anchor, hot))
     grams = W.sliding_hashes(prefix, windows.gram, windows.base)
     begin = first[part.text[chosen]] + part.start[chosen]
@@ -144,9 +181,9 @@ def _frequent(windows: Windows, hot: np.ndarray):
         for batch in batches:
             chunks = W.chunks(batch.column("text"))
             if len(hot):
-                keys = [_near_hot(*windows.read(chunk), windows, hot) for chunk in chunks]
+                keys = [_near_hot(windows.read(chunk), windows, hot) for chunk in chunks]
             else:
-                keys = [cut(*windows.read(chunk), windows, NONE).anchor for chunk in chunks]
+                keys = [cut(windows.read(chunk), windows, NONE, contents=False).anchor for chunk in chunks]
             ordered = np.sort(np.concatenate([NONE, *keys]))
             edge = np.append(np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])[: len(ordered)]), len(ordered))
             count = np.diff(edge)

@@ -29,7 +29,6 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,72 +47,11 @@ HOT_BUCKET = 4 * BUCKET
 PAIR_WORDS = 1 << 17
 
 U = np.uint64
-# The constants of the public XXH64 hash: fixed values.
-P1, P2, P3 = U(11400714785074694791), U(14029467366897019727), U(1609587929392839161)
-P4, P5 = U(9650029242287828579), U(2870177450012600261)
 
 #: For each byte, its bits as eight byte-wide counters.
 BIT_LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64)[:, 0]
 
 
-def _turn(x: np.ndarray, bits: int) -> np.ndarray:
-    return (x << U(bits)) | (x >> U(64 - bits))
-
-
-def _round(h: np.ndarray, lane: np.ndarray) -> np.ndarray:
-    return _turn(h + lane * P2, 31) * P1
-
-
-def _xxh64_equal(lanes: np.ndarray, start: np.ndarray, length: int, seed: int) -> np.ndarray:
-    """XXH64 of byte ranges of one length; ``lanes[i]`` is the 64-bit word at byte ``i``."""
-    at, left = start, length
-    if length >= 32:
-        h = [np.full(len(start), (seed + int(c)) & W.MASK, U) for c in (int(P1) + int(P2), int(P2), 0, -int(P1))]
-        while left >= 32:
-            h = [_round(h[i], lanes[at + 8 * i]) for i in range(4)]
-            at, left = at + 32, left - 32
-        out = _turn(h[0], 1) + _turn(h[1], 7) + _turn(h[2], 12) + _turn(h[3], 18)
-        for part in h:
-            out = (out ^ _round(np.zeros_like(part), part)) * P1 + P4
-    else:
-        out = np.full(len(start), (seed + int(P5)) & W.MASK, U)
-    out = out + U(length)
-    while left >= 8:
-        out = _turn(out ^ _round(np.zeros_like(out), lanes[at]), 27) * P1 + P4
-        at, left = at + 8, left - 8
-    if left >= 4:
-        out = _turn(out ^ ((lanes[at] & U(0xFFFFFFFF)) * P1), 23) * P2 + P3
-        at, left = at + 4, left - 4
-    while left:
-        out = _turn(out ^ ((lanes[at] & U(255)) * P5), 11) * P1
-        at, left = at + 1, left - 1
-    out ^= out >> U(33)
-    out *= P2
-    out ^= out >> U(29)
-    out *= P3
-    return out ^ (out >> U(32))
-
-
-def xxh64(data: bytes, start: np.ndarray, length: np.ndarray, seed: int = SEED) -> np.ndarray:
-    """XXH64 of many byte ranges of ``data``: ranges of one length are hashed together."""
-    out = np.zeros(len(start), U)
-    if not len(start):
-        return out
-    padded = np.frombuffer(data + bytes(8), np.uint8)
-    lanes = np.ascontiguousarray(np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,)))
-    order = np.argsort(length, kind="stable")
-    ordered = length[order]
-    edges = np.concatenate([[0], np.flatnonzero(ordered[1:] != ordered[:-1]) + 1, [len(order)]])
-    for low, high in zip(edges[:-1], edges[1:]):
-        group, size = order[low:high], int(ordered[low])
-        if high - low < 32:
-            for i in group:
-                out[i] = xxhash.xxh64_intdigest(data[start[i] : start[i] + size], seed=seed)
-        else:
-            out[group] = _xxh64_equal(lanes, start[group], size, seed)
-    return out
-
-
 def majority(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Per text, the bits set in over half of its hashes; ``first`` says where each text's begin."""
     count = np.diff(first)
@@ -144,7 +82,7 @@ def shingle_hashes(chunk: W.Chunk, shingle: int) -> tuple[np.ndarray, np.ndarray
     head = W.spread_ranges(words.first[:-1], n_shingles)
     tail = head + np.repeat(np.minimum(n_words, shingle), n_shingles) - 1
     length = place[tail] + (words.end - words.start)[tail] - place[head] if len(head) else head
-    hashes = xxh64(line, place[head] if len(head) else head, length)
+    hashes = W.xxh64(line, place[head] if len(head) else head, length, SEED)
     return hashes, np.concatenate([[0], np.cumsum(n_shingles)])
 
 

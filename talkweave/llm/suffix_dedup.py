@@ -10,12 +10,13 @@ the order whose first ``WINDOW`` bytes agree are repeats. Agreement by hash is
 verified on the bytes.
 
 Windows of segments that are equal as a whole are repeats without a sort: equal
-in anchor, length and 64 bits of hash each of anchor and content.
+in 128 bits of BLAKE2b, or in 64 bits of it and in the hash of the anchor.
 
 Defined cases: a missing text is empty; a text shorter than a window has no
 repeats; strings are bytes of UTF-8, so what is kept may not be valid UTF-8 and is
 returned as bytes; repeated rows repeat each other; no rows give no rows; further
-columns are ignored.
+columns are ignored; a very long text is read as one chunk, with some ten numbers
+for each of its bytes.
 """
 
 from __future__ import annotations

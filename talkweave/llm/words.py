@@ -11,6 +11,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 CHUNK_BYTES = 2 << 20
 
@@ -24,6 +25,10 @@ LOWER_ARRAY = np.frombuffer(LOWER, np.uint8)
 BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASE = 0xD6E8FEB86659FD93
 MASK = (1 << 64) - 1
+U = np.uint64
+# The constants of the public XXH64 hash: fixed values.
+P1, P2, P3 = U(11400714785074694791), U(14029467366897019727), U(1609587929392839161)
+P4, P5 = U(9650029242287828579), U(2870177450012600261)
 #: A random 64-bit value for each byte.
 BYTE_VALUE = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64)
 
@@ -118,12 +123,6 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def range_hashes(prefix: np.ndarray, start: np.ndarray, end: np.ndarray, base: int) -> np.ndarray:
-    """The hash of each range of values, the same wherever the range lies."""
-    raw = (prefix[end] - prefix[start]) * powers(base, len(prefix) + 1)[1][start]
-    return mix(raw + (end - start).astype(np.uint64) * np.uint64(0x632BE59BD9B4E019))
-
-
 def sliding_hashes(prefix: np.ndarray, width: int, base: int) -> np.ndarray:
     """The hash of every range of ``width`` values."""
     count = len(prefix) - width
@@ -132,9 +131,88 @@ def sliding_hashes(prefix: np.ndarray, width: int, base: int) -> np.ndarray:
     return mix((prefix[width:] - prefix[:-width]) * powers(base, len(prefix) + 1)[1][:count])
 
 
+def _turn(x: np.ndarray, bits: int) -> np.ndarray:
+    return (x << U(bits)) | (x >> U(64 - bits))
+
+
+def _round(h: np.ndarray, lane: np.ndarray) -> np.ndarray:
+    return _turn(h + lane * P2, 31) * P1
+
+
+def _xxh64_equal(lanes: np.ndarray, start: np.ndarray, length: int, seed: int) -> np.ndarray:
+    """XXH64 of byte ranges of one length; ``lanes[i]`` is the 64-bit word at byte ``i``."""
+    at, left = start, length
+    if length >= 32:
+        h = [np.full(len(start), (seed + int(c)) & MASK, U) for c in (int(P1) + int(P2), int(P2), 0, -int(P1))]
+        while left >= 32:
+            h = [_round(h[i], lanes[at + 8 * i]) for i in range(4)]
+            at, left = at + 32, left - 32
+        out = _turn(h[0], 1) + _turn(h[1], 7) + _turn(h[2], 12) + _turn(h[3], 18)
+        for part in h:
+            out = (out ^ _round(np.zeros_like(part), part)) * P1 + P4
+    else:
+        out = np.full(len(start), (seed + int(P5)) & MASK, U)
+    out = out + U(length)
+    while left >= 8:
+        out = _turn(out ^ _round(np.zeros_like(out), lanes[at]), 27) * P1 + P4
+        at, left = at + 8, left - 8
+    if left >= 4:
+        out = _turn(out ^ ((lanes[at] & U(0xFFFFFFFF)) * P1), 23) * P2 + P3
+        at, left = at + 4, left - 4
+    while left:
+        out = _turn(out ^ ((lanes[at] & U(255)) * P5), 11) * P1
+        at, left = at + 1, left - 1
+    out ^= out >> U(33)
+    out *= P2
+    out ^= out >> U(29)
+    out *= P3
+    return out ^ (out >> U(32))
+
+
+def byte_lanes(data: bytes) -> np.ndarray:
+    """The eight bytes from each place on as a number."""
+    padded = np.frombuffer(data + bytes(8), np.uint8)
+    return np.ascontiguousarray(np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,)))
+
+
+#: The lowest bytes of a lane.
+LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+def same_bytes(a: bytes, at_a: np.ndarray, b: bytes, at_b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Are the ranges of ``size`` bytes equal? Up to 16 bytes are compared as two lanes, more in full."""
+    lanes_a, lanes_b = byte_lanes(a), byte_lanes(b)
+    low = LOW_BYTES[np.minimum(size, 8)]
+    same = lanes_a[at_a] & low == lanes_b[at_b] & low
+    back = np.maximum(size - 8, 0)
+    same &= (lanes_a[at_a + back] ^ lanes_b[at_b + back]) & np.where(size > 8, LOW_BYTES[8], U(0)) == 0
+    for i in np.flatnonzero(same & (size > 16)).tolist():
+        same[i] = a[at_a[i] : at_a[i] + size[i]] == b[at_b[i] : at_b[i] + size[i]]
+    return same
+
+
+def xxh64(data: bytes, start: np.ndarray, length: np.ndarray, seed: int = 0) -> np.ndarray:
+    """XXH64 of many byte ranges of ``data``: ranges of one length are hashed together."""
+    out = np.zeros(len(start), U)
+    if not len(start):
+        return out
+    lanes = byte_lanes(data)
+    order = np.argsort(length, kind="stable")
+    ordered = length[order]
+    edges = np.concatenate([[0], np.flatnonzero(ordered[1:] != ordered[:-1]) + 1, [len(order)]])
+    for low, high in zip(edges[:-1], edges[1:]):
+        group, size = order[low:high], int(ordered[low])
+        if high - low < 32:
+            for i in group:
+                out[i] = xxhash.xxh64_intdigest(data[start[i] : start[i] + size], seed=seed)
+        else:
+            out[group] = _xxh64_equal(lanes, start[group], size, seed)
+    return out
+
+
 def word_hashes(data: np.ndarray, words: Words) -> np.ndarray:
-    """A 64-bit hash of each word's bytes."""
-    return range_hashes(prefixes(BYTE_VALUE[data], BYTE_BASE), words.start, words.end, BYTE_BASE)
+    """XXH64 of each word's bytes."""
+    return xxh64(data.tobytes(), words.start, words.end - words.start)
 
 
 def joined(data: np.ndarray, words: Words, keep: np.ndarray | None = None) -> tuple[bytes, np.ndarray, np.ndarray]:

@@ -78,6 +78,12 @@ def empty(spark):
     return spark.createDataFrame([], SCHEMA)
 
 
+def _thue_morse(size: int, letters: str = "ab") -> tuple[str, str]:
+    """Two words that polynomial hashes modulo a power of two cannot tell apart."""
+    word = "".join(letters[i.bit_count() & 1] for i in range(size))
+    return word, word.translate({ord(letters[0]): letters[1], ord(letters[1]): letters[0]})
+
+
 def _plain(texts):
     return [(LAST if i is None else i, t) for i, t in texts]
 
@@ -112,6 +118,88 @@ def test_factors_copy_what_they_refer_to(docs, texts):
         assert any(len(h) == row.n_words and any(" ".join(h[:50]) in s for s in source) for h in held)
 
 
+def test_factors_are_the_greedy_parse():
+    """Within one block: at each uncovered place the longest run that a smaller id holds, from left to right."""
+    import numpy as np
+
+    rng = random.Random(3)
+    width, segments = 4, []
+    for block in range(12):
+        base = [rng.randrange(3) for _ in range(14)]
+        for doc in range(rng.randrange(1, 9)):
+            own = [rng.randrange(3) if rng.random() < 0.2 else w for w in base][rng.randrange(4) :]
+            segments.append((block, doc // 2, own))
+    anchor = np.array([b for b, _, _ in segments])
+    ids = np.array([d for _, d, _ in segments])
+    size = np.array([len(w) - width + 1 for _, _, w in segments])
+    words = np.array([w for _, _, own in segments for w in own], np.uint64)
+    got = list(zip(*(c.tolist() for c in substring_dedup.parse(anchor, ids, size, words, width))))
+    want = []
+    for number, (block, doc, own) in enumerate(segments):
+        earlier = [w for b, d, w in segments if b == block and d < doc]
+        at = 0
+        while at + width <= len(own):
+            longest = max(
+                (n for n in range(width, len(own) - at + 1) for w in earlier for i in range(len(w) - n + 1) if w[i : i + n] == own[at : at + n]),
+                default=0,
+            )
+            if longest:
+                want.append((number, at, longest - width + 1))
+                at += longest - width + 1
+            else:
+                at += 1
+    assert [row[:3] for row in got] == want
+    for number, first, length, source in got:
+        block, doc, own = segments[number]
+        part = own[first : first + length + width - 1]
+        held = [w for b, d, w in segments if b == block and d == source]
+        assert source < doc and any(w[i : i + len(part)] == part for w in held for i in range(len(w)))
+
+
+@pytest.mark.parametrize("size", [1024, 2048, 4096])
+def test_texts_that_weak_hashes_mix_up(spark, size):
+    one, two = _thue_morse(size)
+    around = [_words(70, 30), _words(71, 30)]
+    texts = [(1, f"{around[0]} {one} {around[1]}"), (2, f"{around[0]} {two} {around[1]}")]
+    texts += [(3, _words(72, 40) + f"\n{one}\n{two}\n{one}"), (4, f"{one} {two} {two} {one}")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").withColumn("source", F.lit("h"))
+    got = _rows(substring_dedup.remove_repeats(docs), "doc_id", "n_words", "n_removed", "kept_sha256")
+    assert got == brute.repeated_words(texts) and [r[2] for r in got] == [0, 0, 0, 0]
+    got = _rows(suffix_dedup.remove_repeats(docs), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert got == brute.repeated_bytes(texts)
+    assert {r.doc_id: r.n_dup_lines for r in quality.judge(docs).collect()} == {1: 0, 2: 0, 3: 1, 4: 0}
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    for row in packing.pack(docs, TOKENIZER).collect():
+        ids = [*tokenizer.encode(dict(texts)[row.doc_id], add_special_tokens=False).ids, 0]
+        part = ids[row.start : row.start + row.length]
+        assert row.ids_crc32 == zlib.crc32(b"".join(i.to_bytes(4, "little") for i in part))
+
+
+def test_words_of_one_hash_get_their_own_ids(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    from talkweave.llm import words as W
+    from talkweave.llm.tokens import WordTokens
+
+    monkeypatch.setattr(W, "word_hashes", lambda data, words: (words.end - words.start).astype(np.uint64) % np.uint64(3))
+    tokens, plain = WordTokens(TOKENIZER), Tokenizer.from_file(TOKENIZER)
+    for texts in (["one two six a b", "seventeen eighteen characters-long-words"], ["two ten one", "", "b a é"]):
+        (chunk,) = W.chunks(pa.array(texts))
+        ids, begin = tokens.of_chunk(chunk, 0)
+        got = [ids[a:b].tolist() for a, b in zip(begin, begin[1:])]
+        assert got == [[*plain.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+
+
+def test_wide_windows(docs, texts):
+    few = [t for t in texts if len(t[1] or "") < 9000]
+    short = docs.filter(F.coalesce(F.length("text"), F.lit(0)) < 9000)
+    got = _rows(substring_dedup.remove_repeats(short, 400), "doc_id", "n_words", "n_removed", "kept_sha256")
+    assert got == brute.repeated_words(_plain(few), 400)
+    with pytest.raises(ValueError):
+        substring_dedup.remove_repeats(short, 5000)
+
+
 def test_suffix_dedup(docs, texts):
     few = [t for t in texts if t[0] != 30]
     got = suffix_dedup.remove_repeats(docs.filter("doc_id IS NULL OR doc_id <> 30"))
