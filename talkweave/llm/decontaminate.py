@@ -18,7 +18,6 @@ give the same result; no rows give no rows; further columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
@@ -28,7 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from talkweave.llm import words as W
-from talkweave.llm.rows import in_tasks, keyed
+from talkweave.llm.rows import beside_rows, keep_rows
+from talkweave.session import stage
 
 WINDOW = 13
 SHARD_BYTES = 1 << 20
@@ -38,8 +38,8 @@ NORMAL = bytes(
     W.LOWER[b] if b >= 128 or chr(b).isalnum() else 32 for b in range(256)
 )
 
-SCHEMA = (
-    "key_id bigint, key_hash bigint, n_words bigint,"
+FOUND = (
+    "n_words bigint,"
     " hits array<struct<first_word:int,n_words:int,start_byte:int,end_byte:int>>, items array<string>"
 )
 HITS = pa.list_(
@@ -97,53 +97,51 @@ def passages(items: tuple[tuple[str, str], ...], window: int) -> Passages:
 
 
 def _scanner(items: tuple[tuple[str, str], ...], window: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(texts: pa.Array) -> list[pa.Array]:
         machine = passages(items, window)
-        for batch in batches:
-            rows = [machine.scan(text.as_buffer().to_pybytes()) for text in batch.column("text")]
-            counts, hits, found = zip(*rows) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("key_id"),
-                    batch.column("key_hash"),
-                    pa.array(counts, pa.int64()),
-                    pa.array(hits, HITS),
-                    pa.array(found, pa.list_(pa.string())),
-                ],
-                ["key_id", "key_hash", "n_words", "hits", "items"],
-            )
+        rows = [machine.scan(text.as_buffer().to_pybytes()) for text in texts]
+        counts, hits, found = zip(*rows) if rows else ((), (), ())
+        return [pa.array(counts, pa.int64()), pa.array(hits, HITS), pa.array(found, pa.list_(pa.string()))]
 
     return run
 
 
-def shards(benchmark: DataFrame, shard_bytes: int = SHARD_BYTES) -> Iterator[tuple[tuple[str, str], ...]]:
-    """The items of a benchmark, (id, text), in groups of about ``shard_bytes``.
+def _shard_count(benchmark: DataFrame, shard_bytes: int) -> int:
+    size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(1, -(-size // shard_bytes))
 
-    Groups come from a hash of the item, and one is fetched at a time; so the
-    driver and a task hold one group, however large the benchmark is.
-    """
+
+def _shard(benchmark: DataFrame, number: int, count: int) -> tuple[tuple[str, str], ...]:
+    """The items, (id, text), whose hash falls into shard ``number`` of ``count``."""
     items = benchmark.select(
         F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
     )
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    count = max(1, -(-size // shard_bytes))
     group = F.pmod(F.xxhash64("item", "text"), F.lit(count))
-    for number in range(count):
-        yield tuple(sorted(tuple(row) for row in items.filter(group == number).collect()))
+    return tuple(sorted(tuple(row) for row in items.filter(group == number).collect()))
+
+
+def _scan(docs: DataFrame, items: tuple[tuple[str, str], ...], window: int) -> DataFrame:
+    return beside_rows(docs, _scanner(items, window), FOUND)
 
 
 def find_hits(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_bytes: int = SHARD_BYTES
 ) -> DataFrame:
-    """Per document: key, number of words, runs of hit words with byte offsets, and items found."""
-    rows = keyed(docs)
-    parts = [in_tasks(rows, _scanner(items, window), SCHEMA) for items in shards(benchmark, shard_bytes)]
-    if len(parts) == 1:
-        return parts[0]
-    union = parts[0].withColumn("shard", F.lit(0))
-    for number, part in enumerate(parts[1:], 1):
-        union = union.unionByName(part.withColumn("shard", F.lit(number)))
+    """Per document: key, number of words, runs of hit words with byte offsets, and items found.
+
+    The automaton holds the whole benchmark, if that has no more than ``shard_bytes``
+    of text. A larger one is taken in shards by a hash of the item: the driver
+    and the tasks hold one at a time, and what it finds is written before the next.
+    """
+    rows = docs.select("doc_id", "text")
+    count = _shard_count(benchmark, shard_bytes)
+    if count == 1:
+        return _scan(rows, _shard(benchmark, 0, 1), window).drop("row")
+    union = None
+    for number in range(count):
+        part = stage(_scan(rows, _shard(benchmark, number, count), window).drop("row")).withColumn("shard", F.lit(number))
+        union = part if union is None else union.unionByName(part)
     # A repeated row has equal hits, so one of each shard is enough; its copies are put back after.
     merged = union.groupBy("key_id", "key_hash").agg(
         F.max("n_words").alias("n_words"),
@@ -161,6 +159,20 @@ def find_hits(
     ).drop("copy")
 
 
+def clean_rows(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_bytes: int = SHARD_BYTES
+) -> DataFrame:
+    """The documents that are not contaminated, with all their columns.
+
+    Against one shard, rows are filtered in the tasks that scan them; several are
+    scanned by ``find_hits``, and the rows meet its verdicts by key.
+    """
+    dirty = contaminated(n_hit(), F.col("n_words"))
+    if _shard_count(benchmark, shard_bytes) == 1:
+        return _scan(docs, _shard(benchmark, 0, 1), window).filter(~dirty).select("row.*")
+    return keep_rows(docs, find_hits(docs, benchmark, window, shard_bytes).filter(~dirty))
+
+
 def merge_runs(column: str):
     """Sorted runs of words with those that overlap or touch made one."""
     return F.expr(

@@ -108,24 +108,24 @@ repeats AS (
   FROM doc JOIN lines USING (doc_id) LEFT JOIN repeats USING (doc_id)
 ), tested AS (
   SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
-         10 * n_symbols > n_words AS f1, 10 * n_dup_lines > 3 * n_lines AS f2,
-         word_chars < 2 * n_words OR word_chars > 15 * n_words AS f3
+         [10 * n_symbols, 10 * n_dup_lines, 2 * n_words, word_chars] AS over,
+         [n_words, 3 * n_lines, word_chars, 15 * n_words] AS most
   FROM measured
+), rules AS (
+  SELECT doc_id, host, unnest([1, 2, 3, 4]) AS r, unnest(over) AS o, unnest(most) AS m FROM tested
 ), failures AS (
-  SELECT host, r, count(*) AS n, count(*) FILTER (f) AS k
-  FROM (SELECT host, unnest([1, 2, 3]) AS r, unnest([f1, f2, f3]) AS f FROM tested) GROUP BY host, r
+  SELECT host, r, count(*) AS n, count(*) FILTER (o > m) AS k FROM rules GROUP BY host, r
 ), moments AS (
   SELECT r, sum(k) / sum(n) AS m, sum(k * k / n) / sum(n) - (sum(k) / sum(n)) ** 2 AS v FROM failures GROUP BY r
 ), prior AS (
-  SELECT r, m, CASE WHEN v > 1e-12 THEN greatest(m * (1 - m) / v - 1, 2.0) ELSE 1e9 END AS s FROM moments
-), verdict AS (
-  SELECT host, max(bad) FILTER (r = 1) AS b1, max(bad) FILTER (r = 2) AS b2, max(bad) FILTER (r = 3) AS b3
-  FROM (SELECT host, r, (k + m * s) / (n + s) > 0.5 AS bad FROM failures JOIN prior USING (r)) GROUP BY host
+  SELECT r, m, CASE WHEN v > 1e-12 THEN greatest(m * (1 - m) / v - 1, 4.0) ELSE 1e9 END AS s FROM moments
+), rates AS (SELECT host, r, (k + m * s) / (n + s) AS rate FROM failures JOIN prior USING (r)),
+blamed AS (
+  SELECT doc_id, bool_or(o > m AND rate + (1 - m / nullif(o, 0)) > 0.5) AS b FROM rules JOIN rates USING (host, r) GROUP BY doc_id
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND NOT ((f1 AND b1) OR (f2 AND b2) OR (f3 AND b3)) AS kept,
-       (f1 AND b1) OR (f2 AND b2) OR (f3 AND b3) AS host_failed
-FROM tested JOIN verdict USING (host)
+       NOT base_failed AND NOT b AS kept, b AS host_failed
+FROM tested JOIN blamed USING (doc_id)
 """
 
 ORACLE["op1_substring_dedup"] = r"""

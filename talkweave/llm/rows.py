@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Stands in for a missing doc_id, so that such rows come after all others.
 LAST_ID = (1 << 63) - 1
@@ -37,7 +38,7 @@ def ship_package(context: SparkContext) -> None:
 
 
 def in_tasks(
-    df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+    df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType
 ) -> DataFrame:
     """``df.mapInArrow`` for a function of this package."""
     ship_package(df.sparkSession.sparkContext)
@@ -112,6 +113,22 @@ def with_row(docs: DataFrame) -> DataFrame:
     return docs.select(row_id().alias("key_id"), text_hash().alias("key_hash"), F.struct("*").alias("row"))
 
 
+def beside_rows(docs: DataFrame, function: Callable[[pa.Array], list[pa.Array]], columns: str) -> DataFrame:
+    """``row``, all columns of ``docs``, and beside it the ``columns`` that ``function`` finds for a batch of texts.
+
+    Rows stay in the tasks that read them, so what is found can filter them where they are.
+    """
+    rows = with_row(docs).withColumn("text", F.coalesce(F.col("row.text"), F.lit("")))
+    schema = T.StructType([*rows.drop("text").schema.fields, *T.StructType.fromDDL(columns).fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = function(batch.column("text"))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *found], schema.names)
+
+    return in_tasks(rows, run, schema)
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
     """Of rows with equal ``doc_id`` and text, one."""
     return with_row(docs).dropDuplicates(["key_id", "key_hash"]).select("row.*")

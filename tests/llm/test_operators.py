@@ -306,15 +306,20 @@ def test_quality(docs, texts):
         assert want in rows
 
 
-def test_quality_blames_hosts_by_shrunk_rates(spark):
-    good, bad = _words(1, 50), "# " * 20 + _words(2, 50)
-    rows = [(i, bad if i < 40 else good, "spam") for i in range(50)]
-    rows += [(100 + i, bad if i % 20 == 0 else good, f"h{i % 10}") for i in range(200)]
-    rows += [(400, bad, "small")]
-    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    kept = {r.doc_id for r in quality.judge(df).filter("kept").collect()}
-    # The bad documents of the bad host go; good ones stay everywhere; one bad document makes no bad host.
-    assert kept == {i for i, t, s in rows if not (s == "spam" and t == bad)}
+def test_quality_blames_hosts_and_excess(spark):
+    """On a bad host all documents that fail go; on ordinary ones those far over a limit; others stay."""
+    good = _words(1, 50)
+    slight, plain = "# " * 6 + _words(2, 50), "# " * 20 + _words(2, 50)
+    rows = [(i, slight if i < 40 else good, "spam") for i in range(50)]
+    rows += [(100 + i, (slight, plain)[i // 20 % 2] if i % 20 == 0 else good, f"h{i % 7}") for i in range(200)]
+    rows += [(400, slight, "small"), (401, plain, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("row", F.lit("x"))
+    judged = {r.doc_id: r for r in quality.judge(df).collect()}
+    kept = {doc for doc, row in judged.items() if row.kept}
+    assert kept == {i for i, t, s in rows if not (t == plain or (s == "spam" and t == slight))}
+    assert all(judged[i].blamed_symbols == judged[i].host_failed for i in judged)
+    whole = quality.kept_rows(df)
+    assert whole.columns == df.columns and {tuple(r) for r in whole.collect()} == {(*r, "x") for r in rows if r[0] in kept}
 
 
 def test_decontamination(spark, docs, texts):
@@ -344,6 +349,9 @@ def test_decontamination(spark, docs, texts):
         got = decontaminate.find_hits(docs, bench, shard_bytes=shard_bytes)
         got = got.withColumn("key_id", F.nullif("key_id", F.lit((1 << 63) - 1)))
         assert _rows(got, "key_id", "n_words", decontaminate.n_hit(), F.array_join("items", ",")) == sorted(want)
+        clean = decontaminate.clean_rows(docs.withColumn("hits", F.lit(1)), bench.withColumn("shard", F.lit(1)), shard_bytes=shard_bytes)
+        assert clean.columns == [*docs.columns, "hits"]
+        assert sorted(r[0] for r in _rows(clean, "doc_id")) == sorted(d for d, n, h, _ in want if not (h and 20 * h >= n))
 
 
 def test_hits_map_back_to_the_text(spark):

@@ -119,46 +119,3 @@ def test_run_equals_its_stages_and_takes_no_rows(spark, folder):
     assert packed.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     assert {r.doc_id for r in packed.collect()} == {3, 9, 10, 11, 13, 18, 19, None}
     assert corpus_pipeline.run(spark, f"{folder}/empty").collect() == []
-
-
-def _edited(words: list[str], changes: int, seed: int) -> str:
-    rng = random.Random(seed)
-    words = list(words)
-    for i, place in enumerate(rng.sample(range(len(words)), changes)):
-        words[place] = f"edit{seed}x{i}"
-    return " ".join(words)
-
-
-@pytest.mark.parametrize("unit", [None, 1500])
-def test_edited_copies_of_similarity_0_8_are_near_duplicates(spark, unit):
-    """All pairs against plain sets; with small units, also where buckets are cut into parts."""
-    from talkweave.llm import resemblance
-
-    rows, shingles = [], {}
-    for family in range(25):
-        base = _text(100 + family, 300).split(" ")
-        rows += [(10 * family, " ".join(base))]
-        rows += [(10 * family + i, _edited(base, changes, 10 * family + i)) for i, changes in enumerate((3, 5, 6, 9, 14), 1)]
-    rows += [(1000, "a b c d e f g h"), (1001, "A b c  d e f g h"), (1002, "few words"), (1003, ""), (1004, None)]
-    for doc, text in rows:
-        words = (text or "").lower().split()
-        shingles[doc] = {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4) if words else 0)}
-    want = {doc: doc for doc in shingles}
-    prints = {doc: group for doc, _, group in brute.near_groups(rows)}
-    for a in shingles:
-        for b in shingles:
-            similar = 5 * len(shingles[a] & shingles[b]) >= 4 * len(shingles[a] | shingles[b])
-            if a < b and (similar or prints[a] == prints[b]):
-                old, new = sorted((want[a], want[b]), reverse=True)
-                want = {doc: new if group == old else group for doc, group in want.items()}
-    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    got = {}
-    groups = resemblance.near_groups(docs, unit) if unit else resemblance.near_groups(docs)
-    for row in groups.collect():
-        got.setdefault(row.root, set()).add(row.key_id)
-    assert {min(group): group for group in got.values()} == {
-        least: {doc for doc in want if want[doc] == least} for least in set(want.values())
-    }
-    assert len(got) < len(set(prints.values()))
-    kept = corpus_pipeline.near_dedup(spark, docs, "")
-    assert {row.doc_id for row in kept.collect()} == set(want.values())
