@@ -15,7 +15,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkweave.llm import decontaminate, line_dedup, packing, quality, resemblance
+from talkweave.llm import decontaminate, line_dedup, packing, quality, simhash
 from talkweave.llm.rows import keep_rows, one_of_each
 from talkweave.session import stage
 from talkweave.sources.tables import read_table
@@ -25,8 +25,8 @@ ORACLE_SQL = None
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and are not blamed with their host."""
-    return keep_rows(docs, quality.judge(docs).filter("kept"))
+    """Documents that pass the base rules and are not rejected by a softer rule and their host."""
+    return quality.kept_rows(docs)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,16 +35,15 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least ``doc_id`` of each group of near-duplicates, once."""
-    groups = resemblance.near_groups(docs)
+    """The document of least ``doc_id`` of each group of linked fingerprints, once."""
+    groups = simhash.near_duplicates(docs)
     least = groups.groupBy("root").agg(F.min(F.struct("key_id", "key_hash")).alias("one")).select("one.*")
     return one_of_each(keep_rows(docs, least))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth is benchmark text."""
-    hits = decontaminate.find_hits(docs, read_table(spark, sf_dir, "benchmark"))
-    return keep_rows(docs, hits.filter(~decontaminate.contaminated(decontaminate.n_hit(), F.col("n_words"))))
+    return decontaminate.clean_rows(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
