@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkweave.llm import chat, decontaminate, line_dedup, packing, pii, quality, simhash, substring_dedup, suffix_dedup, warc
+from talkweave.llm import (
+    chat,
+    decontaminate,
+    lattice,
+    line_dedup,
+    merkle,
+    packing,
+    phrases,
+    pii,
+    quality,
+    simhash,
+    substring_dedup,
+    suffix_dedup,
+    warc,
+)
 from talkweave.llm.rows import LAST_ID, shown_id
 from talkweave.session import shared_folder
 from talkweave.sources.tables import read_table
@@ -165,3 +179,21 @@ def op2_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     """The place of every piece of every document in sequences of 2,048 tokens."""
     return packing.pack(read_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document, and the check of its tampered form."""
+    return merkle.manifest(read_table(spark, folder, "documents"))
+
+
+@query
+def op12_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """The log-probability of every document by its words and by its lattice of subwords."""
+    return lattice.score(read_table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op13_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The 2,000 best phrases of every language."""
+    return phrases.collocations(read_table(spark, folder, "documents"))

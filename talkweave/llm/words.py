@@ -215,6 +215,57 @@ def word_hashes(data: np.ndarray, words: Words) -> np.ndarray:
     return xxh64(data.tobytes(), words.start, words.end - words.start)
 
 
+def word_numbers(data: bytes, words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each word, the same for equal words alone, and one word of each number."""
+    start, size = words.start, words.end - words.start
+    keys, open_ = xxh64(data, start, size), np.arange(len(start))
+    out, examples, used = np.empty(len(start), np.int64), [np.zeros(0, np.int64)], 0
+    while len(open_):
+        _, first, which = np.unique(keys[open_], return_index=True, return_inverse=True)
+        example = open_[first]
+        same = size[open_] == size[example][which]
+        held = np.flatnonzero(same)
+        same[held] = same_bytes(data, start[open_[held]], data, start[example[which[held]]], size[open_[held]])
+        out[open_[same]] = which[same] + used
+        examples.append(example)
+        used += len(example)
+        open_ = open_[~same]
+    return out, np.concatenate(examples)
+
+
+def strings(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """Byte ranges as a column of texts."""
+    size = end - start
+    offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+    body = data[spread_ranges(start, size)]
+    return pa.Array.from_buffers(pa.string(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(body))])
+
+
+class WordTable:
+    """Some words with their row numbers, found by XXH64 and compared with themselves."""
+
+    def __init__(self, words: list[bytes]) -> None:
+        self.data = b"".join(words)
+        size = np.array([len(word) for word in words], np.int64)
+        start = np.cumsum(size) - size
+        keys = xxh64(self.data, start, size)
+        self.row = np.argsort(keys, kind="stable")
+        self.keys, self.start, self.size = keys[self.row], start[self.row], size[self.row]
+
+    def find(self, data: bytes, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The row of each word, or -1. Of words of one hash only the first is ever found."""
+        out = np.full(len(start), -1)
+        if not len(self.keys) or not len(start):
+            return out
+        keys = xxh64(data, start, size)
+        place = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        held = np.flatnonzero((self.keys[place] == keys) & (self.size[place] == size))
+        place = place[held]
+        same = same_bytes(data, start[held], self.data, self.start[place], size[held])
+        out[held[same]] = self.row[place[same]]
+        return out
+
+
 def joined(data: np.ndarray, words: Words, keep: np.ndarray | None = None) -> tuple[bytes, np.ndarray, np.ndarray]:
     """The words of each text with one space after each, and where words and texts begin.
 

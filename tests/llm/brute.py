@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 
 import xxhash
 
@@ -153,3 +154,90 @@ def contaminated(text: str | None, items: list[str | None]) -> bool:
                 if words[j : j + len(window)] == window:
                     hit.update(range(j, j + len(window)))
     return bool(hit) and 20 * len(hit) >= len(words)
+
+
+def manifest(rows: list[tuple]) -> list[tuple]:
+    """(doc_id, leaf, subroot, root, proof_sha256, folded_root, verified) of (doc_id, source, lang, n_chars, text)."""
+
+    def leaf(row) -> str:
+        return sha("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in row))
+
+    def levels(digests: list[str]) -> list[list[str]]:
+        out = [digests]
+        while len(out[-1]) > 1:
+            out.append([sha("".join(out[-1][i : i + 3])) for i in range(0, len(out[-1]), 3)])
+        return out
+
+    def climb(tree, place, own):
+        proof = ""
+        for level in tree[:-1]:
+            run = list(range(place - place % 3, min(place - place % 3 + 3, len(level))))
+            proof += "".join(level[i] for i in run if i != place)
+            own = sha("".join(own if i == place else level[i] for i in run))
+            place //= 3
+        return proof, own
+
+    sources: dict = {}
+    for row in rows:
+        sources.setdefault(row[1], []).append(row)
+    names = sorted(sources, key=lambda s: (s is not None, (s or "").encode()))
+    for name in names:
+        sources[name].sort(key=lambda r: (r[0] is None, r[0] or 0, leaf(r)))
+    trees = {name: levels([leaf(row) for row in sources[name]]) for name in names}
+    top = levels([trees[name][-1][0] for name in names])
+    out = []
+    for number, name in enumerate(names):
+        for place, row in enumerate(sources[name]):
+            bent = row
+            if row[0] is not None and zlib.crc32(str(row[0]).encode()) % 2 == 0 and row[4] is not None:
+                bent = (*row[:4], row[4].replace("\n", ""))
+            low, folded = climb(trees[name], place, leaf(bent))
+            high, folded = climb(top, number, folded)
+            root = top[-1][0]
+            out.append((row[0], leaf(row), trees[name][-1][0], root, sha(low + high), folded, folded == root))
+    return sorted(out, key=lambda r: (r[0] is None, r[0] or 0, r[1:]))
+
+
+def collocations(rows: list[tuple[str | None, str | None]], least: int = 30, top: int = 2000) -> list[tuple]:
+    """(lang, rank, phrase, a, l, r, n, score) of (lang, text)."""
+    counts: dict[str, dict[tuple, int]] = {}
+    totals: dict[str, int] = {}
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\n-\r]", (text or "").translate(LOWER)):
+            words = re.findall("[^ \t]+", piece)
+            totals[lang] = totals.get(lang, 0) + len(words)
+            own = counts.setdefault(lang, {})
+            for i in range(len(words)):
+                for size in range(1, min(4, len(words) - i) + 1):
+                    own[tuple(words[i : i + size])] = own.get(tuple(words[i : i + size]), 0) + 1
+    out = []
+    for lang, own in counts.items():
+        candidates = {p: f for p, f in own.items() if f >= least and len(p) > 1}
+        inside: dict[tuple, int] = {}
+        for p, f in candidates.items():
+            for size in range(2, len(p)):
+                for i in range(len(p) - size + 1):
+                    inside[p[i : i + size]] = max(inside.get(p[i : i + size], 0), f)
+        found = []
+        for p, a in candidates.items():
+            score, k = min((2_000_000 * a // (own[p[:k]] + own[p[k:]]), k) for k in range(1, len(p)))
+            if 100 * inside.get(p, 0) < 80 * a:
+                found.append((-score, -a, " ".join(p).encode(), own[p[:k]], own[p[k:]]))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(found)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, totals[lang], -score))
+    return sorted(out)
+
+
+def segmentations(text: str, pieces: dict[str, float], byte: list[float]) -> list[tuple[float, list]]:
+    """Every way to spell a text by pieces or by the bytes of single characters, with its probability."""
+    if not text:
+        return [(1.0, [])]
+    out = []
+    steps = [(text[:n], pieces[text[:n]]) for n in range(1, len(text) + 1) if text[:n] in pieces]
+    by_bytes = 1.0
+    for b in text[0].encode():
+        by_bytes *= byte[b]
+    for piece, p in [*steps, (text[0].encode(), by_bytes)]:
+        out += [(p * q, [piece, *rest]) for q, rest in segmentations(text[len(piece) if isinstance(piece, str) else 1 :], pieces, byte)]
+    return out
