@@ -166,3 +166,106 @@ SELECT doc_id, cast(n AS BIGINT) AS n_bytes, cast(coalesce(n_removed, 0) AS BIGI
        coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
 FROM doc LEFT JOIN found USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
+
+# Trees of up to 3 ** 12 documents a source and 3 ** 8 sources; a level above a root passes it on.
+_TREES = {"leaves": ("named, src", 12), "tops": ("one", 8)}
+
+
+def _tree(leaves: str, key: str, levels: int) -> str:
+    """Tables ``LEAVES_0`` and on, of the nodes by level, and ``LEAVES_s0`` and on, of their siblings."""
+    parts, keys = [f"{leaves}_0 AS MATERIALIZED (SELECT {key}, idx, n, d FROM {leaves})"], key.split(", ")
+    for k in range(levels):
+        parts.append(
+            f"""{leaves}_{k + 1} AS MATERIALIZED (
+  SELECT {key}, idx // 3 AS idx, (max(n) + 2) // 3 AS n,
+         CASE WHEN max(n) > 1 THEN sha256(string_agg(d, '' ORDER BY idx)) ELSE max(d) END AS d
+  FROM {leaves}_{k} GROUP BY {key}, idx // 3
+)"""
+        )
+        parts.append(
+            f"""{leaves}_s{k} AS MATERIALIZED (
+  SELECT {", ".join(f"a.{name}" for name in keys)}, a.idx, any_value(a.n) AS n,
+         coalesce(string_agg(b.d, '' ORDER BY b.idx) FILTER (b.idx < a.idx), '') AS l,
+         coalesce(string_agg(b.d, '' ORDER BY b.idx) FILTER (b.idx > a.idx), '') AS r
+  FROM {leaves}_{k} a JOIN {leaves}_{k} b ON {" AND ".join(f"a.{name} = b.{name}" for name in keys)} AND a.idx // 3 = b.idx // 3
+  GROUP BY {", ".join(f"a.{name}" for name in keys)}, a.idx
+)"""
+        )
+    return ",\n".join(parts)
+
+
+def _paths(walk: str, leaves: str, key: str, levels: int) -> str:
+    """Tables ``WALK_1`` and on: proofs and folded digests of leaves, one level further each."""
+    parts = []
+    for k in range(levels):
+        parts.append(
+            f"""{walk}_{k + 1} AS MATERIALIZED (
+  SELECT w.* REPLACE (w.node // 3 AS node, w.proof || s.l || s.r AS proof,
+                      CASE WHEN s.n > 1 THEN sha256(s.l || w.fold || s.r) ELSE w.fold END AS fold)
+  FROM {walk}_{k} w JOIN {leaves}_s{k} s ON {" AND ".join(f"w.{name} = s.{name}" for name in key.split(", "))} AND w.node = s.idx
+)"""
+        )
+    return ",\n".join(parts)
+
+
+def _field(name: str) -> str:
+    return f"coalesce(strlen(cast({name} AS VARCHAR)) || ':' || {name}, '-')"
+
+
+_LEAF = " || ".join(_field(name) for name in ("doc_id", "source", "lang", "n_chars", "text"))
+_CRC = """list_reduce(list_prepend(4294967295, list_transform(string_split(cast(doc_id AS VARCHAR), ''), lambda c: cast(ascii(c) AS BIGINT))),
+    lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                               lambda c, z: xor(c >> 1, (c & 1) * 3988292384)))"""
+
+ORACLE["op11_merkle_manifest"] = f"""
+WITH bent AS (
+  SELECT doc_id, source, {_LEAF} AS whole, xor({_CRC}, 4294967295) % 2 = 0 AS chosen,
+         {_LEAF.replace(_field("text"), _field("replace(text, chr(10), '')"))} AS without FROM documents
+), leaves AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY named, src ORDER BY doc_id NULLS LAST, d) - 1 AS idx, count(*) OVER (PARTITION BY named, src) AS n
+  FROM (SELECT doc_id, source IS NOT NULL AS named, coalesce(source, '') AS src, sha256(whole) AS d,
+               sha256(CASE WHEN chosen THEN without ELSE whole END) AS bent FROM bent)
+), {_tree("leaves", *_TREES["leaves"])},
+tops AS MATERIALIZED (
+  SELECT 1 AS one, named, src, d, row_number() OVER (ORDER BY named, src) - 1 AS idx, count(*) OVER () AS n FROM leaves_12
+), {_tree("tops", *_TREES["tops"])},
+walk_0 AS (SELECT *, idx AS node, '' AS proof, bent AS fold FROM leaves),
+{_paths("walk", "leaves", *_TREES["leaves"])},
+climb_0 AS (
+  SELECT w.doc_id, w.d AS leaf, t.d AS subroot, 1 AS one, t.idx AS node, w.proof, w.fold
+  FROM walk_12 w JOIN tops t ON w.named = t.named AND w.src = t.src
+), {_paths("climb", "tops", *_TREES["tops"])}
+SELECT doc_id, leaf, subroot, d AS root, sha256(proof) AS proof_sha256, fold AS folded_root, fold = d AS verified
+FROM climb_8 c JOIN tops_8 t ON c.one = t.one
+"""
+
+ORACLE["op13_phrase_collocations"] = r"""
+WITH piece AS (
+  SELECT lang, regexp_extract_all(x, '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS x
+        FROM documents)
+), total AS (SELECT lang, cast(sum(len(w)) AS BIGINT) AS n FROM piece GROUP BY lang),
+gram AS (
+  SELECT lang, w[i : i + k - 1] AS g, count(*) AS f
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM (SELECT *, unnest([1, 2, 3, 4]) AS k FROM piece) WHERE len(w) >= k)
+  GROUP BY lang, g HAVING count(*) >= 30
+), cut AS (
+  SELECT c.lang, c.g, c.f AS a, k, x.f AS l, y.f AS r, cast(2000000 AS HUGEINT) * c.f // (x.f + y.f) AS score
+  FROM (SELECT *, unnest(range(1, len(g))) AS k FROM gram WHERE len(g) > 1) c
+  JOIN gram x ON x.lang = c.lang AND x.g = c.g[1 : k] JOIN gram y ON y.lang = c.lang AND y.g = c.g[k + 1 : len(c.g)]
+), weakest AS (
+  SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1
+), inside AS (
+  SELECT lang, p, max(f) AS around
+  FROM (SELECT lang, f, g[i : i + k - 1] AS p
+        FROM (SELECT *, unnest(range(1, len(g) - k + 2)) AS i FROM (SELECT *, unnest(range(2, len(g))) AS k FROM gram WHERE len(g) > 2)))
+  GROUP BY lang, p
+), ranked AS (
+  SELECT w.lang, array_to_string(w.g, ' ') AS phrase, a, l, r, cast(score AS BIGINT) AS score,
+         row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, array_to_string(w.g, ' ')) AS rank
+  FROM weakest w LEFT JOIN inside i ON w.lang = i.lang AND w.g = i.p
+  WHERE around IS NULL OR cast(100 AS HUGEINT) * around < cast(80 AS HUGEINT) * a
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
