@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -9,9 +11,16 @@ from talkweave.functions.columns import token_bucket
 from talkweave.functions.text import term_counts, unigrams
 from talkweave.operators.skew import broadcast_if_small, hot_keys, salted_join
 from talkweave.session import stage
+from talkweave.sources.tables import exists
 
 PAGE_SIZE = 20
 
+# Pages up to this one are ranked from the best rows of slices; deeper ones are found by counting.
+NEAR_PAGES = 5
+# A range of results is cut into so many parts, until it has at most so many rows.
+PARTS = 256
+WITHIN = 1000
+
 # Scores are added as whole multiples of 1 / SCORE_UNITS. Such sums do not
 # depend on the order of the rows, so equal scores stay equal and a page holds
 # the same rows on every run.
@@ -84,6 +93,20 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def wanted_tokens(queries: DataFrame, strict_duplicates: bool = True, escape_quotes: bool = False) -> DataFrame:
+    """One row per distinct token of a query, with its type as ``any_token`` and its number of tokens."""
+    return queries.select(
+        "query_id",
+        (F.lower("query_type") == "or").alias("any_token"),
+        tokenize(F.col("query"), escape_quotes).alias("tokens"),
+    ).select(
+        "query_id",
+        "any_token",
+        F.size(F.col("tokens") if strict_duplicates else F.array_distinct("tokens")).alias("n_tokens"),
+        F.explode(F.array_distinct("tokens")).alias("token"),
+    )
+
+
 def match_tokens(
     queries: DataFrame, tfidf: DataFrame, strict_duplicates: bool = True, escape_quotes: bool = False
 ) -> DataFrame:
@@ -95,16 +118,7 @@ def match_tokens(
     index, only the folders of the tokens' buckets are read, and in their files,
     which are sorted, only the row groups from the first to the last token.
     """
-    wanted = queries.select(
-        "query_id",
-        (F.lower("query_type") == "or").alias("any_token"),
-        tokenize(F.col("query"), escape_quotes).alias("tokens"),
-    ).select(
-        "query_id",
-        "any_token",
-        F.size(F.col("tokens") if strict_duplicates else F.array_distinct("tokens")).alias("n_tokens"),
-        F.explode(F.array_distinct("tokens")).alias("token"),
-    )
+    wanted = wanted_tokens(queries, strict_duplicates, escape_quotes)
     if "bucket" not in tfidf.columns:
         return tfidf.join(broadcast_if_small(wanted), "token")
     # The number of buckets is fixed in the index, so the list of them is bounded.
@@ -198,10 +212,13 @@ def search_and(
 def page(results: DataFrame, n: int, size: int = PAGE_SIZE) -> DataFrame:
     """Page ``n`` of every query, by falling score, then song id; adds ``rank``.
 
-    Page 0 is page 1. A query may match much of the index, so its results are
-    first cut into slices by song; each slice keeps its best rows up to the end
-    of the page, and the rows left over are ranked.
+    Page 0 is page 1. A query may match much of the index, so for the pages up to
+    ``NEAR_PAGES`` its results are first cut into slices by song; each slice keeps
+    its best rows up to the end of the page, and the rows left over are ranked.
+    Deeper pages are found by ``deep_page``.
     """
+    if n > NEAR_PAGES:
+        return deep_page(results, n, size)
     first, last = (max(n, 1) - 1) * size, max(n, 1) * size
     slices = int(results.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = (F.desc("score"), F.col("song_id"))
@@ -219,6 +236,62 @@ def page(results: DataFrame, n: int, size: int = PAGE_SIZE) -> DataFrame:
     )
 
 
+def _narrow(rows: DataFrame, ranges: DataFrame, by: str, falling: bool, first: int, last: int) -> DataFrame:
+    """Cut ranges of ``by`` into ``PARTS`` parts and keep those that hold ranks ``first + 1`` to ``last``.
+
+    A range has its bounds ``low_BY`` and ``high_BY``, the rows ``inside`` it and how many
+    rank ``above`` it. All its rows are counted; none are collected or ordered.
+    """
+    keys = [name for name in ranges.columns if name not in (f"low_{by}", f"high_{by}", "inside", "above")]
+    held = rows.join(broadcast_if_small(ranges), "query_id").filter(
+        F.col("units").between(F.col("low_units"), F.col("high_units"))
+        & F.col("song_id").between(F.col("low_song_id"), F.col("high_song_id"))
+    )
+    # As decimals, which hold the product of a bound and the number of parts.
+    low, high, value = (F.col(name).cast("decimal(20,0)") for name in (f"low_{by}", f"high_{by}", by))
+    width = (high - low + 1).cast("decimal(21,0)")
+    part = F.floor((value - low) * PARTS / width).cast("bigint")
+    parts = held.withColumn("part", part).groupBy(*keys, "above", "part").agg(
+        F.count(F.lit(1)).alias("inside"), F.min(by).alias(f"low_{by}"), F.max(by).alias(f"high_{by}")
+    )
+    order = F.desc("part") if falling else F.col("part")
+    before = Window.partitionBy(*keys, "above").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    over = F.col("above") + F.coalesce(F.sum("inside").over(before), F.lit(0))
+    kept = parts.withColumn("above", over).drop("part")
+    return kept.filter((F.col("above") < last) & (F.col("above") + F.col("inside") > first))
+
+
+def deep_page(results: DataFrame, n: int, size: int = PAGE_SIZE) -> DataFrame:
+    """Page ``n`` of every query, found by counting: no query's results are ordered as a whole.
+
+    The scores of each query are cut into ranges, whose rows are counted, and only
+    the ranges that hold the page are cut again, until none has more than ``WITHIN``
+    rows; ranges of one score are cut by song id. Only those rows are ranked.
+    """
+    first, last = (max(n, 1) - 1) * size, max(n, 1) * size
+    rows = stage(results.withColumn("units", F.round(F.col("score") * SCORE_UNITS).cast("bigint")))
+    ranges = rows.groupBy("query_id").agg(
+        F.min("units").alias("low_units"), F.max("units").alias("high_units"),
+        F.min("song_id").alias("low_song_id"), F.max("song_id").alias("high_song_id"),
+        F.count(F.lit(1)).alias("inside"), F.lit(0).cast("bigint").alias("above"),
+    ).filter(F.col("inside") > first)
+    ranges = stage(ranges)
+    for by, falling in (("units", True), ("song_id", False)):
+        while True:
+            wide = (F.col("inside") > WITHIN) & (F.col(f"low_{by}") < F.col(f"high_{by}"))
+            if ranges.filter(wide).isEmpty():
+                break
+            done = ranges.filter(~wide)
+            ranges = stage(done.unionByName(_narrow(rows, ranges.filter(wide), by, falling, first, last)))
+    held = rows.join(broadcast_if_small(ranges.drop("inside")), "query_id").filter(
+        F.col("units").between(F.col("low_units"), F.col("high_units"))
+        & F.col("song_id").between(F.col("low_song_id"), F.col("high_song_id"))
+    )
+    within = Window.partitionBy("query_id", "above").orderBy(F.desc("units"), "song_id")
+    ranked = held.withColumn("rank", (F.row_number().over(within) + F.col("above")).cast("int"))
+    return ranked.filter((F.col("rank") > first) & (F.col("rank") <= last)).select(*results.columns, "rank")
+
+
 def search_page(
     queries: DataFrame,
     tfidf: DataFrame,
@@ -295,21 +368,47 @@ def add_ranks(results: DataFrame) -> DataFrame:
     return ranked.withColumn("rank", F.col("number") + F.col("offset")).drop("part", "number", "offset")
 
 
-def materialize(results: DataFrame, path: str) -> None:
-    """Store the results of a batch with their ranks, so that pages need no new search.
+def materialize(results: DataFrame, path: str) -> int:
+    """Publish the results of a batch with their ranks, so that pages need no new search.
 
-    Files are ranges of query and rank: a page reads the row groups that hold it.
+    A new version is written beside the earlier ones and then named in the list of
+    versions, by a file that appears at once and whole: readers have the old version
+    or the new one, never parts of one. Files are ranges of query and rank: a page
+    reads the row groups that hold it. Returns the number of the version.
     """
+    spark = results.sparkSession
+    version = (_version(spark, path) or 0) + 1
+    name = f"{version}-{uuid.uuid4().hex}"
     ranked = add_ranks(results)
-    ranked.repartitionByRange("query_id", "rank").sortWithinPartitions("query_id", "rank").write.mode(
-        "overwrite"
-    ).parquet(path)
+    ranked.repartitionByRange("query_id", "rank").sortWithinPartitions("query_id", "rank").write.parquet(f"{path}/{name}")
+    spark.createDataFrame([(version, name)], VERSIONS).coalesce(1).write.mode("append").parquet(f"{path}/versions")
+    return version
+
+
+VERSIONS = "version bigint, name string"
+
+
+def _versions(spark: SparkSession, path: str) -> DataFrame | None:
+    return spark.read.schema(VERSIONS).parquet(f"{path}/versions") if exists(spark, f"{path}/versions") else None
+
+
+def _version(spark: SparkSession, path: str) -> int | None:
+    listed = _versions(spark, path)
+    return None if listed is None else listed.agg(F.max("version")).first()[0]
+
+
+def published(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The stored results: those of the newest published version, or of a given one."""
+    listed = _versions(spark, path)
+    chosen = listed if version is None else listed.filter(F.col("version") == version)
+    name = chosen.agg(F.max_by("name", F.struct("version", "name"))).first()[0]
+    return spark.read.parquet(f"{path}/{name}")
 
 
 def stored_pages(spark: SparkSession, path: str, n: int, size: int = PAGE_SIZE) -> DataFrame:
     """Page ``n`` of every query from the stored results; page 0 is page 1."""
     last = max(n, 1) * size
-    return spark.read.parquet(path).filter((F.col("rank") > last - size) & (F.col("rank") <= last))
+    return published(spark, path).filter((F.col("rank") > last - size) & (F.col("rank") <= last))
 
 
 def stored_page(spark: SparkSession, path: str, query_id: int, n: int) -> DataFrame:

@@ -316,6 +316,11 @@ def _halves(main: str) -> str:
 ORACLE: dict[str, str] = {
     "s3_read_table": "SELECT doc_id, text, lang, source, n_chars FROM documents",
     "s1_read_json": _with("SELECT * FROM all_comments", "all_comments"),
+    "s1_read_json_checked": _with("SELECT * FROM all_comments", "all_comments"),
+    "s1_unreadable_lines": _with(
+        f"SELECT line, 1::bigint AS n_lines, (SELECT count(*) FROM all_comments) AS n_rows FROM {planted.BAD_LINES}",
+        "all_comments",
+    ),
     "s2_read_labels_csv": _with(f"SELECT * FROM labeled UNION ALL SELECT * FROM {planted.LABELS}", "labeled"),
     "s4_ingest": _with("SELECT link_id AS id, title, sub_score AS score FROM submissions", "submissions"),
     "s5_s10_csv_round_trip": _with(
@@ -401,6 +406,16 @@ ORACLE: dict[str, str] = {
     "a3_sentiment_by_state": _with("SELECT * FROM by_state", "by_state"),
     "a4_sentiment_by_comment_score": _shares("com_score"),
     "a5_sentiment_by_submission_score": _shares("sub_score"),
+    "a5_all_rollups_at_once": _with(
+        f"""SELECT 'posts' AS rollup, coalesce(link_id, '-') AS key, title, pos, neg FROM by_post UNION ALL
+            SELECT 'states', state, NULL, pos, neg FROM by_state UNION ALL """
+        + " UNION ALL ".join(
+            f"""SELECT '{name}', coalesce(cast({key} AS VARCHAR), '-'), NULL,
+                sum(pos_prob) / count(pos_prob), sum(neg_prob) / count(neg_prob) FROM scored GROUP BY {key}"""
+            for name, key in (("days", _DAY), ("sub_score", "sub_score"), ("com_score", "com_score"))
+        ),
+        "by_post", "by_state", "scored",
+    ),
     "a6_sum_scores": _with(
         """SELECT query_id, song_id, round(sum(score), 6) AS score FROM matched WHERE any_token
            GROUP BY query_id, song_id""",
@@ -427,6 +442,15 @@ ORACLE: dict[str, str] = {
            FROM numbered LEFT JOIN song USING (song_id) LEFT JOIN artist USING (artist_id) WHERE rank <= 20""",
         "numbered", "song", "artist",
     ),
+    "t3_first_page_from_blocks": _with(
+        """SELECT query_id, rank, song_name, artist_name, page_link, song_id, round(score, 6) AS score
+           FROM numbered LEFT JOIN song USING (song_id) LEFT JOIN artist USING (artist_id) WHERE rank <= 20""",
+        "numbered", "song", "artist",
+    ),
+    "t4_tenth_page": _with(
+        "SELECT query_id, song_id, round(score, 6) AS score, rank FROM numbered WHERE rank BETWEEN 181 AND 200",
+        "numbered",
+    ),
     "t4_third_page": _with(
         "SELECT query_id, song_id, round(score, 6) AS score, rank FROM numbered WHERE rank BETWEEN 41 AND 60",
         "numbered",
@@ -514,10 +538,10 @@ ORACLE: dict[str, str] = {
         for name in ("m8_prediction_equals_flag", "m9_score", "s7_stored_classifier")
     },
     "m6_fit_logistic_regression": _halves(
-        "SELECT kind, count(*) AS n_rows, sum(is_positive)::bigint AS n_positive, true AS fits FROM halves GROUP BY kind"
+        "SELECT kind, count(*) AS n_rows, sum(is_positive)::bigint AS n_positive, true AS fits, true AS near_best FROM halves GROUP BY kind"
     ),
     "m7_cross_validate": _halves(
-        "SELECT kind, fold, count(*) AS n_rows, true AS area_found FROM halves GROUP BY kind, fold"
+        "SELECT kind, fold, count(*) AS n_rows, true AS agrees FROM halves GROUP BY kind, fold"
     ),
     "m12_evaluate": "SELECT unnest(['pos', 'neg']) AS kind, true AS agrees",
 }

@@ -31,6 +31,12 @@ COMMENTS = """(VALUES
   ('p8', 'no date at all', cast(null AS bigint), 'Texas', 7, 't3_4')
 ) AS t(id, body, created_utc, author_flair_text, score, link_id)"""
 
+# Lines of a file of comments that cannot be read: no JSON, cut short, and values of other types.
+BAD_LINES = """(VALUES
+  ('no json at all'), ('{"id": "b1", "body": "cut sho'), ('{"id": "b2", "score": "many"}'), ('["b3"]'),
+  ('{"id": "b4", "created_utc": {"at": 1}, "body": "x"}')
+) AS t(line)"""
+
 # Titles that a CSV file may change.
 TITLES = """(VALUES
   ('t1', ' outer spaces  '), ('t2', ''), ('t3', cast(null AS string)), ('t4', 'a "quoted" one, two'),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from talkweave.functions import text as tx
 from talkweave.functions.columns import strip_kind, threshold_flag, utc_day
 from talkweave.functions.states import STATES, UNCHARTED_REGIONS
-from talkweave.operators import chart, features, model, prepare, rollup, search
+from talkweave.operators import blockmax, chart, features, model, prepare, rollup, search
 from talkweave.plans import planted
 from talkweave.session import shared_folder, stage
 from talkweave.sources import tables, views
@@ -79,17 +79,15 @@ def _labeled(spark: SparkSession, folder: str) -> DataFrame:
     return features.add_ngrams(prepare.add_labels(labeled))
 
 
-def _index(spark: SparkSession, folder: str, asked: DataFrame | None = None) -> DataFrame:
-    """The index over all documents, or its part for the tokens of some queries."""
-    tokens = None if asked is None else search.query_tokens(asked).select("token").distinct()
-    return search.build_tfidf(views.lyrics(spark, folder), tokens=tokens)
+def _index(spark: SparkSession, folder: str) -> DataFrame:
+    """The index over all documents."""
+    return search.build_tfidf(views.lyrics(spark, folder))
 
 
 def _searched(spark: SparkSession, folder: str) -> tuple[DataFrame, ...]:
-    asked = _planted(spark, planted.QUERIES)
     return (
-        asked,
-        _index(spark, folder, asked),
+        _planted(spark, planted.QUERIES),
+        _index(spark, folder),
         views.songs(spark, folder),
         views.artists(spark, folder),
     )
@@ -190,6 +188,27 @@ def s1_read_json(spark: SparkSession, folder: str) -> DataFrame:
     return tables.read_json(spark, path, tables.COMMENTS)
 
 
+def _with_bad_lines(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    path = shared_folder(spark)
+    comments = _all_comments(spark, folder)
+    lines = comments.select(F.to_json(F.struct("*")).alias("line"))
+    lines.unionByName(_planted(spark, planted.BAD_LINES)).write.option("compression", "bzip2").text(path)
+    return tables.read_json_checked(spark, path, tables.COMMENTS)
+
+
+@query
+def s1_read_json_checked(spark: SparkSession, folder: str) -> DataFrame:
+    """Comments read from files that hold unreadable lines too, which make no rows."""
+    return _with_bad_lines(spark, folder)[0]
+
+
+@query
+def s1_unreadable_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The unreadable lines, whole, and how many rows the files have besides."""
+    good, bad = _with_bad_lines(spark, folder)
+    return bad.groupBy("line").agg(F.count(F.lit(1)).alias("n_lines")).withColumn("n_rows", F.lit(good.count()).cast("bigint"))
+
+
 def _label_file(spark: SparkSession, folder: str) -> str:
     path = shared_folder(spark)
     labels = views.labeled(spark, folder).unionByName(_planted(spark, planted.LABELS))
@@ -345,6 +364,21 @@ def a5_sentiment_by_submission_score(spark: SparkSession, folder: str) -> DataFr
     return rollup.sentiment_by_submission_score(_scored(spark, folder))
 
 
+@query
+def a5_all_rollups_at_once(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows of all rollups, from one reading of the scored comments."""
+    shares = rollup.all_shares(_scored(spark, folder), STATES + planted.TEST_STATES)
+    parts = []
+    for name, keys in rollup.ROLLUP_KEYS.items():
+        key = F.coalesce(F.col(keys[0]).cast("string"), F.lit("-"))
+        title = F.col("title") if name == "posts" else F.lit(None).cast("string")
+        parts.append(shares[name].select(F.lit(name).alias("rollup"), key.alias("key"), title.alias("title"), "pos", "neg"))
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
+
+
 @query
 def a6_sum_scores(spark: SparkSession, folder: str) -> DataFrame:
     asked, index, _, _ = _searched(spark, folder)
@@ -395,6 +429,23 @@ def t3_first_page(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(search.search_page(*_searched(spark, folder)), "score")
 
 
+@query
+def t3_first_page_from_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """The first page from the whole index stored in blocks, of which only those that can hold it are read."""
+    path = shared_folder(spark)
+    blockmax.write_blocks(_index(spark, folder), path, 32, 64)
+    asked = _planted(spark, planted.QUERIES)
+    songs, artists = views.songs(spark, folder), views.artists(spark, folder)
+    return _rounded(blockmax.search_first_page(spark, asked, path, songs, artists), "score")
+
+
+@query
+def t4_tenth_page(spark: SparkSession, folder: str) -> DataFrame:
+    """A deep page, found by counting."""
+    asked, index, _, _ = _searched(spark, folder)
+    return _rounded(search.page(search.rank_songs(asked, index), 10), "score")
+
+
 @query
 def t4_third_page(spark: SparkSession, folder: str) -> DataFrame:
     asked, index, _, _ = _searched(spark, folder)
@@ -416,7 +467,7 @@ def t4_stored_third_page(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def q4_stored_results(spark: SparkSession, folder: str) -> DataFrame:
     """All results of all queries with their ranks, from the stored table."""
-    return _rounded(spark.read.parquet(_materialized(spark, folder)), "score")
+    return _rounded(search.published(spark, _materialized(spark, folder)), "score")
 
 
 @query
@@ -468,7 +519,7 @@ def q3_search_passages(spark: SparkSession, folder: str) -> DataFrame:
     asked = tables.read_table(spark, folder, "benchmark").select(
         F.col("item_id").alias("query_id"), F.lower("text").alias("query"), F.lit("and").alias("query_type")
     )
-    return _rounded(search.rank_songs(asked, _index(spark, folder, asked), strict_duplicates=False), "score")
+    return _rounded(search.rank_songs(asked, _index(spark, folder), strict_duplicates=False), "score")
 
 
 # --- text and dates -----------------------------------------------------------
@@ -612,20 +663,36 @@ def _loss(fitted: LogisticRegressionModel, train: DataFrame, kind: str) -> Colum
     return -F.avg(F.log(F.when(F.col(f"{kind}_label") == 1, chance).otherwise(1 - chance)))
 
 
+#: By the steps of a fit, the part of the gradient at no weights that may be left; the classifiers take ten.
+GRADIENT_LEFT = {10: 0.1, 100: 1e-4}
+
+
+def _near_best(train: DataFrame, kind: str) -> bool:
+    """Has the gradient of the regularised loss fallen as far as it should?"""
+    squares = [F.sum(F.col(c) * F.col(c)) for c in ("gradient", "at_zero")]
+    for steps, left in GRADIENT_LEFT.items():
+        fitted = model.logistic_regression(kind).setRegParam(1.0).setMaxIter(steps).fit(train)
+        if model.gradient(fitted, train, kind, 1.0).agg(squares[0] / squares[1]).first()[0] >= left * left:
+            return False
+    return True
+
+
 @query
 def m6_fit_logistic_regression(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows and positives that each classifier is fitted on, and whether it does better than no weights."""
+    """Rows and positives that each classifier is fitted on, whether it does better than no weights, and is near the best."""
     _, labeled = _featured(spark, folder)
     parts = []
     for kind in model.THRESHOLDS:
         train, _ = prepare.split_by_hash(labeled, "Input_id", 50, kind)
+        train = stage(train)
         fitted = model.logistic_regression(kind).setRegParam(1.0).fit(train)
         parts.append(
             fitted.transform(train).agg(
                 F.count(F.lit(1)).alias("n_rows"),
                 F.sum(f"{kind}_label").alias("n_positive"),
                 (_loss(fitted, train, kind) < F.log(F.lit(2.0))).alias("fits"),
-            ).select(F.lit(kind).alias("kind"), "n_rows", "n_positive", "fits")
+                F.lit(_near_best(train, kind)).alias("near_best"),
+            ).select(F.lit(kind).alias("kind"), "n_rows", "n_positive", "fits", "near_best")
         )
     return parts[0].unionByName(parts[1])
 
@@ -643,13 +710,14 @@ def _trained(spark: SparkSession, folder: str) -> Trained:
 
 @query
 def m7_cross_validate(spark: SparkSession, folder: str) -> DataFrame:
-    """The rows of each fold of each classifier, and whether its mean area is one."""
+    """The rows of each fold of each classifier, and whether its mean area is that of five fits of their own."""
     _, fitted, halves = _trained(spark, folder)
     parts = []
     for kind, (train, _) in halves.items():
-        area = fitted[kind].avgMetrics[0]
+        areas = model.fold_areas(train, kind, "Input_id")
+        agrees = abs(fitted[kind].avgMetrics[0] - sum(areas) / len(areas)) < 1e-9
         sizes = model.add_fold(train, kind, "Input_id").groupBy("fold").agg(F.count(F.lit(1)).alias("n_rows"))
-        parts.append(sizes.select(F.lit(kind).alias("kind"), "fold", "n_rows", F.lit(0 <= area <= 1).alias("area_found")))
+        parts.append(sizes.select(F.lit(kind).alias("kind"), "fold", "n_rows", F.lit(agrees).alias("agrees")))
     return parts[0].unionByName(parts[1])
 
 

@@ -21,4 +21,4 @@ def answer(
     stored = search.read_index(spark, index)
     results = search.search(queries, stored, song, artist, strict_duplicates, escape_quotes)
     search.materialize(results, out)
-    return spark.read.parquet(out)
+    return search.published(spark, out)

@@ -56,15 +56,15 @@ ROLLUPS = ("top_pos_posts", "top_neg_posts", "days", "states", "sub_score", "com
 
 
 def write_rollups(scored: DataFrame, out: str, states: Iterable[str] = STATES) -> None:
-    """Write all shares and top lists as CSV; fails where a file is there already."""
-    by_post = rollup.sentiment_by_post(scored)
+    """Write all shares and top lists as CSV, from one reading of ``scored``; fails where a file is there already."""
+    shares = rollup.all_shares(scored, states)
     results = (
-        rollup.top_posts(by_post, "pos"),
-        rollup.top_posts(by_post, "neg"),
-        rollup.sentiment_by_day(scored),
-        rollup.sentiment_by_state(scored, states),
-        rollup.sentiment_by_submission_score(scored),
-        rollup.sentiment_by_comment_score(scored),
+        rollup.top_posts(shares["posts"], "pos"),
+        rollup.top_posts(shares["posts"], "neg"),
+        shares["days"],
+        shares["states"],
+        shares["sub_score"],
+        shares["com_score"],
     )
     for name, result in zip(ROLLUPS, results):
         tables.write_csv(result, f"{out}/{name}.csv")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from talkweave.functions.text import sanitize
+from talkweave.session import stage
 
 COMMENTS = T.StructType(
     [
@@ -40,6 +41,9 @@ LABELS = T.StructType(
 )
 
 
+UNREADABLE = "__unreadable"
+
+
 def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """JSON lines, plain or compressed; bz2 files are split across tasks.
 
@@ -49,6 +53,23 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
     return spark.read.schema(schema).json(path)
 
 
+def read_json_checked(
+    spark: SparkSession, path: str, schema: T.StructType
+) -> tuple[DataFrame, DataFrame]:
+    """JSON lines as ``read_json`` reads them, and apart from them the lines that cannot be read.
+
+    A line is unreadable if it is no JSON object or holds a value of another type
+    than the schema's. It does not become a row; it is kept whole as ``line``, with
+    the ``file`` that it is in. All lines are read and parsed once, and written.
+    """
+    wide = T.StructType([*schema.fields, T.StructField(UNREADABLE, T.StringType())])
+    rows = spark.read.schema(wide).option("columnNameOfCorruptRecord", UNREADABLE).json(path)
+    rows = stage(rows.withColumn("__file", F.input_file_name()))
+    good = rows.filter(F.col(UNREADABLE).isNull()).select(*schema.names)
+    bad = rows.filter(F.col(UNREADABLE).isNotNull()).select(F.col("__file").alias("file"), F.col(UNREADABLE).alias("line"))
+    return good, bad
+
+
 def read_labels_csv(spark: SparkSession, path: str) -> DataFrame:
     """The label file with its header; a label that is no integer becomes NULL."""
     return spark.read.schema(LABELS).csv(path, header=True)
@@ -120,12 +141,25 @@ def ingest(
 def ingest_comments(
     spark: SparkSession, submissions: str, comments: str, labels: str, staged: str
 ) -> dict[str, DataFrame]:
-    """The three raw inputs of the sentiment job, staged as Parquet."""
+    """The three raw inputs of the sentiment job, staged as Parquet.
+
+    Lines that cannot be read go to ``unreadable_comments`` and
+    ``unreadable_submissions`` beside them, with the file that they are in.
+    """
+    checked = {}
+
+    def parts(name: str, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+        if name not in checked:
+            checked[name] = read_json_checked(spark, path, schema)
+        return checked[name]
+
     return ingest(
         spark,
         {
-            "submissions": lambda: read_json(spark, submissions, SUBMISSIONS),
-            "comments": lambda: read_json(spark, comments, COMMENTS),
+            "unreadable_submissions": lambda: parts("submissions", submissions, SUBMISSIONS)[1],
+            "submissions": lambda: parts("submissions", submissions, SUBMISSIONS)[0],
+            "unreadable_comments": lambda: parts("comments", comments, COMMENTS)[1],
+            "comments": lambda: parts("comments", comments, COMMENTS)[0],
             "labeled_data": lambda: read_labels_csv(spark, labels),
         },
         staged,

@@ -5,9 +5,11 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from compare import TESTDATA
+from talkweave.operators import model, rollup
 
 FOLDER = str(TESTDATA / "sf0.001")
 TEXT_QUERIES = [
@@ -38,3 +40,40 @@ def test_no_exchange_carries_texts(spark, no_broadcast, name, capsys):
     plan = capsys.readouterr().out
     moved = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", plan)
     assert all(not re.search(r"\b(?:text|body|n_gram|parsed_text)#", columns) for columns in moved)
+
+
+def test_all_rollups_read_the_scored_table_once(spark, tmp_path, monkeypatch):
+    """One scan for six results, which equal those of the single rollups."""
+    path = str(tmp_path / "scored")
+    rows = spark.range(500).select(
+        (F.col("id") % 7).cast("string").alias("link_id"), F.concat(F.lit("t"), F.col("id") % 7).alias("title"),
+        (F.col("id") * 40_000).alias("created_utc"), F.element_at(F.array(F.lit("Texas"), F.lit("Nowhere"), F.lit(None)), (F.col("id") % 3 + 1).cast("int")).alias("state"),
+        F.when(F.col("id") % 5 > 0, F.col("id") % 5).cast("int").alias("com_score"), (F.col("id") % 4).cast("int").alias("sub_score"),
+        (F.col("id") % 2).cast("int").alias("pos_prob"), (F.col("id") % 3 % 2).cast("int").alias("neg_prob"),
+    )
+    rows.write.parquet(path)
+    scored = spark.read.parquet(path)
+    planned = []
+    monkeypatch.setattr(rollup, "stage", lambda df: (planned.append(df._jdf.queryExecution().executedPlan().toString()), df)[1])
+    shares = rollup.all_shares(scored)
+    assert len(planned) == 1 and planned[0].count("FileScan") == 1 and planned[0].count("Exchange hashpartitioning") == 1
+    single = {
+        "posts": rollup.sentiment_by_post(scored), "days": rollup.sentiment_by_day(scored), "states": rollup.sentiment_by_state(scored),
+        "sub_score": rollup.sentiment_by_submission_score(scored), "com_score": rollup.sentiment_by_comment_score(scored),
+    }
+    for name, want in single.items():
+        assert sorted(map(repr, shares[name].collect())) == sorted(map(repr, want.collect()))
+
+
+def test_area_by_ranks_orders_no_whole_table(spark):
+    from pyspark.ml.linalg import Vectors
+
+    rows = [(Vectors.dense([-x, x]), float(i % 3 == 0)) for i, x in enumerate([0.1 * (k % 17) for k in range(200)])]
+    scored = spark.createDataFrame(rows, ["pos_rawPredict", "pos_label"])
+    want = model.area_under_roc("pos").evaluate(scored)
+    for count in (1, 5):
+        areas = model.area_by_ranks(scored.repartition(count), "pos")
+        assert abs(areas.first()["area"] - want) < 1e-9
+    plan = areas._jdf.queryExecution().executedPlan().toString()
+    # Only the row for each partition is ordered as a whole.
+    assert plan.count("chance") and "Window [sum(n" in plan

@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from talkweave.operators import search, skew
+from talkweave.operators import blockmax, search, skew
 from talkweave.plans import searching
 
 DOCUMENTS = {1: "a b c", 2: "a a b", 3: "b, d. The end", 4: "c", 5: "", 6: "A! a? a"}
@@ -195,3 +195,54 @@ def test_results_do_not_depend_on_partitions(spark, index):
     one = search.page(search.rank_songs(queries, index.repartition(1)), 1).orderBy("rank").collect()
     many = search.page(search.rank_songs(queries, index.repartition(7, F.col("score"))), 1).orderBy("rank").collect()
     assert one == many
+
+
+def test_blocks_give_the_first_page_and_are_not_all_read(spark, tmp_path):
+    """Against whole sums, ties and full matches included, with most blocks left unread."""
+    path = str(tmp_path / "blocks")
+    rows = spark.range(6000).select(
+        F.col("id").alias("song_id"),
+        F.explode(F.array(*(F.struct(F.lit(t).alias("token"), F.pmod(F.xxhash64("id", F.lit(t)), F.lit(1000)).alias("x")) for t in "abcd"))).alias("r"),
+    ).select("song_id", "r.token", (F.floor(F.col("r.x") * F.col("r.x") / 7000) / 10).alias("score")).filter("token <> 'd' OR song_id % 50 = 0")
+    blockmax.write_blocks(rows, path, 64, 4)
+    asked = spark.createDataFrame(
+        [(1, "a b", "or"), (2, "a", "or"), (3, "a d", "and"), (4, "a b c", "and"), (5, "a a", "and"), (6, "no", "or"), (7, "c d no", "or"), (8, "a no", "and")],
+        "query_id int, query string, query_type string",
+    )
+    stored = [tuple(r) for r in blockmax.best_songs(spark, asked, path).select("query_id", "rank", "song_id", "score").collect()]
+    whole = search.page(search.rank_songs(asked, rows), 1).select("query_id", "rank", "song_id", "score")
+    assert sorted(stored) == sorted(tuple(r) for r in whole.collect()) and stored
+    blocks = blockmax.needed_blocks(spark, search.wanted_tokens(asked), path)
+    read = {r.query_id: (r.n_read, r.n_rows) for r in blockmax.rows_read(blocks).collect()}
+    assert read[1][1] == 12_000 and read[1][0] < 4000 and read[2][0] <= 128 and read[3][0] < 600
+
+
+@pytest.mark.parametrize("within, parts", [(1000, 256), (30, 3), (1, 2)])
+def test_deep_pages_by_counting(spark, monkeypatch, within, parts):
+    """Ties of thousands of songs, few results and scores far apart, against ranks of everything."""
+    monkeypatch.setattr(search, "WITHIN", within)
+    monkeypatch.setattr(search, "PARTS", parts)
+    one = spark.range(9000).select(F.lit(1).alias("query_id"), F.col("id").alias("song_id"), (F.col("id") % 3 / 7).alias("score"))
+    two = spark.range(700).select(F.lit(2).alias("query_id"), (3 * F.col("id")).alias("song_id"), F.exp(F.col("id") / 60).alias("score"))
+    few = spark.range(5).select(F.lit(3).alias("query_id"), F.col("id").alias("song_id"), F.lit(1.0).alias("score"))
+    results = one.unionByName(two).unionByName(few)
+    ranked = search.add_ranks(results)
+    for n in (1, 7, 35, 151, 500):
+        got = search.deep_page(results, n)
+        want = ranked.filter((F.col("rank") > 20 * (n - 1)) & (F.col("rank") <= 20 * n)).select(*got.columns)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_readers_see_whole_versions(spark, tmp_path):
+    path = str(tmp_path / "results")
+    old = spark.range(300).select(F.lit(1).alias("query_id"), F.col("id").alias("song_id"), F.col("id").cast("double").alias("score"))
+    assert search.materialize(old, path) == 1
+    reader = search.published(spark, path)
+    before = sorted(map(tuple, search.stored_page(spark, path, 1, 2).collect()))
+    new = old.filter("song_id < 50")
+    # A version that is written but not named yet is not seen.
+    new.write.parquet(f"{path}/2-unfinished")
+    assert sorted(map(tuple, search.stored_page(spark, path, 1, 2).collect())) == before
+    assert search.materialize(new, path) == 2
+    assert reader.count() == 300 and search.published(spark, path).count() == 50
+    assert search.published(spark, path, 1).count() == 300
