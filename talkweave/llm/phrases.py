@@ -6,10 +6,13 @@ A ROLLUP over the columns then sums them by successively shorter prefixes, which
 the number of all words, words and phrases of every length at once: a phrase occurs
 once for each window that it begins.
 
-Windows are cut short where no candidate can go on: pairs of neighbouring words are
-counted by slots of a hash (``SLOTS`` of them, for any corpus), and a window ends before
-a pair whose slot has fewer than ``LEAST`` of them, as the pair itself then has fewer. No
-phrase of ``LEAST`` or more is touched; the fuller the slots, the fewer windows end.
+Windows are cut short where no candidate can go on, before they are counted. Pairs of
+neighbouring words are counted by slots of a hash (``SLOTS``); then the runs of three and
+four words of which all pairs lie in slots of ``LEAST`` or more. A window ends where the
+run up to there, or a pair in it, has a slot of fewer, as the run itself then has fewer.
+No phrase of ``LEAST`` or more is touched, and what counts is what ROLLUP sums. The slots
+that reach ``LEAST`` go to the tasks as ``BITS`` bits, for any corpus; runs that share a
+bit with one of these are counted for nothing, no more.
 
 Candidates are the phrases of two to ``LONGEST`` words that occur ``LEAST`` times or more.
 Their parts occur at least as often, so all that scores and comparisons with longer
@@ -24,6 +27,7 @@ chunk, with some ten numbers for each word. Words are compared with themselves.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +44,10 @@ SCALE = 2_000_000
 TOP = 2000
 #: A candidate is dropped if a longer one around it occurs at least this many times in a hundred.
 INSIDE_PERCENT = 80
-#: Slots for pairs of words; one bit of each, 16 MB, goes to the tasks.
-SLOTS = 1 << 27
+#: Slots in which pairs and longer runs of words are counted.
+SLOTS = 1 << 40
+#: Bits that tell the tasks which slots are full: 16 MB for pairs, 16 MB for longer runs.
+BITS = 1 << 27
 
 BREAK = np.zeros(256, bool)
 BREAK[list(b".,;:!?\n\x0b\x0c\r")] = True
@@ -52,6 +58,17 @@ NO_WORD = BREAK | SPACE
 COLUMNS = [f"w{i + 1}" for i in range(LONGEST)]
 
 
+class Full(NamedTuple):
+    """Which slots hold enough, by one bit for all slots that are equal modulo the number of bits."""
+
+    slots: int
+    bits: np.ndarray
+
+    def has(self, slot: np.ndarray) -> np.ndarray:
+        at = slot & (64 * len(self.bits) - 1)
+        return ((self.bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
+
+
 class Windows:
     """The windows of a chunk of texts: words by number, and how many follow in the same piece."""
 
@@ -67,14 +84,29 @@ class Windows:
         fresh[1:-1] = (owner[1:] != owner[:-1]) | (breaks[self.words.start[1:]] > breaks[self.words.end[:-1]])
         self.follows = ~fresh[1:]
 
-    def slots(self, salts: np.ndarray, count: int) -> np.ndarray:
-        """The slot of each word and the next one; ``salts`` are numbers of the languages."""
-        start, end = self.words.start[self.example], self.words.end[self.example]
-        hashes = W.xxh64(self.data.tobytes(), start, end - start, 1)[self.number]
-        behind = np.append(hashes[1:], np.uint64(0))[: len(hashes)]
-        mixed = W.mix(hashes * np.uint64(0x9E3779B97F4A7C15) + behind + salts[self.lang])
+        spelt = W.xxh64(self.data.tobytes(), self.words.start[self.example], self._lengths(), 1)
+        self.hashes = spelt[self.number]
+
+    def _lengths(self) -> np.ndarray:
+        return self.words.end[self.example] - self.words.start[self.example]
+
+    def slots(self, salts: np.ndarray, size: int, count: int) -> np.ndarray:
+        """The slot of the ``size`` words from each place on; ``salts`` are numbers of the languages."""
+        mixed = self.hashes + salts[self.lang]
+        for step in range(1, size):
+            mixed = W.mix(mixed * np.uint64(0x9E3779B97F4A7C15) + ahead(self.hashes, step))
         return (mixed % np.uint64(count)).astype(np.int64)
 
+    def frequent(self, salts: np.ndarray, pairs: Full) -> np.ndarray:
+        """Does the next word follow in the same piece, and is the pair's slot full?"""
+        return self.follows & pairs.has(self.slots(salts, 2, pairs.slots))
+
+
+def ahead(values: np.ndarray, step: int) -> np.ndarray:
+    """The values ``step`` places further on; zeros behind the end."""
+    step = min(step, len(values))
+    return np.append(values[step:], np.zeros(step, values.dtype))
+
 
 def _languages(batch: pa.RecordBatch) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     """The number of each row's language, the languages, and a hash of each."""
@@ -84,31 +116,52 @@ def _languages(batch: pa.RecordBatch) -> tuple[np.ndarray, pa.Array, np.ndarray]
     return coded.indices.to_numpy(), names, salts
 
 
-def _pairs(count: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _slot_counts(slots: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    for found in slots:
+        slot, n = np.unique(found, return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(n.astype(np.int32))], ["slot", "n"])
+
+
+def _pairs(slots: int):
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for batch in batches:
             lang, _, salts = _languages(batch)
             for chunk in W.chunks(batch.column("text")):
                 windows = Windows(chunk, lang)
-                slot, n = np.unique(windows.slots(salts, count)[windows.follows], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(n.astype(np.int32))], ["slot", "n"])
+                yield windows.slots(salts, 2, slots)[windows.follows]
 
-    return run
+    return lambda batches: _slot_counts(found(batches))
 
 
-def full_slots(rows: DataFrame, count: int, least: int) -> np.ndarray:
-    """A bit for each slot: do ``least`` pairs of words or more fall into it?"""
-    slots = in_tasks(rows, _pairs(count), "slot int, n int").groupBy("slot").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    # At most count / 64 rows of 64 bits, for any corpus.
-    bits = slots.groupBy(F.shiftright("slot", 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, slot & 63)")).alias("bits"))
-    found = bits.toArrow()
-    out = np.zeros(-(-count // 64), np.uint64)
+def _longer(pairs: Full):
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for batch in batches:
+            lang, _, salts = _languages(batch)
+            for chunk in W.chunks(batch.column("text")):
+                windows = Windows(chunk, lang)
+                goes_on = windows.frequent(salts, pairs)
+                alive = goes_on
+                for size in range(3, LONGEST + 1):
+                    alive = alive & ahead(goes_on, size - 2)
+                    yield windows.slots(salts, size, pairs.slots)[alive]
+
+    return lambda batches: _slot_counts(found(batches))
+
+
+def full_slots(counted: DataFrame, slots: int, bits: int, least: int) -> Full:
+    """The slots whose ``n`` add up to ``least`` or more; ``bits`` is a power of two, 64 or more."""
+    full = counted.groupBy("slot").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    bit = F.col("slot").bitwiseAND(F.lit(bits - 1)).cast("int")
+    # At most bits / 64 rows of 64 bits, for any corpus.
+    held = full.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("at"))
+    found = held.agg(F.bit_or(F.expr("shiftleft(1L, bit & 63)")).alias("bits")).toArrow()
+    out = np.zeros(bits // 64, np.uint64)
     if len(found):
         out[found.column("at").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
-    return out
+    return Full(slots, out)
 
 
-def _windows(full: np.ndarray, count: int):
+def _windows(pairs: Full, longer: Full):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lang, names, salts = _languages(batch)
@@ -117,16 +170,15 @@ def _windows(full: np.ndarray, count: int):
                 total = len(windows.number)
                 if not total:
                     continue
-                slot = windows.slots(salts, count)
-                bit = (full[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1)
-                goes_on = windows.follows & bit.astype(bool)
+                goes_on = windows.frequent(salts, pairs)
                 # Word numbers from 1; 0 is padding.
                 column, alive = windows.number + 1, np.ones(total, bool)
                 columns = [column]
                 for step in range(1, LONGEST):
-                    alive = alive & np.append(goes_on[step - 1 :], np.zeros(step - 1, bool))
-                    later = np.append(column[step:], np.zeros(min(step, total), np.int64))[:total]
-                    columns.append(np.where(alive, later, 0))
+                    alive = alive & ahead(goes_on, step - 1)
+                    if step > 1:
+                        alive = alive & longer.has(windows.slots(salts, step + 1, longer.slots))
+                    columns.append(np.where(alive, ahead(column, step), 0))
                 key = windows.lang.astype(np.int64)
                 for column in columns:
                     _, key = np.unique(key * (len(windows.example) + 1) + column, return_inverse=True)
@@ -142,13 +194,14 @@ def _windows(full: np.ndarray, count: int):
     return run
 
 
-def phrase_counts(docs: DataFrame, least: int = LEAST, slots: int = SLOTS) -> DataFrame:
+def phrase_counts(docs: DataFrame, least: int = LEAST, slots: int = SLOTS, bits: int = BITS) -> DataFrame:
     """``lang``, ``size``, ``phrase`` and ``f`` of all phrases of ``least`` or more; size 0 counts all words of a language."""
     rows = docs.select(
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text"), F.lit("")).alias("text")
     )
-    full = full_slots(rows, slots, least)
-    windows = in_tasks(rows, _windows(full, slots), f"lang string, {', '.join(f'{c} string' for c in COLUMNS)}, n bigint")
+    pairs = full_slots(in_tasks(rows, _pairs(slots), "slot bigint, n int"), slots, bits, least)
+    longer = full_slots(in_tasks(rows, _longer(pairs), "slot bigint, n int"), slots, bits, least)
+    windows = in_tasks(rows, _windows(pairs, longer), f"lang string, {', '.join(f'{c} string' for c in COLUMNS)}, n bigint")
     summed = windows.rollup("lang", *COLUMNS).agg(F.sum("n").alias("f"), F.grouping_id().alias("level"))
     # The bits of the level tell which columns are summed over; padding is no word.
     size = sum((F.when(F.col("level").bitwiseAND(F.lit(1 << i)) == 0, 1).otherwise(0) for i in range(LONGEST)), F.lit(0))
@@ -165,13 +218,13 @@ def _exact(column: Column) -> Column:
     return column.cast("decimal(38,0)")
 
 
-def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, slots: int = SLOTS) -> DataFrame:
+def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, slots: int = SLOTS, bits: int = BITS) -> DataFrame:
     """The best phrases of each language: ``lang``, ``rank``, ``phrase``, ``a``, ``l``, ``r``, ``n`` and ``score``.
 
     ``a`` is how often the phrase occurs, ``l`` and ``r`` how often its parts do at its
     weakest cut, and ``n`` the number of words of the language.
     """
-    counts = phrase_counts(docs, least, slots)
+    counts = phrase_counts(docs, least, slots, bits)
     frequent = counts.filter("size > 0")
     words = F.split("phrase", " ")
     candidates = counts.filter("size > 1").select("lang", "phrase", "size", F.col("f").alias("a"))

@@ -74,10 +74,12 @@ def test_every_kind_of_tampering_is_found(docs, rows):
         assert checked[doc, leaf] == (not changed or not any("\n" in (t or "") for t in texts)) or doc == 7
 
 
-@pytest.mark.parametrize("least, top, slots", [(30, 2000, 1 << 27), (2, 7, 1 << 20), (3, 2000, 1), (30, 5, 64)])
-def test_collocations(docs, rows, least, top, slots):
-    """Also with so few slots that no window is cut short."""
-    got = sorted(tuple(row) for row in phrases.collocations(docs, least, top, slots).collect())
+@pytest.mark.parametrize(
+    "least, top, slots, bits", [(30, 2000, 1 << 40, 1 << 27), (2, 7, 1 << 20, 64), (3, 2000, 1, 64), (30, 5, 64, 128)]
+)
+def test_collocations(docs, rows, least, top, slots, bits):
+    """Also with so few slots, or bits, that no window is cut short."""
+    got = sorted(tuple(row) for row in phrases.collocations(docs, least, top, slots, bits).collect())
     want = brute.collocations([(row[2], row[4]) for row in rows], least, top)
     assert got == want and want
     assert phrases.collocations(docs.filter("false")).collect() == []
