@@ -202,7 +202,9 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, slots: int = SLOTS, bits:
     pairs = full_slots(in_tasks(rows, _pairs(slots), "slot bigint, n int"), slots, bits, least)
     longer = full_slots(in_tasks(rows, _longer(pairs), "slot bigint, n int"), slots, bits, least)
     windows = in_tasks(rows, _windows(pairs, longer), f"lang string, {', '.join(f'{c} string' for c in COLUMNS)}, n bigint")
-    summed = windows.rollup("lang", *COLUMNS).agg(F.sum("n").alias("f"), F.grouping_id().alias("level"))
+    # Each window is one row before its prefixes multiply it.
+    counted = windows.groupBy("lang", *COLUMNS).agg(F.sum("n").alias("n"))
+    summed = counted.rollup("lang", *COLUMNS).agg(F.sum("n").alias("f"), F.grouping_id().alias("level"))
     # The bits of the level tell which columns are summed over; padding is no word.
     size = sum((F.when(F.col("level").bitwiseAND(F.lit(1 << i)) == 0, 1).otherwise(0) for i in range(LONGEST)), F.lit(0))
     whole = F.col("lang").isNotNull() & ((F.col("f") >= least) | (F.col("level") == (1 << LONGEST) - 1))
