@@ -20,6 +20,8 @@ NEAR_PAGES = 5
 # A range of results is cut into so many parts, until it has at most so many rows.
 PARTS = 256
 WITHIN = 1000
+# Index rows are looked at for repeats in parts of about so many.
+COUNTED = 250_000
 
 # Scores are added as whole multiples of 1 / SCORE_UNITS. Such sums do not
 # depend on the order of the rows, so equal scores stay equal and a page holds
@@ -118,7 +120,11 @@ def match_tokens(
     index, only the folders of the tokens' buckets are read, and in their files,
     which are sorted, only the row groups from the first to the last token.
     """
-    wanted = wanted_tokens(queries, strict_duplicates, escape_quotes)
+    return _rows_of(wanted_tokens(queries, strict_duplicates, escape_quotes), tfidf)
+
+
+def _rows_of(wanted: DataFrame, tfidf: DataFrame) -> DataFrame:
+    """Index rows joined to ``wanted`` by token; of a stored index, the folders and row groups that can hold them."""
     if "bucket" not in tfidf.columns:
         return tfidf.join(broadcast_if_small(wanted), "token")
     # The number of buckets is fixed in the index, so the list of them is bounded.
@@ -131,6 +137,28 @@ def match_tokens(
     return part.join(broadcast_if_small(wanted), ["bucket", "token"]).drop("bucket", "buckets")
 
 
+def _candidates(asked: DataFrame, held: DataFrame) -> DataFrame:
+    """Pairs ``(asked, song_id)`` that hold every result of queries for all tokens.
+
+    A song with all tokens of a query is among those of its rarest token. Songs
+    that the index holds twice for a token may number a query's tokens without
+    that one; all their queries are kept.
+    """
+    tokens = asked.select("asked", F.explode("tokens").alias("token"))
+    sizes = stage(held.groupBy("token").agg(F.count(F.lit(1)).alias("songs")))
+    rarest = F.min(F.struct(F.coalesce("songs", F.lit(0)).alias("songs"), "token"))["token"]
+    drivers = stage(tokens.join(broadcast_if_small(sizes), "token", "left").groupBy("asked").agg(rarest.alias("token")))
+    found = held.select("token", "song_id").join(broadcast_if_small(drivers), "token").select("asked", "song_id").distinct()
+    # As many parts as the rows ask for: none counts more than a fixed number of keys at a time.
+    parts = sizes.agg(F.sum("songs")).first()[0] or 0
+    counts = held.select("song_id", "token").repartition(parts // COUNTED + 1, "song_id", "token").groupBy("song_id", "token")
+    twice = stage(counts.agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("song_id").alias("again")).distinct())
+    if twice.isEmpty():
+        return stage(found)
+    others = held.join(twice, F.col("song_id").eqNullSafe(F.col("again")), "left_semi")
+    return stage(found.unionByName(others.join(broadcast_if_small(tokens), "token").select("asked", "song_id")).distinct())
+
+
 def rank_songs(
     queries: DataFrame, tfidf: DataFrame, strict_duplicates: bool = True, escape_quotes: bool = False
 ) -> DataFrame:
@@ -141,14 +169,34 @@ def rank_songs(
     token scores once but counts twice, so with ``strict_duplicates`` an AND
     query that repeats a token finds nothing.
 
-    The index is read once for all queries: the same aggregate gives the sum and
-    the number of matches.
+    The index rows of all queries' tokens are read and written once, whatever the
+    number of queries that share a token. Songs for all tokens are looked for among
+    those of the rarest one, so a query's common words meet few songs.
     """
+    key = ("query_id", "any_token", "n_tokens")
+    wanted = wanted_tokens(queries, strict_duplicates, escape_quotes)
+    asked = stage(
+        wanted.groupBy(*key).agg(F.collect_list("token").alias("tokens")).withColumn("asked", F.monotonically_increasing_id())
+    )
     units = F.round(F.col("score") * SCORE_UNITS).cast("bigint")
+    rows = _rows_of(asked.select(F.explode("tokens").alias("token")).distinct(), tfidf)
+    held = stage(rows.select("song_id", "token", units.alias("units")))
+    # Where a query comes twice, its rows may number its tokens without holding all of them.
+    plain = (F.size("tokens") <= F.col("n_tokens")) & (F.size("tokens") == F.size(F.array_distinct("tokens")))
+    narrow = ~F.coalesce("any_token", F.lit(False)) & plain
+    tokens = asked.select("asked", *key, F.explode("tokens").alias("token"), narrow.alias("narrow"))
+    wide = held.join(broadcast_if_small(tokens.filter("NOT narrow")), "token")
+    pairs = _candidates(asked.filter(narrow), held).join(broadcast_if_small(tokens.filter("narrow")), "asked")
+    pairs = pairs.withColumnsRenamed({"song_id": "song", "token": "word"})
+    near = held.join(
+        broadcast_if_small(pairs), F.col("song").eqNullSafe(F.col("song_id")) & (F.col("word") == F.col("token"))
+    )
+    columns = ("asked", *key, "song_id", "units")
     return (
-        match_tokens(queries, tfidf, strict_duplicates, escape_quotes)
-        .groupBy("query_id", "song_id", "any_token", "n_tokens")
-        .agg((F.sum(units) / SCORE_UNITS).alias("score"), F.count(F.lit(1)).alias("matched"))
+        wide.select(*columns)
+        .unionByName(near.select(*columns))
+        .groupBy(*key, "song_id")
+        .agg((F.sum("units") / SCORE_UNITS).alias("score"), F.count(F.lit(1)).alias("matched"))
         .filter(F.col("any_token") | (F.col("matched") == F.col("n_tokens")))
         .select("query_id", "song_id", "score")
     )

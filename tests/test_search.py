@@ -246,3 +246,28 @@ def test_readers_see_whole_versions(spark, tmp_path):
     assert search.materialize(new, path) == 2
     assert reader.count() == 300 and search.published(spark, path).count() == 50
     assert search.published(spark, path, 1).count() == 300
+
+
+def test_common_words_meet_only_songs_of_the_rarest(spark, monkeypatch):
+    """A query for all tokens is not compared with every song that holds its common words."""
+    rows = [(i, t, 1.0) for i in range(400) for t in (["the", "of", "rare"] if i in (7, 9) else ["the", "of"])]
+    tfidf = spark.createDataFrame(rows, "song_id bigint, token string, score double")
+    pairs = []
+    found = search._candidates
+    monkeypatch.setattr(search, "_candidates", lambda *tables: (pairs.append(found(*tables)), pairs[-1])[1])
+    queries = ask(spark, ("the of rare", "and"), ("the rare", "and"), ("the none", "and"))
+    ranked = search.rank_songs(queries, tfidf)
+    assert sorted(map(tuple, ranked.collect())) == [(1, 7, 3.0), (1, 9, 3.0), (2, 7, 2.0), (2, 9, 2.0)]
+    assert pairs[0].count() == 4
+
+
+def test_rows_and_queries_that_come_twice_count_twice(spark):
+    """As by comparing all pairs: matching rows must number the query's tokens."""
+    rows = [(1, "a", 1.0), (1, "a", 1.0), (2, "a", 1.0), (2, "b", 2.0), (None, "a", 1.0), (None, "b", 1.0), (3, "b", 1.0)]
+    tfidf = spark.createDataFrame(rows, "song_id bigint, token string, score double")
+    queries = ask(spark, ("a b", "and"), ("a a", "and"), ("a b", None))
+    twice = spark.createDataFrame([(9, "a b", "and")] * 2, "query_id int, query string, query_type string")
+    found = {tuple(r) for r in search.rank_songs(queries.unionByName(twice), tfidf).collect()}
+    assert found == {
+        (1, 1, 2.0), (1, 2, 3.0), (1, None, 2.0), (2, 1, 2.0), (3, 1, 2.0), (3, 2, 3.0), (3, None, 2.0), (9, 3, 2.0)
+    }
