@@ -2,49 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from talkweave.session import in_tasks
+
 #: Stands in for a missing doc_id, so that such rows come after all others.
 LAST_ID = (1 << 63) - 1
 
 
-_SHIPPED: set[str] = set()
-
-
-def ship_package(context: SparkContext) -> None:
-    """Send this package to the executors, once for each application.
-
-    The functions that run in tasks import it; it need not be installed there.
-    """
-    if context.applicationId in _SHIPPED:
-        return
-    package = Path(__file__).resolve().parents[1]
-    target = Path(tempfile.mkdtemp(prefix="run-")) / f"{package.name}.zip"
-    with zipfile.ZipFile(target, "w") as archive:
-        for file in sorted(package.rglob("*.py")):
-            archive.write(file, file.relative_to(package.parent))
-    context.addPyFile(str(target))
-    _SHIPPED.add(context.applicationId)
-
-
-def in_tasks(
-    df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType
-) -> DataFrame:
-    """``df.mapInArrow`` for a function of this package."""
-    ship_package(df.sparkSession.sparkContext)
-    return df.mapInArrow(function, schema)
-
-
 def whole_groups(batches: Iterator[pa.RecordBatch], key: str, least: int = 1 << 16) -> Iterator[pa.Table]:
     """Put batches sorted by ``key`` together so that no table ends within a group.
 

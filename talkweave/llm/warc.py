@@ -42,8 +42,7 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
-from talkweave.llm.rows import ship_package
-from talkweave.session import stage
+from talkweave.session import ship_package, stage
 
 PARTITION_BYTES = 64 << 20
 BATCH_BYTES = 8 << 20

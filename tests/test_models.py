@@ -139,3 +139,27 @@ def test_both_classifiers_at_once(trained):
     both = model.fit_classifiers({kind: half[0] for kind, half in halves.items()}, "id", folds=2)
     for kind in model.THRESHOLDS:
         assert both[kind].bestModel.coefficients == fitted[kind].bestModel.coefficients
+
+
+def test_weights_too_large_to_broadcast(spark, monkeypatch):
+    """Large weights give the same chances; a term goes once to its weights with all rows that hold it."""
+    rows = [(str(i % 50), " ".join(f"w{(i * k) % 97}" for k in range(1, i % 12 + 1))) for i in range(300)] + [("x", None)]
+    df = features.add_ngrams(spark.createDataFrame(rows, "id string, body string").repartition(3))
+    weights = [(f"w{i}", 0.01 * i, -0.02 * i) for i in range(80)] + [("w1_w2", 0.5, 0.25)]
+    weights = spark.createDataFrame(weights, "term string, pos double, neg double").persist()
+    start = {"pos": -0.5, "neg": 0.1}
+    small = features.score_linear(df, ["id"], weights, start)
+    for gathered in (1, 1 << 21):
+        monkeypatch.setattr(features, "GATHERED", gathered)
+        monkeypatch.setattr(features, "is_small", lambda table: False)
+        moved = []
+        keep = features.stage
+        monkeypatch.setattr(features, "stage", lambda table: (moved.append(keep(table)), moved[-1])[1])
+        large = features.score_linear(df, ["id"], weights, start)
+        monkeypatch.setattr(features, "stage", keep)
+        plain = lambda table: sorted((r["id"], round(r["pos"], 9), round(r["neg"], 9)) for r in table.collect())
+        assert plain(large) == plain(small) and large.count() == 301
+        sent = moved[0].filter("term IS NOT NULL")
+    # Three tasks: at most one row for each of them and term, besides the few that the filter lets pass.
+    assert sent.join(weights, "term").count() <= 3 * 81 < sent.selectExpr("sum(size(held))").first()[0]
+    weights.unpersist()
