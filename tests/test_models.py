@@ -163,3 +163,38 @@ def test_weights_too_large_to_broadcast(spark, monkeypatch):
     # Three tasks: at most one row for each of them and term, besides the few that the filter lets pass.
     assert sent.join(weights, "term").count() <= 3 * 81 < sent.selectExpr("sum(size(held))").first()[0]
     weights.unpersist()
+
+
+def test_frequent_terms_of_large_weights_stay_in_their_tasks(spark, monkeypatch):
+    """Of weights too large to broadcast, only the terms found seldom are sent; the chances are the same."""
+    rows = [(str(i % 50), " ".join(f"w{(i * k) % 97}" for k in range(1, i % 12 + 1))) for i in range(300)] + [("x", None), (None, "w1 w2")]
+    df = features.add_ngrams(spark.createDataFrame(rows, "id string, body string").repartition(3))
+    found = {r.term: r.df for r in features.term_totals(df).collect()}
+    weights = [(f"w{i}", found.get(f"w{i}", 0), 0.01 * i, -0.02 * i) for i in range(80)] + [("w1_w2", 1, 0.5, 0.25)]
+    # Twice the same term, a term that is missing, a weight that is missing.
+    weights += [("w7", 1, 0.125, 0.5), (None, 900, 5.0, 5.0), ("w2_w3", None, None, 1.0)]
+    weights = spark.createDataFrame(weights, "term string, n bigint, pos double, neg double").persist()
+    start = {"pos": -0.5, "neg": 0.1}
+    plain = lambda table: sorted((str(r["id"]), round(r["pos"], 9), round(r["neg"], 9)) for r in table.collect())
+    small = plain(features.score_linear(df, ["id"], weights, start))
+    monkeypatch.setattr(features, "is_small", lambda table: False)
+    keep = features.stage
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        for gathered, held_bytes in ((1, 40 * 24), (20, 40 * 24), (1 << 21, 40 * 24), (20, 0), (20, 1 << 20)):
+            monkeypatch.setattr(features, "GATHERED", gathered)
+            monkeypatch.setattr(features, "HELD_BYTES", held_bytes)
+            moved = []
+            monkeypatch.setattr(features, "stage", lambda table: (moved.append(keep(table)), moved[-1])[1])
+            large = features.score_linear(df, ["id"], weights, start, "n")
+            assert plain(large) == small and len(small) == 302
+            sent = {r.term for r in moved[-1].filter("term IS NOT NULL").join(weights, "term").collect()}
+            if held_bytes == 40 * 24:
+                # Terms are held from the most frequent down, so none that is sent is found more often than one that is held.
+                have = {r.term for r in weights.collect() if found.get(r.term)} - sent
+                assert 20 <= len(have) <= 40 and sent and min(found[t] for t in have) > max(found[t] for t in sent)
+            else:
+                assert bool(sent) == (held_bytes == 0)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        weights.unpersist()
