@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from compare import TESTDATA
-from talkweave.operators import model, rollup
+from talkweave.operators import features, model, rollup
 
 FOLDER = str(TESTDATA / "sf0.001")
 TEXT_QUERIES = [
@@ -77,3 +77,14 @@ def test_area_by_ranks_orders_no_whole_table(spark):
     plan = areas._jdf.queryExecution().executedPlan().toString()
     # Only the row for each partition is ordered as a whole.
     assert plan.count("chance") and "Window [sum(n" in plan
+
+
+def test_stored_classifiers_score_vectors_made_once(spark, monkeypatch):
+    """Both pairs of classifiers read the same written vectors; no text is cleaned for the comparison itself."""
+    vectorized = []
+    whole = features.vectorize
+    monkeypatch.setattr(features, "vectorize", lambda fitted, df: (vectorized.append(df.columns), whole(fitted, df))[1])
+    agrees = queries()["s7_stored_classifier"](spark, FOLDER)
+    # Once for the labelled comments, once for all.
+    assert len(vectorized) == 2
+    assert "regexp_extract_all" not in agrees._jdf.queryExecution().optimizedPlan().toString()
