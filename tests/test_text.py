@@ -140,3 +140,16 @@ def test_random_texts_against_plain_python(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "i int, text string").repartition(8)
     for row in df.select("i", tx.sanitize(F.col("text")).alias("s")).collect():
         assert tuple(row["s"]) == _plain_grams(texts[row["i"]]), repr(texts[row["i"]])
+
+
+def test_words_of_any_letters_in_any_order(spark):
+    """ASCII letters have a class of their own; words go on over all others, and end at spaces and marks."""
+    texts = {
+        "aÉb9c²d①e A-b--c, x.y": ["aÉb9c²d①e", "A-b--c", ",", "x", ".", "y"],
+        "don't- 'Été' ٣a٣ _a_b_ ": ["don't", "Été", "٣a٣", "a_b"],
+        "a b c' d, e.": ["a", "b", "c", "d", ",", "e", "."],
+        "aÉ" * 20000 + " z": ["aÉ" * 20000, "z"],
+    }
+    df = spark.createDataFrame([(i, text) for i, text in enumerate(texts)], "i int, text string")
+    found = [r.found for r in df.select("i", tx.tokens(F.col("text")).alias("found")).orderBy("i").collect()]
+    assert found == list(texts.values())
