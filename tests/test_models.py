@@ -198,3 +198,27 @@ def test_frequent_terms_of_large_weights_stay_in_their_tasks(spark, monkeypatch)
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
         weights.unpersist()
+
+
+def test_terms_are_counted_by_stretches_of_rows(spark, monkeypatch):
+    """One row for a term of a stretch, whatever the rows of it that hold the term; sums as by rows of terms."""
+    rows = [(" ".join(f"w{(i * k) % 23}" for k in range(i % 12)), i % 5 - 1) for i in range(200)] + [(None, 3), ("w1 w1", None)]
+    df = features.add_ngrams(spark.createDataFrame(rows, "body string, mark int").coalesce(1)).unionByName(
+        spark.createDataFrame([(None, 7, None)], "body string, mark int, n_gram array<string>")
+    )
+    terms = df.select(F.explode("n_gram").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("total"))
+    once = df.select("mark", F.explode(F.array_distinct("n_gram")).alias("term")).groupBy("term")
+    plain = {tuple(r) for r in once.agg(F.count(F.lit(1)), F.coalesce(F.sum("mark"), F.lit(0))).join(terms, "term").collect()}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        for most, most_bytes in ((1, 1 << 28), (60, 1 << 28), (1 << 22, 1), (1 << 22, 1 << 28)):
+            monkeypatch.setattr(features, "COUNTED", most)
+            monkeypatch.setattr(features, "COUNTED_BYTES", most_bytes)
+            counted = features.counted_terms(df, "mark")
+            sums = counted.groupBy("term").agg(F.sum("df"), F.sum("mark"), F.sum("total"))
+            assert {tuple(r) for r in sums.collect()} == plain
+            totals = {tuple(r) for r in features.term_totals(df).collect()}
+            assert totals == {(term, df, total) for term, df, _, total in plain}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert counted.count() == len(plain) > 100
