@@ -217,6 +217,42 @@ def test_blocks_give_the_first_page_and_are_not_all_read(spark, tmp_path):
     assert read[1][1] == 12_000 and read[1][0] < 4000 and read[2][0] <= 128 and read[3][0] < 600
 
 
+def test_blocks_are_stored_from_one_reading_of_the_index(spark, tmp_path):
+    """The index is computed once; blocks fall by score and are no longer than asked, also where a range ends in a token."""
+    path, read = str(tmp_path / "blocks"), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for one in batches:
+            read.add(one.num_rows)
+            yield one
+
+    rows = spark.range(3000).selectExpr("id AS song_id", "explode(array('a', 'b', concat('c', id % 40))) AS token", "pmod(id * 7, 11) / 10D AS score")
+    rows = rows.unionByName(spark.sql("SELECT CAST(NULL AS bigint) AS song_id, 'a' AS token, 0.5D AS score"))
+    blockmax.write_blocks(rows.mapInArrow(counted, rows.schema), path, 16, 8)
+    assert read.value == 9001
+    postings = spark.read.parquet(f"{path}/postings")
+    assert sorted(map(repr, postings.select("song_id", "token", (F.col("units") / 10**9).alias("score")).collect())) == sorted(map(repr, rows.collect()))
+    blocks = {}
+    for r in postings.collect():
+        blocks.setdefault(r.token, {}).setdefault(r.block, []).append(r.units)
+    for held in blocks.values():
+        ordered = [held[number] for number in sorted(held)]
+        assert max(map(len, ordered)) <= 16
+        assert all(min(one) >= max(two) for one, two in zip(ordered, ordered[1:]))
+    stored = {(r.token, r.block): (r.top, r.n) for r in spark.read.parquet(f"{path}/blocks").collect()}
+    assert stored == {(t, number): (max(u), len(u)) for t, held in blocks.items() for number, u in held.items()}
+    assert spark.read.parquet(f"{path}/songs").count() == 9001
+
+
+def test_first_blocks_have_enough_rows(spark):
+    """Short blocks at a token's start are followed by the next ones; no more are read than asked for."""
+    sizes = {"a": [64, 64], "b": [1, 64, 64], "c": [1, 2, 64, 64], "d": [3], "e": [19, 1, 64], "f": [20, 64]}
+    rows = [(1, t, 100 * place, n) for t, held in sizes.items() for place, n in enumerate(held)]
+    blocks = spark.createDataFrame(rows, "query_id int, token string, block bigint, n bigint")
+    found = {r.token: r.opening // 100 for r in blockmax._openings(blocks, 20).collect()}
+    assert found == {"a": 0, "b": 1, "c": 2, "d": 0, "e": 1, "f": 0}
+
+
 @pytest.mark.parametrize("within, parts", [(1000, 256), (30, 3), (1, 2)])
 def test_deep_pages_by_counting(spark, monkeypatch, within, parts):
     """Ties of thousands of songs, few results and scores far apart, against ranks of everything."""
