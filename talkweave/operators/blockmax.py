@@ -50,24 +50,31 @@ def write_blocks(tfidf: DataFrame, path: str, block_rows: int = BLOCK_ROWS, buck
     found in much of all songs is ordered over many tasks. A block ends after ``block_rows`` rows of a range or
     with its token: its number rises as the token's scores fall, and a token's first block may be a short one.
     """
-    tasks = int(tfidf.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    units = F.round(F.col("score") * SCORE_UNITS).cast("bigint").alias("units")
-    rows = tfidf.select(_part(_place(F.col("song_id")), buckets).alias("song_part"), "song_id", "token", units)
-    # Tasks take neighbouring places, so each writes few of the folders.
-    rows.repartitionById(tasks, _part(_place(F.col("song_id")), tasks)).sortWithinPartitions("song_part", "song_id").write.mode(
-        "overwrite"
-    ).partitionBy("song_part").parquet(f"{path}/songs")
     spark = tfidf.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    units = F.round(F.col("score") * SCORE_UNITS).cast("bigint").alias("units")
+    # Some slices of each folder's songs for each task, so that tasks get alike shares and write few folders.
+    place, slices = _place(F.col("song_id")), buckets * -(-4 * tasks // buckets)
+    rows = tfidf.select(_part(place, buckets).alias("song_part"), _part(place, slices).alias("slice"), "song_id", "token", units)
+    # A song that the index holds twice for a token is one row, whose score is the sum: bounds are of songs, not of rows.
+    merged = rows.repartition(tasks, "song_part", "slice").groupBy("song_part", "slice", "song_id", "token").agg(
+        F.sum("units").alias("units"), F.count(F.lit(1)).alias("copies")
+    )
+    merged.drop("slice").sortWithinPartitions("song_part", "song_id").write.mode("overwrite").partitionBy("song_part").parquet(
+        f"{path}/songs"
+    )
     rows = spark.read.parquet(f"{path}/songs").select(
-        token_bucket(F.col("token"), F.lit(buckets)).alias("bucket"), "token", "song_id", "units"
+        token_bucket(F.col("token"), F.lit(buckets)).alias("bucket"), "token", "song_id", "units", "copies"
     )
     order = (F.col("bucket"), F.col("token"), F.desc("units"), F.col("song_id"))
     block = F.expr(f"monotonically_increasing_id() DIV {block_rows}")
     rows.repartitionByRange(*order).sortWithinPartitions(*order).select(
-        "bucket", "token", block.alias("block"), "song_id", "units"
+        "bucket", "token", block.alias("block"), "song_id", "units", "copies"
     ).write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
     order = ("bucket", "token", "block")
-    blocks = spark.read.parquet(f"{path}/postings").groupBy(*order).agg(F.max("units").alias("top"), F.count(F.lit(1)).alias("n"))
+    blocks = spark.read.parquet(f"{path}/postings").groupBy(*order).agg(
+        F.max("units").alias("top"), F.count(F.lit(1)).alias("n"), F.max("copies").alias("most_copies")
+    )
     blocks.withColumn("buckets", F.lit(buckets)).repartitionByRange(*order).sortWithinPartitions(*order).write.mode(
         "overwrite"
     ).partitionBy("buckets", "bucket").parquet(f"{path}/blocks")
@@ -93,7 +100,7 @@ def _read(spark: SparkSession, blocks: DataFrame, path: str) -> DataFrame:
         ranges = [(F.col("bucket") == row["bucket"]) & F.col("block").between(row["low"], row["high"]) for row in asked]
         wanted = wanted & reduce(Column.__or__, ranges)
     rows = spark.read.parquet(f"{path}/postings").filter(wanted)
-    return rows.join(broadcast_if_small(blocks.drop("top", "n")), ["bucket", "token", "block"])
+    return rows.join(broadcast_if_small(blocks.drop("top", "n", "most_copies")), ["bucket", "token", "block"])
 
 
 def _thresholds(spark: SparkSession, blocks: DataFrame, path: str, size: int) -> DataFrame:
@@ -105,7 +112,7 @@ def _thresholds(spark: SparkSession, blocks: DataFrame, path: str, size: int) ->
     sums = (
         _read(spark, blocks, path)
         .groupBy("query_id", "song_id", "any_token", "n_tokens")
-        .agg(F.sum("units").alias("units"), F.count(F.lit(1)).alias("matched"))
+        .agg(F.sum("units").alias("units"), F.sum("copies").alias("matched"))
         .filter(F.col("any_token") | (F.col("matched") == F.col("n_tokens")))
     )
     best = page(sums.select("query_id", "song_id", F.col("units").alias("score")), 1, size)
@@ -129,16 +136,20 @@ def needed_blocks(spark: SparkSession, wanted: DataFrame, path: str, size: int =
     The first blocks of a token, which give the thresholds, are marked as ``opens``.
     A song with any of ``m`` tokens needs an ``m``-th of the threshold from one of them.
     A song with all of them is in the token of fewest rows, with what the highest
-    scores of the others leave of the threshold.
+    scores of the others leave of the threshold; where the index holds songs twice for a token, their rows may
+    number a query's tokens without that one, and all blocks are needed.
     """
     blocks = _asked_blocks(spark, wanted, path)
-    totals = blocks.groupBy("query_id", "token").agg(F.max("top").alias("highest"), F.sum("n").alias("rows"))
+    totals = blocks.groupBy("query_id", "token").agg(
+        F.max("top").alias("highest"), F.sum("n").alias("rows"), F.max("most_copies").alias("most_copies")
+    )
     tokens = stage(totals.join(_openings(blocks, size), ["query_id", "token"]))
     openings = broadcast_if_small(tokens.select("query_id", "token", "opening"))
     first = blocks.join(openings, ["query_id", "token"]).filter(F.col("block") <= F.col("opening")).drop("opening")
     per_query = tokens.groupBy("query_id").agg(
         F.count(F.lit(1)).alias("m"),
         F.sum("highest").alias("all_highest"),
+        (F.max("most_copies") > 1).alias("twice"),
         F.min(F.struct("rows", "token"))["token"].alias("driver"),
     )
     bounds = stage(per_query.join(_thresholds(spark, stage(first), path, size), "query_id", "left").fillna(0, ["threshold"]))
@@ -146,7 +157,7 @@ def needed_blocks(spark: SparkSession, wanted: DataFrame, path: str, size: int =
         broadcast_if_small(tokens.select("query_id", "token", "highest", "opening")), ["query_id", "token"]
     )
     any_token = F.col("top") * F.col("m") >= F.col("threshold")
-    all_tokens = (F.col("token") == F.col("driver")) & (
+    all_tokens = F.col("twice") | (F.col("token") == F.col("driver")) & (
         F.col("top") + F.col("all_highest") - F.col("highest") >= F.col("threshold")
     )
     needed = F.when(F.col("any_token"), any_token).otherwise(all_tokens)
@@ -184,7 +195,7 @@ def best_songs(
     )
     whole = (
         found.groupBy("query_id", "song_id", "any_token", "n_tokens")
-        .agg((F.sum("units") / SCORE_UNITS).alias("score"), F.count(F.lit(1)).alias("matched"))
+        .agg((F.sum("units") / SCORE_UNITS).alias("score"), F.sum("copies").alias("matched"))
         .filter(F.col("any_token") | (F.col("matched") == F.col("n_tokens")))
     )
     return page(whole.select("query_id", "song_id", "score"), 1, size)

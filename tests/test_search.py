@@ -244,6 +244,19 @@ def test_blocks_are_stored_from_one_reading_of_the_index(spark, tmp_path):
     assert spark.read.parquet(f"{path}/songs").count() == 9001
 
 
+def test_blocks_of_an_index_with_songs_twice(spark, tmp_path):
+    """A song's rows for a token count together, whose sum may pass the threshold where none of them does."""
+    path = str(tmp_path / "blocks")
+    rows = spark.range(400).selectExpr("id AS song_id", "explode(array('a', 'b')) AS token", "10D - id / 100D AS score")
+    twice = spark.range(300, 310).selectExpr("id AS song_id", "explode(array('a', 'a', 'c')) AS token", "6D AS score")
+    blockmax.write_blocks(rows.unionByName(twice), path, 16, 8)
+    asked = ask(spark, ("a", "or"), ("a b", "or"), ("a b", "and"), ("a c", "and"), ("a a a", "and"), ("c b a", "and"))
+    whole = search.page(search.rank_songs(asked, rows.unionByName(twice)), 1).select("query_id", "rank", "song_id", "score")
+    found = blockmax.best_songs(spark, asked, path).select("query_id", "rank", "song_id", "score")
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, whole.collect()))
+    assert found.filter("query_id = 1 AND song_id BETWEEN 300 AND 309").count() == 10
+
+
 def test_first_blocks_have_enough_rows(spark):
     """Short blocks at a token's start are followed by the next ones; no more are read than asked for."""
     sizes = {"a": [64, 64], "b": [1, 64, 64], "c": [1, 2, 64, 64], "d": [3], "e": [19, 1, 64], "f": [20, 64]}
