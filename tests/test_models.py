@@ -96,6 +96,52 @@ def test_feature_rows(spark):
     assert sorted(map(tuple, features.feature_rows(df, vocabulary).collect())) == [("1", "b"), ("2", "b")]
 
 
+def test_vocabulary_is_counted_before_the_shuffle_by_stretches(spark, monkeypatch):
+    """A task adds nothing up but the terms of a stretch; the counts are those of the rows that hold a term."""
+    rows = [(" ".join(f"w{(i * k) % 23}" for k in range(i % 12)),) for i in range(200)] + [(None,), ("w1 w1",)]
+    df = features.add_ngrams(spark.createDataFrame(rows, "body string").coalesce(1))
+    plain = features.term_rows(df).groupBy("term").agg(F.count(F.lit(1)).alias("df")).filter("df >= 7")
+    for most in (1, 60, 1 << 22):
+        monkeypatch.setattr(features, "COUNTED", most)
+        table = features.vocabulary_table(df, min_df=7)
+        assert table.dtypes == plain.dtypes
+        assert sorted(map(tuple, table.collect())) == sorted(map(tuple, plain.collect()))
+    plan = features.vocabulary_table(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" in plan and "Aggregate" not in plan[plan.index("Exchange") :]
+
+
+def test_feature_rows_of_any_vocabulary(spark, monkeypatch):
+    """A large vocabulary gives the rows that a small one gives, repeated and missing keys, rows and terms included."""
+    rows = [(i % 50, " ".join(f"w{(i * k) % 97}" for k in range(1, i % 12 + 1))) for i in range(300)] + [(7, None), (None, "w1 w2")]
+    df = features.add_ngrams(spark.createDataFrame(rows, "number bigint, body string").repartition(3)).unionByName(
+        spark.createDataFrame([(9, "", None), (9, "", ["w3", None, "w3"])], "number bigint, body string, n_gram array<string>")
+    )
+    found = {r.term: r.df for r in features.vocabulary_table(df, 1).collect()}
+    vocabulary = [(f"w{i}", found.get(f"w{i}", 0)) for i in range(80)] + [("w7", 1), (None, 900), ("w2_w3", None), ("w1_w2", 1)]
+    vocabulary = spark.createDataFrame(vocabulary, "term string, df bigint").persist()
+    plain = features.term_rows(df, "number").join(vocabulary.select("term"), "term", "left_semi").select("number", "term")
+    want, dtypes = sorted(map(str, plain.collect())), plain.dtypes
+    keep, sent = features.stage, {}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        assert sorted(map(str, features.feature_rows(df, vocabulary, "number").collect())) == want
+        monkeypatch.setattr(features, "is_small", lambda table: False)
+        for most, held_bytes, often in ((1, 40 * 8, "df"), (20, 40 * 8, "df"), (1 << 21, 40 * 8, "df"), (20, 0, "df"), (20, 1 << 20, "df"), (20, 1 << 20, None)):
+            monkeypatch.setattr(features, "COUNTED", most)
+            monkeypatch.setattr(features, "HELD_BYTES", held_bytes)
+            moved = []
+            monkeypatch.setattr(features, "stage", lambda table: (moved.append(keep(table)), moved[-1])[1])
+            large = features.feature_rows(df, vocabulary, "number", often)
+            assert sorted(map(str, large.collect())) == want and large.dtypes == dtypes
+            pairs = moved[-1].filter("NOT known").join(vocabulary, "term", "left_semi").selectExpr("sum(size(held))").first()[0] or 0
+            sent[most, held_bytes, often] = pairs
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        vocabulary.unpersist()
+    # What is held is not sent: nothing, part, or all of it.
+    assert sent[20, 1 << 20, "df"] == 0 < sent[20, 40 * 8, "df"] < sent[20, 0, "df"] == sent[20, 1 << 20, None] == len(want)
+
+
 def test_vocabulary_over_the_limit_equals_the_estimator(spark):
     texts = [(f"w{i % 7} " * (i % 4 + 1) + "x, " * i + "y",) for i in range(30)]
     df = features.add_ngrams(spark.createDataFrame(texts, "body string")).persist()

@@ -42,6 +42,13 @@ def test_no_exchange_carries_texts(spark, no_broadcast, name, capsys):
     assert all(not re.search(r"\b(?:text|body|n_gram|parsed_text)#", columns) for columns in moved)
 
 
+def test_feature_rows_send_no_row_for_each_term(spark, no_broadcast, capsys):
+    """Where Spark by itself broadcasts nothing, the terms of comments still meet the vocabulary where they are read."""
+    queries()["m2_feature_rows"](spark, FOLDER).explain("formatted")
+    moved = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", capsys.readouterr().out)
+    assert not [columns for columns in moved if re.search(r"\bid#", columns)]
+
+
 def test_all_rollups_read_the_scored_table_once(spark, tmp_path, monkeypatch):
     """One scan for six results, which equal those of the single rollups."""
     path = str(tmp_path / "scored")
